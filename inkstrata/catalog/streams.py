@@ -9,7 +9,7 @@ from inkstrata.catalog.base import (
 )
 from inkstrata.catalog.corpus import SQL_PROCESSED
 from inkstrata.catalog.retrieval import SQL_CONTEXT, SQL_SCORED, encode
-from inkstrata.operators import answering
+from inkstrata.operators import answering, chunking
 from inkstrata.plans import jobs
 from inkstrata.session import fresh_dir
 from inkstrata.streaming import jobs as stream
@@ -71,9 +71,12 @@ def _(spark, sf):
     asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
     asked.repartition(2).write.parquet(f"{base}/in")
     docs = with_paths(table(spark, sf, "documents")).select("doc_id", "text", "file_path", "commit")
+    chunks = chunking.drop_blank(chunking.chunk(docs, CHUNKER))
+    chunks.withColumn("embedding", encode(F.col("content"))).write.parquet(f"{base}/index")
 
     def answer(batch):
-        answered = jobs.answer_questions(batch, docs, CHUNKER, encode, len(KEYWORDS), top_k=0, digits=6)
+        index = batch.sparkSession.read.parquet(f"{base}/index")
+        answered = jobs.answer_from_index(batch, index, encode, len(KEYWORDS), top_k=0, digits=6)
         return answered.withColumn("citations", answering.citation_report(F.col("citations")))
 
     arriving = stream.file_stream(spark, f"{base}/in", asked.schema, files_per_batch=1)

@@ -10,7 +10,7 @@ from inkstrata.catalog.base import (
 from inkstrata.functions import tokens as tk
 from inkstrata.operators import bpe, sinks, unigram
 from inkstrata.operators import vocabulary as vb
-from inkstrata.session import fresh_dir, materialize
+from inkstrata.session import fresh_dir
 
 SQL_CHARACTERS = """
 chars AS (SELECT ch, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '(?s).')) AS ch FROM documents) GROUP BY ch),
@@ -95,7 +95,7 @@ def marked_text(texts):
 
 @query("j6_unigram_vocabulary")
 def _(spark, sf):
-    words = materialize(marked_words(spark, sf), "words")
+    words = marked_words(spark, sf)
     return unigram.model_table(spark, unigram.learn_unigram(words, letters(spark, sf), 400))
 
 
@@ -118,7 +118,7 @@ def _(spark, sf):
 
 @query("j7_encode_unigram")
 def _(spark, sf):
-    words = materialize(marked_words(spark, sf), "words")
+    words = marked_words(spark, sf)
     model = unigram.learn_unigram(words, letters(spark, sf), 400)
     encoded = unigram.encode(table(spark, sf, "documents").select("doc_id", "text"), model)
     return encoded.select("doc_id", F.size("ids").alias("n_ids"), joined("ids").alias("ids"))

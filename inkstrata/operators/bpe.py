@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkstrata.operators import vocabulary as vb
-from inkstrata.session import cut_lineage
+from inkstrata.session import cut_lineage, spread
 
 # Symbols of a word are written between these two control characters, so that
 # a merge is one plain string replacement.
@@ -82,7 +82,7 @@ def learn_merges(words: DataFrame, merges: int, per_round: int = 32, min_count:
     ``per_round`` candidate pairs come to the driver. Ties go to the smaller
     pair. The lineage is cut by a reliable checkpoint every few rounds.
     """
-    table = cut_lineage(start_symbols(words))
+    table = cut_lineage(spread(start_symbols(words)))
     learnt: list[tuple[str, str, int]] = []
     rounds = 0
     while len(learnt) < merges:

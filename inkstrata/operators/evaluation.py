@@ -12,7 +12,8 @@ from inkstrata.functions import scores as sc
 from inkstrata.functions import text as tx
 from inkstrata.functions import vectors as vx
 from inkstrata.operators.numbering import number_rows
-from inkstrata.operators.skew import lookup_join
+from inkstrata.operators.skew import HOT_KEYS, lookup_join
+from inkstrata.session import materialize
 
 
 def score_rows(
@@ -84,24 +85,30 @@ def take_first(texts: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
 
 
 def bigrams(words):
-    return F.arrays_zip(
-        F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))).alias("w1"),
-        F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))).alias("w2"),
-    )
+    """Each word with the one behind it; the last word has none."""
+    return F.arrays_zip(words.alias("w1"), F.slice(words, 2, F.greatest(F.size(words), F.lit(1))).alias("w2"))
 
 
 def learn_bigrams(texts: DataFrame, text: str = "text") -> DataFrame:
-    """``w1, w2, log_prob``: add-one smoothed bigrams of the whole corpus."""
-    split = texts.select(tx.words(F.col(text)).alias("words"))
-    vocabulary = split.select(F.explode("words").alias("w")).distinct().count()
-    pairs = (
-        split.select(F.explode(bigrams(F.col("words"))).alias("pair"))
+    """``w1, w2, n, log_prob``: add-one smoothed bigrams of the whole corpus.
+
+    The corpus is read once, for the pair counts; these are written to the
+    shared folder, and all else is worked out from them.
+    """
+    counted = (
+        texts.select(F.explode(bigrams(tx.words(F.col(text)))).alias("pair"))
         .groupBy(F.col("pair.w1").alias("w1"), F.col("pair.w2").alias("w2"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    history = pairs.groupBy("w1").agg(F.sum("n").alias("h"))
-    return lookup_join(pairs, history, ["w1"], ["w2"]).select(
-        "w1", "w2", F.log((F.col("n") + 1) / (F.col("h") + vocabulary)).alias("log_prob")
+    pairs = materialize(counted, "bigrams")
+    history = pairs.groupBy("w1").agg(
+        F.sum(F.when(F.col("w2").isNotNull(), F.col("n"))).alias("h"), F.count("w2").alias("_followers")
+    )
+    vocabulary = history.count()
+    busiest = history.orderBy(F.desc("_followers"), "w1").limit(HOT_KEYS)
+    followed = pairs.where(F.col("w2").isNotNull())
+    return lookup_join(followed, history.drop("_followers"), ["w1"], ["w2"], hot=busiest).select(
+        "w1", "w2", "n", F.log((F.col("n") + 1) / (F.col("h") + vocabulary)).alias("log_prob")
     )
 
 
@@ -118,11 +125,14 @@ def bigram_loss(texts: DataFrame, model: DataFrame, key: str, text: str = "text"
     # repeated pairs of a text are counted before they are looked up
     pairs = (
         split.select(key, F.explode(bigrams(F.col("words"))).alias("pair"))
+        .where(F.col("pair.w2").isNotNull())
         .groupBy(key, F.col("pair.w1").alias("w1"), F.col("pair.w2").alias("w2"))
         .agg(F.count(F.lit(1)).alias("times"))
     )
+    # pairs that are frequent in the corpus are found in most texts
+    frequent = model.orderBy(F.desc("n"), "w1", "w2").limit(HOT_KEYS)
     losses = (
-        lookup_join(pairs, model, ["w1", "w2"], [key])
+        lookup_join(pairs, model.drop("n"), ["w1", "w2"], [key], hot=frequent)
         .groupBy(key)
         .agg((-F.sum(F.col("log_prob") * F.col("times")) / F.sum("times")).alias("loss"))
     )

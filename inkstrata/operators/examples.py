@@ -37,7 +37,7 @@ def collect_batches(batched: DataFrame, *columns: str) -> DataFrame:
     return gathered.select(
         "batch_id",
         F.size("_rows").alias("batch_rows"),
-        *[F.transform("_rows", lambda r, c=c: r[c]).alias(c) for c in columns],
+        *[F.col("_rows")[c].alias(c) for c in columns],
     )
 
 

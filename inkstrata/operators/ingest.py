@@ -64,11 +64,11 @@ def html_to_text(markup: pd.Series) -> pd.Series:
 def convert(files: DataFrame) -> DataFrame:
     """Markdown passes as it is, HTML is reduced to its text.
 
-    The two kinds go separate ways, so that Markdown never visits Python.
+    The files are read once; Python is handed the pages only, and a null for
+    every other file.
     """
-    plain = files.where(F.col("converter") == "markdown")
-    pages = files.where(F.col("converter") == "html").withColumn("text", html_to_text("text"))
-    return plain.unionByName(pages)
+    page = F.when(F.col("converter") == "html", F.col("text"))
+    return files.withColumn("text", F.coalesce(html_to_text(page), F.col("text")))
 
 
 def build_metadata(

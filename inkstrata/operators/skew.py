@@ -12,7 +12,7 @@ SALTS = 64
 
 
 def hot_keys(facts: DataFrame, keys: Sequence[str], limit: int = HOT_KEYS, weight: str | None = None) -> DataFrame:
-    """The ``limit`` most frequent keys.
+    """The ``limit`` most frequent keys, or those of the greatest total ``weight``.
 
     Every key left out holds at most ``1 / limit`` of the rows, so treating just
     these as hot is enough, and their number is bounded by the parameter.
@@ -33,20 +33,24 @@ def lookup_join(
     keys: Sequence[str],
     row_id: Sequence[str],
     how: str = "inner",
-    hot: int = HOT_KEYS,
+    hot: DataFrame | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join many ``facts`` to ``dim``, which is unique on ``keys``.
 
     Rows of hot keys are spread over ``salts`` sub-keys, chosen from ``row_id``
     (columns that tell the facts of a key apart), and the few matching rows of
-    ``dim`` are copied once per sub-key. ``how`` is ``inner`` or ``left``.
+    ``dim`` are copied once per sub-key. ``hot`` are the hot keys where the
+    caller knows them already (a short table); otherwise the facts are counted.
+    ``how`` is ``inner`` or ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     keys = list(keys)
-    # at most ``hot`` rows, hence small enough to broadcast
-    marked = F.broadcast(hot_keys(facts, keys, hot).withColumn("_hot", F.lit(True)))
+    if hot is None:
+        hot = hot_keys(facts, keys)
+    # a fixed number of rows, hence small enough to broadcast
+    marked = F.broadcast(hot.select(*keys).withColumn("_hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in row_id]), F.lit(salts)).cast("int")
     # facts without a key match nothing and may be just as many
     keyless = F.lit(False)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from inkstrata.operators import bpe
 from inkstrata.operators import vocabulary as vb
+from inkstrata.session import cut_lineage, spread
 
 # Longest piece, seeds per vocabulary entry, share kept per pruning.
 MAX_PIECE = 16
@@ -146,9 +147,9 @@ def learn_unigram(words: DataFrame, letters: list[str], size: int, rounds: int =
     """Piece scores of a vocabulary of ``size`` pieces, the alphabet included.
 
     The corpus-sized work, expected counts over the distinct words, runs in the
-    tasks; the driver holds the model, whose size the parameters bound. ``words``
-    is read in every round, so it should be materialised.
+    tasks; the driver holds the model, whose size the parameters bound.
     """
+    words = cut_lineage(spread(words))
     model = seed_pieces(words, letters, seed_factor * size)
     while True:
         counts: dict[str, float] = {}

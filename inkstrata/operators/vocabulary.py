@@ -116,11 +116,12 @@ def encode_words(
     built with) and putting them together again all happen in place. With
     ``limit`` only so many leading ids are wanted, as in a training example.
     """
-    words = tx.words(F.col(text))
-    if limit is not None:
-        words = F.slice(words, 1, limit)
+    if limit is None:
+        rows = texts.select(key, text).repartition(key).select(key, tx.words(F.col(text)).alias("_words"))
+    else:
+        # the few leading words are lighter than the text they come from
+        rows = texts.select(key, F.slice(tx.words(F.col(text)), 1, limit).alias("_words")).repartition(key)
     lookup = F.broadcast(vocabulary.select(F.col("piece").alias("word"), F.col("id").alias("_id")))
-    rows = texts.select(key, words.alias("_words")).repartition(key)
     placed = rows.select(key, F.posexplode_outer("_words").alias("_pos", "word"))
     found = placed.join(lookup, "word", "left").withColumn(
         "_id", F.when(F.col("_pos").isNotNull(), F.coalesce("_id", F.lit(UNK))).cast("int")

@@ -63,6 +63,30 @@ def answer_questions(
     return answering.assemble_answers(questions, found, generator=generator)
 
 
+def answer_from_index(
+    questions: DataFrame,
+    index: DataFrame,
+    embed: Callable[[Column], Column],
+    dim: int,
+    position: Sequence[str] = ("doc_id", "chunk_index"),
+    top_k: int | None = None,
+    metric: str = "cosine",
+    digits: int | None = None,
+    generator: Callable[[str], str] | None = None,
+) -> DataFrame:
+    """Answers with citations from a stored index.
+
+    The index has the position, ``content, file_path, commit, embedding``. The
+    search reads its vectors; the text is read for the hits.
+    """
+    asked = questions.select("query_id", embed(F.col("question")).alias("embedding"))
+    hits = cut_lineage(
+        search.top_k(asked, index, answering.effective_top_k(top_k), dim, position=position, metric=metric, digits=digits)
+    )
+    found = search.attach_hits(hits, index.drop("embedding"), position)
+    return answering.assemble_answers(questions, found, generator=generator)
+
+
 def training_examples(
     texts: DataFrame, vocabulary: DataFrame, key: str, seq_length: int, batch_size: int,
     pad_id: int = vb.PAD, bos_id: int = vb.BOS,
