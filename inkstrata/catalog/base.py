@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from inkstrata.operators import chunking
 from inkstrata.operators import vocabulary as vb
+from inkstrata.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +30,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return read_table(spark, f"{sf}/{name}.parquet")
 
 
 # --- the same derived inputs, once for Spark and once for SQL ---------------

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from inkstrata.functions.binding import let
+
 # The code points a Unicode-aware strip removes.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 SPACE_CLASS = (
     r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029"
     r"\u202f\u205f\u3000]"
@@ -30,30 +36,43 @@ DEFAULT_COMMIT = "HEAD"
 
 def strip(c: Column) -> Column:
     """Remove white space at both ends, all Unicode kinds of it."""
-    # the look-behind starts the tail match at the head of a run only, which
-    # keeps long inner runs linear
-    head = F.regexp_replace(c, f"^{SPACE_CLASS}+", "")
-    return F.regexp_replace(head, rf"(?<!{SPACE_CLASS}){SPACE_CLASS}+\z", "")
+    return F.trim(c, F.lit(SPACES))
 
 
 def is_blank(c: Column) -> Column:
     return F.length(strip(c)) == 0
 
 
+# The patterns below are tried only on texts that hold what they look for: most
+# texts do not, and a plain byte search is far cheaper.
+
+
 def tag_code_blocks(c: Column) -> Column:
     """Fenced blocks become ``<code>`` sections without outer newlines."""
-    return F.regexp_replace(c, FENCE_TRIMMED, CODE_TAGS)
+    return F.when(F.contains(c, F.lit("```")), F.regexp_replace(c, FENCE_TRIMMED, CODE_TAGS)).otherwise(c)
 
 
 def code_blocks(c: Column) -> Column:
     """Bodies of all fenced blocks in order, stripped."""
-    return F.transform(F.regexp_extract_all(c, F.lit(FENCE_BODY), F.lit(1)), strip)
+    bodies = F.transform(F.regexp_extract_all(c, F.lit(FENCE_BODY), F.lit(1)), strip)
+    return F.when(F.contains(c, F.lit("```")), bodies).otherwise(F.array().cast("array<string>"))
+
+
+def newlines_only(c: Column) -> Column:
+    return F.replace(c, F.lit("\r"), F.lit("\n"))
+
+
+def squeeze_blanks(c: Column) -> Column:
+    runs = F.contains(c, F.lit("  ")) | F.contains(c, F.lit("\t"))
+    return F.when(runs, F.regexp_replace(c, BLANK_RUN, " ")).otherwise(c)
+
+
+def squeeze_newlines(c: Column) -> Column:
+    return F.when(F.contains(c, F.lit("\n\n\n")), F.regexp_replace(c, NEWLINE_RUN, "\n\n")).otherwise(c)
 
 
 def normalize_whitespace(c: Column) -> Column:
-    unified = F.replace(c, F.lit("\r"), F.lit("\n"))
-    single = F.regexp_replace(unified, BLANK_RUN, " ")
-    return strip(F.regexp_replace(single, NEWLINE_RUN, "\n\n"))
+    return let(newlines_only(c), lambda t: let(squeeze_blanks(t), lambda s: strip(squeeze_newlines(s))))
 
 
 def universal_newlines(c: Column) -> Column:

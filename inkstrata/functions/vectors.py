@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from inkstrata.functions.binding import let
+
 DIGEST_BYTES = 32
 
 
@@ -25,10 +25,7 @@ def norm(v: Column) -> Column:
 
 
 def normalize(v: Column) -> Column:
-    # one-element array: the length is computed once per vector, not per entry
-    return F.element_at(
-        F.transform(F.array(norm(v)), lambda n: F.transform(v, lambda x: x / n)), 1
-    )
+    return let(norm(v), lambda n: F.transform(v, lambda x: x / n))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -58,26 +55,33 @@ def digest_embedding(text: Column, dim: int = 768) -> Column:
         )
         return F.slice(F.flatten(F.array_repeat(values, copies)), 1, dim)
 
-    repeated = F.element_at(F.transform(F.array(F.sha2(text, 256)), spread), 1)
-    return F.element_at(F.transform(F.array(repeated), normalize), 1)
+    return let(let(F.sha2(text, 256), spread), normalize)
 
 
 def keyword_embedding(text: Column, keywords: list[str]) -> Column:
     """Counts of each keyword in the lower-cased text, without overlaps."""
-    lowered = F.lower(text)
-    return F.array(
-        *[F.regexp_count(lowered, F.lit(re.escape(k.lower()))).cast("double") for k in keywords]
-    )
+    if not all(keywords):
+        raise ValueError("keywords must not be empty")
+
+    def counts(lowered: Column) -> Column:
+        # bytes that go when the keyword is taken out: no pattern, no decoding
+        size = F.octet_length(lowered)
+        return F.array(
+            *[
+                ((size - F.octet_length(F.replace(lowered, F.lit(k.lower())))) / F.octet_length(F.lit(k.lower())))
+                for k in keywords
+            ]
+        )
+
+    return let(F.lower(text), counts)
 
 
 def log_softmax(logits: Column) -> Column:
     def shifted(top: Column) -> Column:
         log_total = F.log(_sum_of(F.transform(logits, lambda x: F.exp(x - top))))
-        return F.element_at(
-            F.transform(F.array(log_total), lambda t: F.transform(logits, lambda x: x - top - t)), 1
-        )
+        return let(log_total, lambda t: F.transform(logits, lambda x: x - top - t))
 
-    return F.element_at(F.transform(F.array(F.array_max(logits)), shifted), 1)
+    return let(F.array_max(logits), shifted)
 
 
 def chosen_log_prob(logits: Column, action: Column) -> Column:

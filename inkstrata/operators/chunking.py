@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkstrata.functions import text as tx
+from inkstrata.functions.binding import let
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,7 @@ class Chunker:
             )
 
         pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{self.step}}}"), F.lit(0))
-        return F.element_at(F.transform(F.array(pieces), assemble), 1)
+        return let(pieces, assemble)
 
 
 def chunk(df: DataFrame, chunker: Chunker, text: str = "text", out: str = "content") -> DataFrame:

@@ -22,15 +22,22 @@ def process_examples(df: DataFrame, text_field: str = "text", keep: list[str] |
     """
     require_field(df, text_field)
     raw = F.col(text_field).cast("string")
-    cleaned = tx.normalize_whitespace(tx.tag_code_blocks(raw))
     license_column = (
         F.col("license").cast("string") if "license" in df.columns else F.lit(None).cast("string")
     )
-    blocks = tx.code_blocks(raw)
+    carried = [*(keep or []), "_blocks", "license"]
+
+    # one step per projection, so that every intermediate text is made once
+    def step(rows: DataFrame, change) -> DataFrame:
+        return rows.select(*carried, change(F.col("text")).alias("text"))
+
+    rows = df.where(raw.isNotNull()).select(
+        *(keep or []), raw.alias("text"), tx.code_blocks(raw).alias("_blocks"), license_column.alias("license")
+    )
+    for change in (tx.tag_code_blocks, tx.newlines_only, tx.squeeze_blanks, tx.squeeze_newlines, tx.strip):
+        rows = step(rows, change)
     return (
-        df.where(raw.isNotNull())
-        .select(*(keep or []), cleaned.alias("text"), blocks.alias("_blocks"), license_column.alias("license"))
-        .select(
+        rows.select(
             *(keep or []),
             "text",
             F.length("text").alias("num_chars"),

@@ -122,19 +122,15 @@ def bigram_loss(texts: DataFrame, model: DataFrame, key: str, text: str = "text"
         words = F.slice(words, 1, max_length)
     split = texts.select(key, words.alias("words"))
     lengths = split.select(key, F.size("words").alias("n"))
-    # repeated pairs of a text are counted before they are looked up
-    pairs = (
-        split.select(key, F.explode(bigrams(F.col("words"))).alias("pair"))
-        .where(F.col("pair.w2").isNotNull())
-        .groupBy(key, F.col("pair.w1").alias("w1"), F.col("pair.w2").alias("w2"))
-        .agg(F.count(F.lit(1)).alias("times"))
-    )
+    pairs = split.select(key, F.explode(bigrams(F.col("words"))).alias("pair")).select(
+        key, F.col("pair.w1").alias("w1"), F.col("pair.w2").alias("w2")
+    ).where(F.col("w2").isNotNull())
     # pairs that are frequent in the corpus are found in most texts
     frequent = model.orderBy(F.desc("n"), "w1", "w2").limit(HOT_KEYS)
     losses = (
         lookup_join(pairs, model.drop("n"), ["w1", "w2"], [key], hot=frequent)
         .groupBy(key)
-        .agg((-F.sum(F.col("log_prob") * F.col("times")) / F.sum("times")).alias("loss"))
+        .agg((-F.avg("log_prob")).alias("loss"))
     )
     return lengths.join(losses, key, "left").select(key, "loss", "n")
 

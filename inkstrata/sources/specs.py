@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkstrata.operators.cleaning import require_field
+from inkstrata.sources.tables import read_table
 
 
 @dataclass(frozen=True)
@@ -46,7 +47,7 @@ def read_dataset(
     path = layout.format(
         root=root, name=spec.name, directory=spec.directory, config=spec.config or "", split=spec.split
     )
-    raw = spark.read.parquet(path)
+    raw = read_table(spark, path)
     require_field(raw, spec.text_field)
     carried = [F.col("license").cast("string").alias("license")] if "license" in raw.columns else []
     return raw.select(
