@@ -23,7 +23,7 @@ FENCE_TRIMMED = r"(?s)```(?:[a-zA-Z0-9_+-]+\n)?\n*+((?:.*?[^\n])??)\n*+```"
 CODE_TAGS = "\n<code>\n$1\n</code>\n"
 BLANK_RUN = r"[ \t]{2,}"
 NEWLINE_RUN = r"\n{3,}"
-WORD = r"[0-9]|[^0-9\t-\r ]+"
+WORD_BREAK = r"[\t-\r ]+|(?<=[0-9])(?![\t-\r ])|(?<![\t-\r ])(?=[0-9])"
 
 # Prompt and record templates.
 ASSISTANT_RULE = "You are a security-cleared assistant that must cite your sources.\n"
@@ -82,7 +82,12 @@ def universal_newlines(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """White-space separated words; every digit is a word of its own."""
-    return F.regexp_extract_all(c, F.lit(WORD), F.lit(0))
+    # cutting at the breaks is several times faster than collecting the matches
+    return F.array_remove(F.split(c, WORD_BREAK), "")
+
+
+def characters(c: Column) -> Column:
+    return F.split(c, "")
 
 
 def normalize_answer(c: Column) -> Column:

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkstrata.functions import text as tx
 from inkstrata.operators import vocabulary as vb
 from inkstrata.session import cut_lineage, spread
 
@@ -21,12 +22,14 @@ CHECKPOINT_EVERY = 8
 
 def start_symbols(words: DataFrame) -> DataFrame:
     """``symbols, n``: every word as its characters."""
-    plain = F.regexp_replace("word", CONTROLS, "")
-    return words.select(F.regexp_replace(plain, "(?s)(.)", f"{OPEN}$1{CLOSE}").alias("symbols"), "n")
+    letters = tx.characters(F.regexp_replace("word", CONTROLS, ""))
+    return words.select(
+        F.concat(F.lit(OPEN), F.array_join(letters, CLOSE + OPEN), F.lit(CLOSE)).alias("symbols"), "n"
+    )
 
 
 def _symbol_list(symbols: Column) -> Column:
-    return F.regexp_extract_all(symbols, F.lit(f"(?s){OPEN}(.*?){CLOSE}"), F.lit(1))
+    return F.split(F.substring(symbols, F.lit(2), F.length(symbols) - 2), CLOSE + OPEN)
 
 
 def count_pairs(words: DataFrame) -> DataFrame:

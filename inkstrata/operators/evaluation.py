@@ -107,9 +107,10 @@ def learn_bigrams(texts: DataFrame, text: str = "text") -> DataFrame:
     vocabulary = history.count()
     busiest = history.orderBy(F.desc("_followers"), "w1").limit(HOT_KEYS)
     followed = pairs.where(F.col("w2").isNotNull())
-    return lookup_join(followed, history.drop("_followers"), ["w1"], ["w2"], hot=busiest).select(
+    model = lookup_join(followed, history.drop("_followers"), ["w1"], ["w2"], hot=busiest).select(
         "w1", "w2", "n", F.log((F.col("n") + 1) / (F.col("h") + vocabulary)).alias("log_prob")
     )
+    return materialize(model, "bigram-model")
 
 
 def bigram_loss(texts: DataFrame, model: DataFrame, key: str, text: str = "text", max_length: int | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkstrata.session import cut_lineage
+
 HOT_KEYS = 256
 SALTS = 64
 
@@ -49,8 +51,9 @@ def lookup_join(
     keys = list(keys)
     if hot is None:
         hot = hot_keys(facts, keys)
-    # a fixed number of rows, hence small enough to broadcast
-    marked = F.broadcast(hot.select(*keys).withColumn("_hot", F.lit(True)))
+    # a fixed number of rows, hence small enough to broadcast; settled once, as
+    # both sides must agree on them
+    marked = F.broadcast(cut_lineage(hot.select(*keys)).withColumn("_hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in row_id]), F.lit(salts)).cast("int")
     # facts without a key match nothing and may be just as many
     keyless = F.lit(False)

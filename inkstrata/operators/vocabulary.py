@@ -14,8 +14,8 @@ CHARACTER_COVERAGE = 0.9995
 VOCAB_SIZE = 65_536
 # White space as part of the word behind it, for piece models.
 SPACE_MARK = "▁"
-MARKED_WORD = f"[0-9]|{SPACE_MARK}[^0-9{SPACE_MARK}]*|[^0-9{SPACE_MARK}]+"
-SPACED_WORD = r"[\t-\r ]|[^\t-\r ]+"
+MARKED_BREAK = f"(?=[{SPACE_MARK}0-9])|(?<=[0-9])"
+SPACED_BREAK = r"(?=[\t-\r ])|(?<=[\t-\r ])"
 
 
 def count_words(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -28,9 +28,11 @@ def marked_words(text: Column) -> Column:
 
     White space is unified to single spaces first, and digits stand alone.
     """
-    spaced = F.regexp_replace(tx.strip(text), f"{tx.SPACE_CLASS}+", SPACE_MARK)
-    marked = F.when(F.length(spaced) > 0, F.concat(F.lit(SPACE_MARK), spaced)).otherwise(spaced)
-    return F.regexp_extract_all(marked, F.lit(MARKED_WORD), F.lit(0))
+    stripped = tx.strip(text)
+    # a mark in front, unless there is nothing to mark
+    fronted = F.concat(F.substring(F.lit(SPACE_MARK), F.lit(1), F.least(F.length(stripped), F.lit(1))), stripped)
+    marked = F.regexp_replace(fronted, f"{tx.SPACE_CLASS}+", SPACE_MARK)
+    return F.array_remove(F.split(marked, MARKED_BREAK), "")
 
 
 def count_marked_words(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -47,9 +49,9 @@ def count_characters(texts: DataFrame, text: str = "text") -> DataFrame:
 
     Words are counted first; only the distinct ones are taken apart.
     """
-    words = _count(texts, F.regexp_extract_all(F.col(text), F.lit(SPACED_WORD), F.lit(0)))
+    words = _count(texts, F.array_remove(F.split(F.col(text), SPACED_BREAK), ""))
     return (
-        words.select(F.explode(F.regexp_extract_all("word", F.lit("(?s)."), F.lit(0))).alias("ch"), "n")
+        words.select(F.explode(tx.characters(F.col("word"))).alias("ch"), "n")
         .groupBy("ch")
         .agg(F.sum("n").alias("n"))
     )
