@@ -20,6 +20,8 @@ MAX_PIECE = 16
 SEED_FACTOR = 4
 KEEP_SHARE = 0.75
 UNKNOWN_LOG_PROB = -20.0
+# Count of a letter that the best pieces never need; it stays spellable.
+FLOOR = 1e-6
 
 
 def seed_pieces(words: DataFrame, letters: list[str], size: int) -> dict[str, float]:
@@ -155,10 +157,11 @@ def learn_unigram(words: DataFrame, letters: list[str], size: int, rounds: int =
         counts: dict[str, float] = {}
         for _ in range(rounds):
             counts = expectation(words, model)
-            model = _log_share({**{c: 1e-6 for c in letters}, **counts})
+            counts = {**counts, **{c: max(counts.get(c, 0.0), FLOOR) for c in letters}}
+            model = _log_share(counts)
         if len(model) <= max(size, len(letters)):
             return model
-        model = _log_share(prune({**{c: 1e-6 for c in letters}, **counts}, letters, size))
+        model = _log_share(prune(counts, letters, size))
 
 
 def model_table(spark, model: dict[str, float]) -> DataFrame:

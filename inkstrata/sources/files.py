@@ -148,7 +148,9 @@ def _bare(path):
 
 def _qualified(spark: SparkSession, path: str) -> str:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(location).toString()
+    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    # escaped, as the scan reports its files
+    return system.makeQualified(location).toUri().toString()
 
 
 def worker_files(spark: SparkSession, files: Sequence[str], num_workers: int) -> DataFrame:
@@ -160,6 +162,9 @@ def worker_files(spark: SparkSession, files: Sequence[str], num_workers: int) ->
 
 def read_for_workers(spark: SparkSession, files: Sequence[str], num_workers: int) -> DataFrame:
     """Training texts of the listed files with the worker that owns each of them."""
+    folders = [path for path in files if not _is_file(spark, path)]
+    if folders:
+        raise ValueError(f"workers are given files, not folders: {folders}")
     assigned = worker_files(spark, files, num_workers).withColumn("location", _bare(F.col("location")))
     texts = read_parquet_text(spark, files).withColumn("location", _bare(F.col("file_path")))
     # the list is held by the caller, so it is small
