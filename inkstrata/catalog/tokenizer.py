@@ -78,9 +78,28 @@ def _(spark, sf):
     return bpe.count_pairs(bpe.start_symbols(marked_words(spark, sf)))
 
 
-@query("j5_bpe_merges")
+MERGES = 16
+
+# One merge per step: count the pairs, take the best, replace it everywhere.
+SQL_MERGES = f"""WITH RECURSIVE {SQL_MARKED},
+    steps AS (
+      SELECT 0 AS step, '' AS l, '' AS r, CAST(0 AS BIGINT) AS c,
+        chr(2) || array_to_string(regexp_extract_all(word, '(?s).'), chr(3) || chr(2)) || chr(3) AS symbols, n FROM marked
+      UNION ALL
+      SELECT step + 1, b.l, b.r, b.c,
+        replace(symbols, chr(2) || b.l || chr(3) || chr(2) || b.r || chr(3), chr(2) || b.l || b.r || chr(3)), n
+      FROM steps, (
+        SELECT p[1] AS l, p[2] AS r, CAST(sum(n) AS BIGINT) AS c FROM (
+          SELECT unnest(list_zip(parts[:-2], parts[2:])) AS p, n FROM (
+            SELECT string_split(symbols[2:-2], chr(3) || chr(2)) AS parts, n FROM steps) WHERE len(parts) > 1)
+        GROUP BY p ORDER BY c DESC, l, r LIMIT 1) b
+      WHERE step < {MERGES})
+    SELECT DISTINCT CAST(step AS INTEGER) AS "rank", l AS "left", r AS "right", c AS n FROM steps WHERE step > 0"""
+
+
+@query("j5_bpe_merges", SQL_MERGES)
 def _(spark, sf):
-    return bpe.merge_table(spark, bpe.learn_merges(marked_words(spark, sf), 60))
+    return bpe.merge_table(spark, bpe.learn_merges(marked_words(spark, sf), MERGES))
 
 
 def letters(spark, sf):
@@ -109,19 +128,23 @@ def _(spark, sf):
     return encoded.select("doc_id", joined("ids").alias("ids"))
 
 
-@query("j7_encode_bpe")
+SQL_UNIFIED = f"SELECT doc_id, regexp_replace({sql_strip('text')}, '{SQL_SPACE}+', ' ', 'g') AS text FROM documents"
+
+
+@query("j7_encode_bpe", SQL_UNIFIED)
 def _(spark, sf):
-    merges = bpe.learn_merges(marked_words(spark, sf), 30)
-    encoded = bpe.encode(table(spark, sf, "documents").select("doc_id", "text"), letters(spark, sf), merges)
-    return encoded.select("doc_id", F.size("ids").alias("n_ids"), joined("ids").alias("ids"))
+    # encoded and decoded again: nothing of a text may get lost
+    merges, known = bpe.learn_merges(marked_words(spark, sf), 30), letters(spark, sf)
+    encoded = bpe.encode(table(spark, sf, "documents").select("doc_id", "text"), known, merges)
+    return encoded.select("doc_id", bpe.decode_column(F.col("ids"), bpe.piece_ids(known, merges)).alias("text"))
 
 
-@query("j7_encode_unigram")
+@query("j7_encode_unigram", SQL_UNIFIED)
 def _(spark, sf):
     words = marked_words(spark, sf)
     model = unigram.learn_unigram(words, letters(spark, sf), 400)
     encoded = unigram.encode(table(spark, sf, "documents").select("doc_id", "text"), model)
-    return encoded.select("doc_id", F.size("ids").alias("n_ids"), joined("ids").alias("ids"))
+    return encoded.select("doc_id", bpe.decode_column(F.col("ids"), unigram.piece_ids(model)).alias("text"))
 
 
 @query(

@@ -27,6 +27,11 @@ WORD_BREAK = r"[\t-\r ]+|(?<=[0-9])(?![\t-\r ])|(?<![\t-\r ])(?=[0-9])"
 
 # Prompt and record templates.
 ASSISTANT_RULE = "You are a security-cleared assistant that must cite your sources.\n"
+CONTEXT_HEAD = "Context:\n"
+QUESTION_HEAD = "\n\nUser question: "
+QA_QUESTION, QA_CONTEXT, QA_ANSWER = "Question: ", "\nContext: ", "\nAnswer:"
+RECORD_HEAD, RECORD_MIDDLE, RECORD_END = "<s>Instruction:\n", "\n\nResponse:\n", "</s>"
+SCORE_FORMAT = " (score=%.3f)"
 NO_CONTEXT = "No context available."
 NO_CITATIONS = "No citations available."
 ANSWER_MARK = "Assistant:"
@@ -123,9 +128,9 @@ def retrieval_prompt(question: Column, blocks: Column) -> Column:
     """Prompt from the question and its context blocks in rank order."""
     context = F.coalesce(F.nullif(F.array_join(blocks, "\n\n"), F.lit("")), F.lit(NO_CONTEXT))
     return F.concat(
-        F.lit(ASSISTANT_RULE + "Context:\n"),
+        F.lit(ASSISTANT_RULE + CONTEXT_HEAD),
         context,
-        F.lit("\n\nUser question: "),
+        F.lit(QUESTION_HEAD),
         question,
         F.lit("\n" + ANSWER_MARK),
     )
@@ -134,7 +139,7 @@ def retrieval_prompt(question: Column, blocks: Column) -> Column:
 def citation_line(rank: Column, path: Column, commit: Column, score: Column) -> Column:
     return F.concat(
         F.lit("["), rank.cast("string"), F.lit("] "), citation(path, commit),
-        F.format_string(" (score=%.3f)", score),
+        F.format_string(SCORE_FORMAT, score),
     )
 
 
@@ -144,9 +149,7 @@ def text_after_marker(prompt: Column) -> Column:
 
 
 def qa_prompt(question: Column, context: Column) -> Column:
-    return F.concat(
-        F.lit("Question: "), question, F.lit("\nContext: "), context, F.lit("\nAnswer:")
-    )
+    return F.concat(F.lit(QA_QUESTION), question, F.lit(QA_CONTEXT), context, F.lit(QA_ANSWER))
 
 
 def completion_after(output: Column, prompt: Column) -> Column:
@@ -155,9 +158,7 @@ def completion_after(output: Column, prompt: Column) -> Column:
 
 
 def instruction_record(prompt: Column, response: Column) -> Column:
-    return F.concat(
-        F.lit("<s>Instruction:\n"), prompt, F.lit("\n\nResponse:\n"), response, F.lit("</s>")
-    )
+    return F.concat(F.lit(RECORD_HEAD), prompt, F.lit(RECORD_MIDDLE), response, F.lit(RECORD_END))
 
 
 def candidate_program(code: Column, completion: Column) -> Column:

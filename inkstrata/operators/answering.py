@@ -91,7 +91,7 @@ def citation_report(citations: Column) -> Column:
         citations,
         lambda c: F.concat(
             c["label"], F.lit(" "), tx.citation(c["file_path"], c["commit"]),
-            F.format_string(" (score=%.3f)", c["score"]),
+            F.format_string(tx.SCORE_FORMAT, c["score"]),
         ),
     )
     return F.when(F.size(citations) > 0, F.array_join(lines, "\n")).otherwise(F.lit(tx.NO_CITATIONS))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import lru_cache
 
 import pandas as pd
@@ -180,8 +181,18 @@ def encode(texts: DataFrame, letters: list[str], learnt: list[tuple[str, str, in
     return texts.withColumn("ids", to_ids(vb.marked_words(F.col(text))))
 
 
-def decode(ids: list[int], pieces: dict[int, str]) -> str:
-    """Text of an id list, for checks and reports."""
+def decode_column(ids: Column, piece_to_id: dict[str, int]) -> Column:
+    """Text of id lists, with white space unified as encoding does."""
+    pieces = {i: p for p, i in piece_to_id.items()}
+
+    @F.pandas_udf("string")
+    def to_text(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda row: decode(row, pieces))
+
+    return to_text(ids)
+
+
+def decode(ids: Iterable[int], pieces: dict[int, str]) -> str:
     data = b""
     for i in ids:
         piece = pieces[i]

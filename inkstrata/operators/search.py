@@ -14,8 +14,9 @@ from inkstrata.operators.skew import lookup_join
 
 # Largest query matrix that is broadcast, in numbers of eight bytes (64 MB).
 BROADCAST_NUMBERS = 8_000_000
-# Largest score matrix held at once, in numbers.
+# Largest score matrix held at once, and largest hit table of a task, in numbers.
 TILE_NUMBERS = 4_000_000
+HIT_NUMBERS = 4_000_000
 # Vectors per block where both sides are cut into blocks.
 BLOCK_ROWS = 50_000
 # Largest hit table that is broadcast for the text lookup.
@@ -137,7 +138,7 @@ def top_k(
     scale = _unit if metric == "cosine" else (lambda m: m)
 
     n_queries = asked.count()
-    if n_queries * dim <= broadcast_numbers:
+    if n_queries * dim <= broadcast_numbers and n_queries * k <= HIT_NUMBERS:
         table = asked.toArrow()  # size checked on the line above
         shared = spark.sparkContext.broadcast(
             (table.column("query_id").to_numpy(), scale(_matrix(table.column("v"), dim)))
@@ -154,7 +155,7 @@ def top_k(
 
         partial = stored.mapInArrow(scan, spark_schema)
     else:
-        query_rows = max(1, broadcast_numbers // dim)
+        query_rows = max(1, min(broadcast_numbers // dim, HIT_NUMBERS // k))
         query_blocks = -(-n_queries // query_rows)
         corpus_blocks = max(1, -(-stored.count() // BLOCK_ROWS))
 

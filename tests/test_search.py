@@ -83,6 +83,7 @@ def test_zero_vectors_keep_their_length(spark):
     assert row["z"] == [0.0, 0.0] and row["unmasked"] == 1.0
 
 
+# The retrieval scenario.
 KEYWORDS = ["security", "compliance", "pipeline"]
 
 
