@@ -8,6 +8,7 @@ from inkstrata.catalog.base import SQL_STEPS, query, step_log
 from inkstrata.functions import scores as sc
 from inkstrata.operators import runlog
 from inkstrata.operators.numbering import rolling_mean
+from inkstrata.session import materialize
 
 SQL_ROLLING = f"""
 {SQL_STEPS},
@@ -40,7 +41,7 @@ def _(spark, sf):
     UNION ALL SELECT run, step, 'saved' FROM steps WHERE (step + 1) % 500 = 0""",
 )
 def _(spark, sf):
-    steps = step_log(spark, sf).select("run", "step")
+    steps = materialize(step_log(spark, sf).select("run", "step"), "steps")
     logged = runlog.logged_steps(steps, 10).withColumn("kind", F.lit("logged"))
     return logged.unionByName(runlog.saved_steps(steps, 500).withColumn("kind", F.lit("saved")))
 
@@ -53,7 +54,7 @@ def _(spark, sf):
     UNION ALL SELECT DISTINCT run, 'final', 1 FROM steps""",
 )
 def _(spark, sf):
-    steps = step_log(spark, sf)
+    steps = materialize(step_log(spark, sf), "steps")
     versions = steps.select("run", F.concat(F.lit("step-"), (F.col("step") * 100).cast("string")).alias("name"))
     final = steps.select("run").distinct().withColumn("name", F.lit("final"))
     rotated = runlog.rotate_versions(versions.unionByName(final), 3)

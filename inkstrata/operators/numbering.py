@@ -47,10 +47,12 @@ def _edges(quantiles: list[float]) -> tuple[list[float], list[float]]:
 
 def _bucket(df: DataFrame, key: Column, cuts: list[float], out: str) -> DataFrame:
     if not cuts:
-        return df.withColumn(out, F.lit(0.0))
+        return df.withColumn(out, F.lit(0))
     splits = [-math.inf, *cuts, math.inf]
     keyed = df.withColumn("_key", key)
-    return Bucketizer(splits=splits, inputCol="_key", outputCol=out).transform(keyed).drop("_key")
+    placed = Bucketizer(splits=splits, inputCol="_key", outputCol=out).transform(keyed).drop("_key")
+    # whole numbers, so that window, count and join share one partitioning
+    return placed.withColumn(out, F.col(out).cast("int"))
 
 
 def _with_buckets(df: DataFrame, order_by: Sequence[str], buckets: int) -> tuple[DataFrame, list[str]]:
@@ -71,7 +73,7 @@ def _with_buckets(df: DataFrame, order_by: Sequence[str], buckets: int) -> tuple
     inner, _ = _edges(_quantiles(df.where(key.isin(hot)), second, buckets))
     out = _bucket(out, second, inner, "_inner")
     return (
-        out.withColumn("_inner", F.when(key.isin(hot), F.col("_inner")).otherwise(0.0)),
+        out.withColumn("_inner", F.when(key.isin(hot), F.col("_inner")).otherwise(0)),
         ["_bucket", "_inner"],
     )
 
