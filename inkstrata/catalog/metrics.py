@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from inkstrata.catalog.base import SQL_PAIRS, SQL_WORDS, query, sql_strip, table
 from inkstrata.catalog.ingest import vectors
-from inkstrata.functions import text as tx
 from inkstrata.functions import vectors as vx
 from inkstrata.operators import evaluation, examples, sinks
 from inkstrata.plans import jobs
@@ -60,30 +59,32 @@ def _(spark, sf):
     return evaluation.exact_match(both).select(F.round("exact_match", 9).alias("exact_match"))
 
 
+def copy_context(prompt: str) -> str:
+    """A caller's generator: echoes the prompt and answers with the context, now and then wrongly."""
+    context = prompt.split("\nContext: ", 1)[1].removesuffix("\nAnswer:")
+    return prompt + "  " + context.replace("e", "E") + ("! " if len(context) % 3 == 0 else " ")
+
+
 @query(
     "n6_doc_qa_report",
-    f"""WITH {SQL_PREDICTIONS} SELECT round(avg(CAST(hit AS INTEGER)), 9) AS exact_match FROM scored""",
+    f"""WITH {SQL_PAIRS}, scored AS (SELECT list_contains(
+        CASE WHEN conv_id % 4 = 0 THEN [] ELSE [lower({sql_strip('prompt')}), lower({sql_strip('response')})] END,
+        lower({sql_strip("replace(response, 'e', 'E') || CASE WHEN length(response) % 3 = 0 THEN '!' ELSE '' END")})) AS hit
+      FROM pairs)
+    SELECT round(avg(CAST(hit AS INTEGER)), 9) AS exact_match FROM scored""",
 )
 def _(spark, sf):
     path = fresh_dir(spark, "qa")
-    pairs = examples.instruction_pairs(table(spark, sf, "conversations")).join(
-        references(spark, sf), ["conv_id", "turn"]
-    ).join(predictions(spark, sf), ["conv_id", "turn"])
-    prompt = tx.qa_prompt(F.col("prompt"), F.col("response"))
+    pairs = examples.instruction_pairs(table(spark, sf, "conversations"))
     sinks.write_json(
         pairs.select(
             F.col("prompt").alias("question"), F.col("response").alias("context"),
-            F.when(F.size("references") > 0, F.col("references")).alias("answers"),
+            F.when(F.col("conv_id") % 4 != 0, F.array("prompt", "response")).alias("answers"),
         ),
-        f"{path}/questions",
+        path,
     )
-    outputs = pairs.select(
-        F.col("prompt").alias("question"), F.col("response").alias("context"),
-        F.concat(prompt, "prediction").alias("output"),
-    ).distinct()
-    # the echo of the prompt precedes the answer in a model's output
-    records = files.read_qa(spark, f"{path}/questions").join(outputs, ["question", "context"])
-    return jobs.qa_report(records).select(F.round("exact_match", 9).alias("exact_match"))
+    report = jobs.qa_report(files.read_qa(spark, path), copy_context)
+    return report.select(F.round("exact_match", 9).alias("exact_match"))
 
 
 SQL_RESULTS = """

@@ -12,7 +12,7 @@ from inkstrata.functions import scores as sc
 from inkstrata.functions import text as tx
 from inkstrata.functions import vectors as vx
 from inkstrata.operators.numbering import number_rows
-from inkstrata.operators.skew import HOT_KEYS, lookup_join
+from inkstrata.operators.skew import largest_keys, lookup_join
 from inkstrata.session import materialize
 
 
@@ -105,7 +105,7 @@ def learn_bigrams(texts: DataFrame, text: str = "text") -> DataFrame:
         F.sum(F.when(F.col("w2").isNotNull(), F.col("n"))).alias("h"), F.count("w2").alias("_followers")
     )
     vocabulary = history.count()
-    busiest = history.orderBy(F.desc("_followers"), "w1").limit(HOT_KEYS)
+    busiest = largest_keys(history, ["w1"], "_followers")
     followed = pairs.where(F.col("w2").isNotNull())
     model = lookup_join(followed, history.drop("_followers"), ["w1"], ["w2"], hot=busiest).select(
         "w1", "w2", "n", F.log((F.col("n") + 1) / (F.col("h") + vocabulary)).alias("log_prob")
@@ -127,7 +127,7 @@ def bigram_loss(texts: DataFrame, model: DataFrame, key: str, text: str = "text"
         key, F.col("pair.w1").alias("w1"), F.col("pair.w2").alias("w2")
     ).where(F.col("w2").isNotNull())
     # pairs that are frequent in the corpus are found in most texts
-    frequent = model.orderBy(F.desc("n"), "w1", "w2").limit(HOT_KEYS)
+    frequent = largest_keys(model, ["w1", "w2"], "n")
     losses = (
         lookup_join(pairs, model.drop("n"), ["w1", "w2"], [key], hot=frequent)
         .groupBy(key)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _EXACT_DOUBLE = 2.0**53
-_MAX_BUCKETS = 2000
+_MAX_BUCKETS = 10_000
 
 
 def _as_number(df: DataFrame, name: str) -> Column | None:

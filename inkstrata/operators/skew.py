@@ -9,24 +9,29 @@ from pyspark.sql import functions as F
 
 from inkstrata.session import cut_lineage
 
-HOT_KEYS = 256
-SALTS = 64
+MIN_HOT_KEYS = 256
 
 
-def hot_keys(facts: DataFrame, keys: Sequence[str], limit: int = HOT_KEYS, weight: str | None = None) -> DataFrame:
-    """The ``limit`` most frequent keys, or those of the greatest total ``weight``.
+def partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    Every key left out holds at most ``1 / limit`` of the rows, so treating just
-    these as hot is enough, and their number is bounded by the parameter.
+
+def hot_limit(df: DataFrame) -> int:
+    """How many keys are treated as hot: more than there are reduce tasks."""
+    return max(MIN_HOT_KEYS, 2 * partitions(df))
+
+
+def largest_keys(sizes: DataFrame, keys: Sequence[str], size: str) -> DataFrame:
+    """``keys, _size`` of the most frequent keys of a table of key counts.
+
+    Every key left out holds at most ``1 / limit`` of the rows, less than the
+    fair share of a task, so it is enough to treat just these as hot.
     """
-    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    return (
-        facts.groupBy(*keys)
-        .agg(size.alias("_size"))
-        .orderBy(F.desc("_size"), *keys)
-        .limit(limit)
-        .select(*keys)
-    )
+    return sizes.select(*keys, F.col(size).alias("_size")).orderBy(F.desc("_size"), *keys).limit(hot_limit(sizes))
+
+
+def hot_keys(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return largest_keys(facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, "_n")
 
 
 def lookup_join(
@@ -36,36 +41,37 @@ def lookup_join(
     row_id: Sequence[str],
     how: str = "inner",
     hot: DataFrame | None = None,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join many ``facts`` to ``dim``, which is unique on ``keys``.
 
-    Rows of hot keys are spread over ``salts`` sub-keys, chosen from ``row_id``
-    (columns that tell the facts of a key apart), and the few matching rows of
-    ``dim`` are copied once per sub-key. ``hot`` are the hot keys where the
-    caller knows them already (a short table); otherwise the facts are counted.
-    ``how`` is ``inner`` or ``left``.
+    The rows of a hot key are spread over sub-keys, as many as the key is times
+    too large for one task, and the matching row of ``dim`` is copied once per
+    sub-key: no more copies in all than twice the tasks and hot keys. ``row_id``
+    are columns that tell the facts of a key apart. ``hot`` comes from
+    :func:`largest_keys` where the caller has key counts already; otherwise the
+    facts are counted. ``how`` is ``inner`` or ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     keys = list(keys)
-    if hot is None:
-        hot = hot_keys(facts, keys)
-    # a fixed number of rows, hence small enough to broadcast; settled once, as
-    # both sides must agree on them
-    marked = F.broadcast(cut_lineage(hot.select(*keys)).withColumn("_hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in row_id]), F.lit(salts)).cast("int")
-    # facts without a key match nothing and may be just as many
+    tasks = partitions(facts)
+    # a bounded number of rows, settled once, as both sides must agree on them
+    known = cut_lineage(hot_keys(facts, keys) if hot is None else hot)
+    bounds = known.agg(F.sum("_size").alias("all"), F.min("_size").alias("least"), F.count("_size").alias("n")).first()
+    share = max(1.0, (bounds["all"] or 0) / tasks)
+    if bounds["n"] >= hot_limit(facts):
+        # some keys are left out, each of at most the least size
+        share = max(share, float(bounds["least"]))
+    marked = F.broadcast(known.select(*keys, F.ceil(F.col("_size") / F.lit(share)).cast("int").alias("_salts")))
+
+    row = F.xxhash64(*[F.col(c) for c in row_id])
     keyless = F.lit(False)
     for key in keys:
         keyless = keyless | F.col(key).isNull()
-    left = facts.join(marked, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | keyless, spread).otherwise(F.lit(0))
-    ).drop("_hot")
+    # facts without a key match nothing and may be just as many
+    salts = F.when(keyless, F.lit(tasks)).otherwise(F.coalesce("_salts", F.lit(1)))
+    left = facts.join(marked, keys, "left").withColumn("_salt", F.pmod(row, salts).cast("int")).drop("_salts")
     right = dim.join(marked, keys, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    ).drop("_hot")
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    ).drop("_salts")
     return left.join(right, [*keys, "_salt"], how).drop("_salt")

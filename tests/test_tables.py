@@ -98,12 +98,26 @@ def test_lookup_join_with_hot_and_missing_keys(spark, how):
     assert got == want
 
 
-def test_hot_rows_are_spread(spark):
-    facts = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("i"))
-    dim = spark.createDataFrame([("hot", 1)], "k string, d int")
-    # the salted key is part of the join condition
-    plan = skew.lookup_join(facts, dim, ["k"], ["i"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
+def test_hot_rows_are_spread(spark, monkeypatch):
+    """A key with a third of the rows is cut to the share of a task."""
+    facts = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k"),
+        F.col("id").alias("i"),
+    )
+    dim = facts.select("k").distinct().withColumn("d", F.lit(1))
+    seen = {}
+
+    def join(self, other, on=None, how=None):
+        if on == ["k", "_salt"]:
+            seen["largest"] = self.groupBy(*on).count().agg(F.max("count")).first()[0]
+            seen["copies"] = other.count() - dim.count()
+        return original(self, other, on, how)
+
+    original = type(facts).join
+    monkeypatch.setattr(type(facts), "join", join)
+    assert skew.lookup_join(facts, dim, ["k"], ["i"]).count() == 9000
+    tasks = skew.partitions(facts)
+    assert seen["largest"] <= 1.5 * 9000 / tasks and seen["copies"] <= 2 * tasks
 
 
 def test_versions(spark):
