@@ -17,6 +17,8 @@ BROADCAST_NUMBERS = 8_000_000
 # Largest score matrix held at once, and largest hit table of a task, in numbers.
 TILE_NUMBERS = 4_000_000
 HIT_NUMBERS = 4_000_000
+# Rounding error of a matrix product, relative to the lengths of its vectors.
+SLACK = 1e-9
 # Vectors per block where both sides are cut into blocks.
 BLOCK_ROWS = 50_000
 # Largest hit table that is broadcast for the text lookup.
@@ -50,19 +52,30 @@ class _Best:
         self.scores = np.full((queries, k), -np.inf)
         self.positions = np.zeros((positions, queries, k), dtype=np.int64)
 
-    def add(self, first: int, scores: np.ndarray, positions: np.ndarray) -> None:
-        """Offer scores (rows x queries) of rows that are sorted by position."""
-        rows, queries = scores.shape
+    def add(self, first: int, queries: np.ndarray, vectors: np.ndarray, positions: np.ndarray, digits: int | None) -> None:
+        """Offer vectors, sorted by position, to the queries from number ``first`` on.
+
+        The matrix product only finds the rows that may count, as its last bits
+        depend on where a row stands; those are scored again one row at a time,
+        so that equal vectors get equal scores and the tie rule holds.
+        """
+        rows, asked = len(vectors), len(queries)
         kept = min(self.k, rows)
-        threshold = np.partition(scores, rows - kept, axis=0)[rows - kept]
-        picked = np.empty((queries, kept), dtype=np.int64)
-        for q in range(queries):
-            column = scores[:, q]
-            above = np.flatnonzero(column > threshold[q])
-            level = np.flatnonzero(column == threshold[q])
-            picked[q] = np.concatenate([above, level[len(level) - (kept - len(above)):]])
-        part = slice(first, first + queries)
-        offered = np.take_along_axis(scores.T, picked, axis=1)
+        rough = vectors @ queries.T
+        threshold = np.partition(rough, rows - kept, axis=0)[rows - kept]
+        slack = SLACK * np.linalg.norm(vectors, axis=1).max() * np.linalg.norm(queries, axis=1)
+        if digits is not None:
+            slack = slack + 10.0**-digits
+        offered = np.empty((asked, kept))
+        picked = np.empty((asked, kept), dtype=np.int64)
+        for q in range(asked):
+            near = np.flatnonzero(rough[:, q] >= threshold[q] - slack[q])
+            scores = (vectors[near] * queries[q]).sum(axis=1)
+            if digits is not None:
+                scores = np.round(scores, digits)
+            order = np.lexsort((near, scores))[::-1][:kept]
+            offered[q], picked[q] = scores[order], near[order]
+        part = slice(first, first + asked)
         all_scores = np.concatenate([self.scores[part], offered], axis=1)
         all_positions = np.concatenate([self.positions[:, part], positions[:, picked]], axis=2)
         # last key sorts first: score, then the positions in their order
@@ -74,15 +87,12 @@ class _Best:
 def _offer(best: _Best, queries: np.ndarray, vectors: np.ndarray, positions: np.ndarray, digits: int | None) -> None:
     order = np.lexsort(positions[::-1])
     vectors, positions = vectors[order], positions[:, order]
-    rows = max(1, min(len(vectors), TILE_NUMBERS // 64))
+    rows = max(1, TILE_NUMBERS // 64)
     for top in range(0, len(vectors), rows):
         block = vectors[top : top + rows]
         width = max(1, TILE_NUMBERS // len(block))
         for left in range(0, len(queries), width):
-            scores = block @ queries[left : left + width].T
-            if digits is not None:
-                scores = np.round(scores, digits)
-            best.add(left, scores, positions[:, top : top + rows])
+            best.add(left, queries[left : left + width], block, positions[:, top : top + rows], digits)
 
 
 def _hits(best: _Best, query_ids: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:

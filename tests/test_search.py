@@ -41,6 +41,20 @@ def test_top_k_against_brute_force(spark, metric, limit):
         assert found == brute_force(queries, corpus, k, metric)
 
 
+@pytest.mark.parametrize("limit", [search.BROADCAST_NUMBERS, 40])
+def test_copies_rank_by_position_without_rounding(spark, limit):
+    """A third of the vectors are one and the same; their scores must be equal bit by bit."""
+    rng = np.random.default_rng(6)
+    copied = rng.normal(size=37).tolist()
+    corpus = {i: copied if i % 3 == 0 else rng.normal(size=37).tolist() for i in range(600)}
+    queries = {0: [x * 0.7 for x in copied], 1: rng.normal(size=37).tolist()}
+    stored = spark.createDataFrame(list(corpus.items()), "chunk_id bigint, embedding array<double>").repartition(3)
+    asked = spark.createDataFrame(list(queries.items()), "query_id bigint, embedding array<double>")
+    got = search.top_k(asked, stored, 50, 37, broadcast_numbers=limit).where("query_id = 0").orderBy("rank").collect()
+    assert [r["chunk_id"] for r in got] == [i for i in range(599, -1, -1) if i % 3 == 0][:50]
+    assert len({r["score"] for r in got}) == 1
+
+
 def test_vectors_are_checked(spark):
     one = spark.createDataFrame([(1, [1.0, 2.0])], "chunk_id bigint, embedding array<double>")
     asked = one.withColumnRenamed("chunk_id", "query_id")
