@@ -30,9 +30,9 @@ def _(spark, sf):
 
 @query(
     "a3_many_datasets",
-    """SELECT 'documents' AS dataset, count(*) AS texts, sum(length(text)) AS chars FROM documents
-    UNION ALL SELECT 'benchmark', count(*), sum(length(text)) FROM benchmark
-    UNION ALL SELECT 'conversations', count(*), sum(length(text)) FROM conversations
+    """SELECT 'documents' AS dataset, count(*) AS texts, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents
+    UNION ALL SELECT 'benchmark', count(*), CAST(sum(length(text)) AS BIGINT) FROM benchmark
+    UNION ALL SELECT 'conversations', count(*), CAST(sum(length(text)) AS BIGINT) FROM conversations
     UNION ALL SELECT 'skipped absent:train:text', 0, 0
     UNION ALL SELECT 'skipped pages:train:text', 0, 0""",
 )
@@ -149,7 +149,7 @@ def _(spark, sf):
     "b1_shard_assignment",
     f"""WITH {SQL_RECORDS}
     SELECT doc_id, lang AS split, (row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) // 50 + 1 AS shard,
-      length(text) AS num_chars FROM records""",
+      CAST(length(text) AS INTEGER) AS num_chars FROM records""",
 )
 def _(spark, sf):
     records = cleaning.process_examples(licensed(spark, sf), keep=["doc_id", "lang"]).withColumnRenamed("lang", "split")
@@ -158,7 +158,7 @@ def _(spark, sf):
 
 @query(
     "b1_written_shards",
-    """SELECT 'documents' AS dataset, lang AS split, count(*) AS records, sum(length(text)) AS chars,
+    """SELECT 'documents' AS dataset, lang AS split, count(*) AS records, CAST(sum(length(text)) AS BIGINT) AS chars,
       CAST(1 AS BIGINT) AS within_size
     FROM documents GROUP BY lang""",
 )
@@ -214,7 +214,7 @@ def _(spark, sf):
 
 
 SQL_PROCESSED = f"""WITH {SQL_RECORDS}
-    SELECT doc_id, text, length(text) AS num_chars, len(blocks) AS num_code_blocks,
+    SELECT doc_id, text, CAST(length(text) AS INTEGER) AS num_chars, CAST(len(blocks) AS INTEGER) AS num_code_blocks,
       CASE WHEN len(blocks) > 0 THEN array_to_string(blocks, E'\\n\\n') END AS code_blocks, license FROM records"""
 
 
@@ -296,7 +296,7 @@ def _(spark, sf):
     "f8_corpus_statistics",
     f"""WITH {SQL_RECORDS}
     SELECT coalesce(source, 'all') AS source, coalesce(lang, 'all') AS lang, count(*) AS records,
-      sum(length(text)) AS num_chars, sum(len(blocks)) AS num_code_blocks, round(avg(length(text)), 6) AS avg_chars
+      CAST(sum(length(text)) AS BIGINT) AS num_chars, CAST(sum(len(blocks)) AS BIGINT) AS num_code_blocks, round(avg(length(text)), 6) AS avg_chars
     FROM records GROUP BY ROLLUP (source, lang)""",
 )
 def _(spark, sf):
@@ -325,7 +325,7 @@ def _(spark, sf):
       SELECT 'documents' AS dataset, doc_id AS id, text FROM documents
       UNION ALL SELECT 'benchmark', item_id, text FROM benchmark),
     cleaned AS (SELECT dataset, id, {sql_normalized(SQL_TAGGED)} AS text FROM src)
-    SELECT dataset, 'train' AS split, id, text, length(text) AS num_chars,
+    SELECT dataset, 'train' AS split, id, text, CAST(length(text) AS INTEGER) AS num_chars,
       (row_number() OVER (PARTITION BY dataset ORDER BY id) - 1) // 300 + 1 AS shard FROM cleaned""",
 )
 def _(spark, sf):

@@ -112,8 +112,8 @@ def _(spark, sf):
 
 @query(
     "d2_window_parameters",
-    """SELECT 'size 512 overlap 64' AS setting, sum(CASE WHEN length(text) = 0 THEN 0 WHEN length(text) <= 512 THEN 1
-        ELSE 1 + CAST(ceil((length(text) - 512) / 448.0) AS BIGINT) END) AS windows, '' AS error FROM documents
+    """SELECT 'size 512 overlap 64' AS setting, CAST(sum(CASE WHEN length(text) = 0 THEN 0 WHEN length(text) <= 512 THEN 1
+        ELSE 1 + CAST(ceil((length(text) - 512) / 448.0) AS BIGINT) END) AS BIGINT) AS windows, '' AS error FROM documents
     UNION ALL SELECT 'size 0 overlap 0', 0, 'chunk size must be positive'
     UNION ALL SELECT 'size 64 overlap -1', 0, 'chunk overlap must not be negative'
     UNION ALL SELECT 'size 64 overlap 64', 0, 'chunk overlap must be smaller than the chunk size'""",
@@ -140,7 +140,7 @@ def _(spark, sf):
 
 
 SQL_BLANKED = """
-blanked AS (SELECT doc_id, regexp_replace(text, '[aeiou]', repeat(' ', 20), 'g') || repeat(' ', 900) AS text FROM documents)"""
+blanked AS (SELECT doc_id, replace(text, '.', '.' || repeat(' ', 130)) || repeat(' ', 900) AS text FROM documents)"""
 
 
 @query(
@@ -149,7 +149,7 @@ blanked AS (SELECT doc_id, regexp_replace(text, '[aeiou]', repeat(' ', 20), 'g')
 )
 def _(spark, sf):
     blanked = table(spark, sf, "documents").select(
-        "doc_id", F.concat(F.regexp_replace("text", "[aeiou]", " " * 20), F.lit(" " * 900)).alias("text")
+        "doc_id", F.concat(F.replace("text", F.lit("."), F.lit("." + " " * 130)), F.lit(" " * 900)).alias("text")
     )
     return chunking.drop_blank(chunking.chunk(blanked, chunking.Chunker(64, 8)))
 
