@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,21 @@ def local_session(cpus: int | str = "*", app: str = "inkstrata", **conf: str) ->
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="inkstrata-")) / package.name
+    archive = shutil.make_archive(str(target), "zip", root_dir=package.parent, base_dir=package.name)
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
