@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from inkstrata.llm import packing, pii
+from inkstrata.llm import packing, pii, secrets, sharding
 from inkstrata.llm.common import scan
+from inkstrata.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,3 +38,23 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_pii", pii.sql())
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return pii.report(scan(spark, sf, "documents"))
+
+
+@query("op9_sharding")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    docs = scan(spark, sf, "documents").select("doc_id", "text")
+    keyed = materialize(sharding.with_keys(docs).drop("text"), "shard-keys")
+    return sharding.shard(keyed, keys=keyed).select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        F.col("_crc32").alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op2_secrets", secrets.sql())
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.report(scan(spark, sf, "documents"))
