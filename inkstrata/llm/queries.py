@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkstrata.llm import packing, pii, secrets, sharding
+from inkstrata.llm import neardup, packing, pii, secrets, sharding
 from inkstrata.llm.common import scan
 from inkstrata.session import materialize
 
@@ -58,3 +58,32 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op2_secrets", secrets.sql())
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.report(scan(spark, sf, "documents"))
+
+
+_ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op6_near_duplicates",
+    rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x20\x09-\x0D]+') AS words FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) = 1 THEN words
+    ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS node, doc_id AS seen FROM documents
+  UNION SELECT node, b FROM reach JOIN both_ways ON a = seen),
+least AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w LEFT JOIN n USING (doc_id) JOIN least ON node = w.doc_id""",
+)
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    found = neardup.near_duplicates(scan(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
