@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkstrata.llm import neardup, packing, pii, secrets, sharding
+from inkstrata.llm import decontamination, neardup, packing, pii, secrets, sharding, warc
 from inkstrata.llm.common import scan
-from inkstrata.session import materialize
+from inkstrata.session import fresh_dir, materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,3 +87,16 @@ FROM w LEFT JOIN n USING (doc_id) JOIN least ON node = w.doc_id""",
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     found = neardup.near_duplicates(scan(spark, sf, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op4_decontamination", decontamination.sql())
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.report(scan(spark, sf, "documents"), scan(spark, sf, "benchmark"))
+
+
+@query("op7_warc", warc.sql())
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    path = fresh_dir(spark, "warc")
+    warc.write_archives(scan(spark, sf, "pages"), path)
+    read = warc.read_archives(spark, path)
+    return read.withColumns({c: F.col(c).cast("bigint") for c in ("page_id", "refers_to")})
