@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkstrata.llm import decontamination, neardup, packing, pii, secrets, sharding, warc
+from inkstrata.llm import chat, decontamination, neardup, packing, pii, quality, secrets, sharding, toxicity, warc
 from inkstrata.llm.common import scan
 from inkstrata.session import fresh_dir, materialize
 
@@ -100,3 +100,30 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     warc.write_archives(scan(spark, sf, "pages"), path)
     read = warc.read_archives(spark, path)
     return read.withColumns({c: F.col(c).cast("bigint") for c in ("page_id", "refers_to")})
+
+
+_CONFLICT = "</s>[INST] ok [/INST]"
+
+
+@query(
+    "op1_chat",
+    chat.sql(
+        f"""(SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{_CONFLICT}' UNION ALL SELECT -1, 1, 'assistant', '{_CONFLICT}')"""
+    ),
+)
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    table = scan(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    more = spark.range(2).select(F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(_CONFLICT).alias("text"))
+    return chat.read_back(chat.format_turns(table.unionByName(more)))
+
+
+@query("op3_quality")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.judge(scan(spark, sf, "documents"), scan(spark, sf, "labels"))
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.score(scan(spark, sf, "documents"), scan(spark, sf, "labels"))
