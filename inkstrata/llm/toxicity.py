@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -24,8 +25,10 @@ from inkstrata.session import materialize
 FOLDS = 5
 # Labelled rows to fit on: all up to this number, beyond it a hash sample of about as many.
 MAX_ROWS = 20_000
-# Words learned from the labels: rows that have them, share of toxic ones among these, how many.
-LEARNED_ROWS, LEARNED_SHARE, LEARNED_WORDS = 10, 0.8, 200
+# Words and beginnings of words learned from the labels: texts that have them, share of
+# toxic ones among these, how many.
+LEARNED_ROWS, LEARNED_SHARE, LEARNED_WORDS = 6, 0.85, 400
+PREFIXES = (4, 5, 6)
 NEAR = 5
 
 # Common insults.
@@ -71,16 +74,28 @@ def words_of(text: str) -> list[str]:
     return [word.strip(_EDGE).lower() for word in text.split()]
 
 
-def features_of(text: str, learned: frozenset[str]) -> list[float]:
+class Learned:
+    """Words, and beginnings of words, that mark toxic texts."""
+
+    def __init__(self, words: Iterable[str] = (), prefixes: Iterable[str] = ()):
+        self.words, self.prefixes = frozenset(words), frozenset(prefixes)
+        self.sizes = sorted({len(p) for p in self.prefixes})
+
+    def __contains__(self, word: str) -> bool:
+        return word in self.words or any(word[:size] in self.prefixes for size in self.sizes)
+
+
+def features_of(text: str, learned: Learned) -> list[float]:
     """``FEATURES`` of a text; a text without words has zeros."""
     raw = text.split()
     if not raw:
         return [0.0] * len(FEATURES)
     words = [word.strip(_EDGE).lower() for word in raw]
     count = len(words)
-    hits = [at for at, word in enumerate(words) if word in LEXICON or word in learned]
+    marked = {word for word in set(words) if word in learned}
+    hits = [at for at, word in enumerate(words) if word in LEXICON or word in marked]
     known = sum(words[at] in LEXICON for at in hits)
-    taught = sum(words[at] in learned for at in hits)
+    taught = sum(words[at] in marked for at in hits)
     people = [at for at, word in enumerate(words) if word in SECOND_PERSON]
     near = 0
     if hits and people:
@@ -116,7 +131,7 @@ def features_of(text: str, learned: frozenset[str]) -> list[float]:
     ]
 
 
-def _featurize(text: str, learned: frozenset[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _featurize(text: str, learned: Learned) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             at = batch.schema.get_field_index(text)
@@ -130,7 +145,7 @@ def _featurize(text: str, learned: frozenset[str]) -> Callable[[Iterator[pa.Reco
     return run
 
 
-def features(docs: DataFrame, learned: frozenset[str], text: str = "text") -> DataFrame:
+def features(docs: DataFrame, learned: Learned, text: str = "text") -> DataFrame:
     """``docs`` with the column ``text`` replaced by one column ``_name`` for each feature."""
     kept = [name for name in docs.columns if name != text]
     schema = schema_with(docs, kept, ", ".join(f"_{name} double" for name in FEATURES))
@@ -156,23 +171,38 @@ def training_labels(labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     return own.where(drawn).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(4)))
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words and beginnings of words with the number of texts and of toxic texts that have them."""
     for batch in slices(batches):
-        labels, words = [], []
+        counts: Counter[tuple[str, bool, float]] = Counter()
         for label, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
             own = set(words_of(text))
-            words += own
-            labels += [label] * len(own)
-        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(labels, pa.float64())], names=["word", "label"])
-
-
-def learn_words(docs: DataFrame, training: DataFrame) -> frozenset[str]:
-    """Words that mark toxic training rows: at most ``LEARNED_WORDS``, the most frequent first."""
+            counts.update((word, False, label) for word in own)
+            counts.update((begin, True, label) for begin in {w[:size] for w in own for size in PREFIXES if len(w) >= size})
+        keys, numbers = list(counts), list(counts.values())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([k[0] for k in keys], pa.string()),
+                pa.array([k[1] for k in keys], pa.bool_()),
+                pa.array(numbers, pa.int64()),
+                pa.array([int(k[2]) * n for k, n in zip(keys, numbers)], pa.int64()),
+            ],
+            names=["unit", "begins", "n", "toxic"],
+        )
+
+
+def learn_words(docs: DataFrame, training: DataFrame) -> Learned:
+    """Units that mark toxic training texts: at most ``LEARNED_WORDS``, the most frequent first.
+
+    Equal texts count once.
+    """
     rows = docs.select("doc_id", "text").join(F.broadcast(training.where("part > 0").select("doc_id", "label")), "doc_id")
-    counts = rows.select("label", "text").mapInArrow(_words, "word string, label double").groupBy("word")
-    counts = counts.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic"))
-    chosen = counts.where((F.col("n") >= LEARNED_ROWS) & (F.col("toxic") >= LEARNED_SHARE * F.col("n")) & (F.col("word") != ""))
-    return frozenset(r["word"] for r in chosen.orderBy(F.desc("toxic"), "word").limit(LEARNED_WORDS).collect())
+    rows = rows.withColumn("_same", F.xxhash64("text")).dropDuplicates(["_same"])
+    counts = rows.select("label", "text").mapInArrow(_units, "unit string, begins boolean, n bigint, toxic bigint").groupBy("unit", "begins")
+    counts = counts.agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    chosen = counts.where((F.col("n") >= LEARNED_ROWS) & (F.col("toxic") >= LEARNED_SHARE * F.col("n")) & (F.length("unit") > 2))
+    found = chosen.orderBy(F.desc("toxic"), "unit").limit(LEARNED_WORDS).collect()
+    return Learned((r["unit"] for r in found if not r["begins"]), (r["unit"] for r in found if r["begins"]))
 
 
 def _assembled(df: DataFrame) -> DataFrame:
