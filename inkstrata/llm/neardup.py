@@ -9,9 +9,11 @@ are confirmed on the full shingle sets.
 
 Documents with equal sets are one node. In a file only pairs with its pivots are
 tried: first the least member, which settles ordinary groups of copies with one pair
-per member; members that are still in different components meet more and more
-pivots, until every pair of them has been tried. So a large group costs as many
-tests as it has members, and no link is lost.
+per member, then a few others. What is still in another component than most of its
+file is tried with every member of the file for which a link is not ruled out: a node
+can have no more in common with another component than the shingles that occur in
+other open components at all. So the copies that were edited too much cost little,
+no link is lost, and the members of one component are never paired with each other.
 """
 
 from __future__ import annotations
@@ -36,8 +38,8 @@ SYMBOLS = CHUNKS * CHUNK
 BITS = 11
 # Signatures further apart are not compared in full (similarity 0.8: 14.4 +- 3.4).
 MAX_DISTANCE = 36
-# Each round tries so many times the pivots of the last one.
-PIVOTS = 32
+# Members of a file, about, that others are tried with before all are.
+PIVOTS = 4
 # A table of at most so many ids is given to every task instead of shuffling texts.
 SMALL_IDS = 2_000_000
 _WORDS_KEPT = 500_000
@@ -130,6 +132,16 @@ def _sets(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
     return run
 
 
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of a set."""
+    for batch in slices(batches):
+        values = [np.frombuffer(v, np.int64) for v in batch.column(2).to_pylist()]
+        rows = np.repeat(np.arange(len(values)), [len(v) for v in values])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(values)), batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows))], names=["shingle", "node", "component"]
+        )
+
+
 @F.pandas_udf(T.IntegerType())
 def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
     x = np.frombuffer(b"".join(a), dtype="<u2").reshape(-1, SYMBOLS)
@@ -211,27 +223,48 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, size: int = SHINGLE, r
         both = close.select("a", "b", "n_a", "n_b", _common("values_a", "values_b").alias("c"))
         return materialize(both.where(100 * F.col("c") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("c"))).select("a", "b"), "links")
 
+    def opened(labels: DataFrame, larger: int) -> DataFrame:
+        """Rows of the files with more than ``larger`` members that hold several components."""
+        marked = members.where(F.col("members") > larger).join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        keys = marked.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
+        return materialize(marked.join(keys, "key", "left_semi"), "open")
+
+    def weighed(marked: DataFrame) -> DataFrame:
+        """With the set size ``n``, ``c`` shingles that another component has too, and ``major``: in the largest component of the file."""
+        own = sets.join(marked.select("node", "component").distinct(), "node").select("node", "component", "values")
+        spread = own.mapInArrow(_spread, "shingle bigint, node bigint, component bigint")
+        shared = spread.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("shingle")
+        common = spread.join(shared, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("c"))
+        counted = marked.groupBy("key", "component").agg(F.count(F.lit(1)).alias("k"))
+        major = counted.groupBy("key").agg(F.max(F.struct("k", "component")).alias("x")).select("key", F.col("x.component").alias("_major"))
+        full = marked.join(summary.select("node", "n"), "node").join(common, "node").join(major, "key")
+        return materialize(full.withColumn("major", F.col("component") == F.col("_major")).drop("_major"), "weighed")
+
+    def candidates(rows: DataFrame, targets: DataFrame) -> DataFrame:
+        """Pairs of the rows outside the largest component of their file with targets in it that may be links."""
+        probes = rows.where("not major")
+        others = targets.select("key", *[F.col(c).alias(f"_{c}") for c in ("node", "component", "n", "c")])
+        c = F.least("c", "_c")
+        may = (100 * c >= threshold * (F.col("n") + F.col("_n") - c)) & (100 * F.least("n", "_n") >= threshold * F.greatest("n", "_n"))
+        # every member has met the hub
+        apart = (F.col("component") != F.col("_component")) & (F.col("hub") != F.col("node")) & (F.col("hub") != F.col("_node"))
+        met = probes.join(others, (probes["key"] == others["key"]) & apart & may)
+        return met.select(F.greatest("node", "_node").alias("a"), F.least("node", "_node").alias("b")).distinct()
+
     # one pair for each member: the least hub it has
     first = members.groupBy("node").agg(F.min("hub").alias("b")).where("node <> b").select(F.col("node").alias("a"), "b")
     labels = _relabel(None, confirmed(first))
-    tried = 0  # pivots of a file that its members have met
-    while True:
-        open_ = members if tried < 1 else members.where(F.col("members") > F.greatest(F.lit(2), F.lit(tried)))
-        marked = open_.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = marked.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-        marked = materialize(marked.join(mixed, "key", "left_semi"), "open")
-        if marked.isEmpty():
-            break
-        if tried:
-            share = F.pmod(F.xxhash64("node", F.lit(tried)), F.col("members"))
-            pivots = marked.where(share < tried * PIVOTS)
-        else:
-            pivots = marked.where("node = hub")
-        pivots = pivots.select("key", F.col("node").alias("pivot"), F.col("component").alias("other"))
-        met = marked.join(pivots, "key").where("component <> other")
-        pairs = met.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
-        labels = _relabel(labels, confirmed(pairs))
-        tried = max(1, tried * PIVOTS)
+    # every member with the hub of each file
+    marked = opened(labels, 1)
+    hubs = marked.where("node = hub").select("key", F.col("component").alias("other"))
+    pairs = marked.join(hubs, "key").where("component <> other").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    labels = _relabel(labels, confirmed(pairs))
+    # what is left, with a few members, then with all that may be linked to it
+    for share in (F.pmod(F.xxhash64("node"), F.col("members")) < PIVOTS, F.lit(True)):
+        marked = opened(labels, 2)
+        if not marked.isEmpty():
+            rows = weighed(marked)
+            labels = _relabel(labels, confirmed(candidates(rows, rows.where(share))))
 
     whole = nodes.join(labels, "node", "left").select("digest", "node", "doc_id", F.coalesce("component", "node").alias("component"))
     lead = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col("node").alias("row")))
