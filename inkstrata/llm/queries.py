@@ -126,4 +126,4 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op8_toxicity")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
-    return toxicity.score(scan(spark, sf, "documents"), scan(spark, sf, "labels"))
+    return toxicity.report(scan(spark, sf, "documents"), scan(spark, sf, "labels"))

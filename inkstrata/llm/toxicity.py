@@ -30,6 +30,8 @@ MAX_ROWS = 20_000
 LEARNED_ROWS, LEARNED_SHARE, LEARNED_WORDS = 6, 0.85, 400
 PREFIXES = (4, 5, 6)
 NEAR = 5
+# Documents with this score and more are toxic.
+THRESHOLD = 0.5
 
 # Common insults.
 LEXICON = frozenset(
@@ -131,25 +133,22 @@ def features_of(text: str, learned: Learned) -> list[float]:
     ]
 
 
-def _featurize(text: str, learned: Learned) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+_INNER = [f"_toxicity_{name}" for name in FEATURES]
+
+
+def _featurize(at: int, learned: Learned) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            at = batch.schema.get_field_index(text)
-            made = list(zip(*(features_of(t, learned) for t in texts_of(batch.column(at)))))
-            kept = [i for i in range(batch.num_columns) if i != at]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in kept] + [pa.array(column, pa.float64()) for column in made],
-                names=[batch.schema.names[i] for i in kept] + [f"_{name}" for name in FEATURES],
-            )
+            made = zip(*(features_of(t, learned) for t in texts_of(batch.column(at))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(column, pa.float64()) for column in made)], names=[*batch.schema.names, *_INNER])
 
     return run
 
 
 def features(docs: DataFrame, learned: Learned, text: str = "text") -> DataFrame:
-    """``docs`` with the column ``text`` replaced by one column ``_name`` for each feature."""
-    kept = [name for name in docs.columns if name != text]
-    schema = schema_with(docs, kept, ", ".join(f"_{name} double" for name in FEATURES))
-    return docs.mapInArrow(_featurize(text, learned), schema)
+    """``docs`` with one column ``_toxicity_name`` for each feature of ``FEATURES``."""
+    schema = schema_with(docs, docs.columns, ", ".join(f"{name} double" for name in _INNER))
+    return docs.mapInArrow(_featurize(docs.columns.index(text), learned), schema)
 
 
 def fold(doc_id: Column) -> Column:
@@ -191,12 +190,11 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def learn_words(docs: DataFrame, training: DataFrame) -> Learned:
-    """Units that mark toxic training texts: at most ``LEARNED_WORDS``, the most frequent first.
+def learn_words(rows: DataFrame) -> Learned:
+    """Units that mark toxic training texts (``label, text``): at most ``LEARNED_WORDS``, the most frequent first.
 
     Equal texts count once.
     """
-    rows = docs.select("doc_id", "text").join(F.broadcast(training.where("part > 0").select("doc_id", "label")), "doc_id")
     rows = rows.withColumn("_same", F.xxhash64("text")).dropDuplicates(["_same"])
     counts = rows.select("label", "text").mapInArrow(_units, "unit string, begins boolean, n bigint, toxic bigint").groupBy("unit", "begins")
     counts = counts.agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
@@ -206,44 +204,61 @@ def learn_words(docs: DataFrame, training: DataFrame) -> Learned:
 
 
 def _assembled(df: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=[f"_{name}" for name in FEATURES], outputCol="_features").transform(df)
+    return VectorAssembler(inputCols=_INNER, outputCol="_toxicity_features").transform(df)
 
 
 def _margin(model: GBTClassificationModel, df: DataFrame) -> DataFrame:
-    return model.transform(_assembled(df)).withColumn("_margin", vector_to_array("_raw")[1])
+    return model.transform(_assembled(df)).withColumn("_toxicity_margin", vector_to_array("_toxicity_raw")[1])
+
+
+Models = tuple[GBTClassificationModel, IsotonicRegressionModel]
+
 
+def fit(rows: DataFrame) -> Models | None:
+    """Trees and calibration from featured rows with ``label`` and ``part``.
 
-def fit(featured: DataFrame, training: DataFrame) -> tuple[GBTClassificationModel, IsotonicRegressionModel] | None:
-    """Trees and calibration; None where the labels are too few to have both kinds in both parts."""
-    rows = materialize(featured.join(training, "doc_id").repartition(4), "training")
+    None where the labels are too few to have both kinds in both parts.
+    """
     kinds = {tuple(r) for r in rows.select(F.col("part") > 0, "label").distinct().collect()}
     if len(kinds) < 4:
         return None
-    booster = GBTClassifier(featuresCol="_features", labelCol="label", predictionCol="_tree", maxIter=20, maxDepth=3, stepSize=0.3, seed=8)
-    booster = booster.setProbabilityCol("_prob").setRawPredictionCol("_raw")
+    booster = GBTClassifier(featuresCol="_toxicity_features", labelCol="label", predictionCol="_toxicity_tree", maxIter=20, maxDepth=3, stepSize=0.3, seed=8)
+    booster = booster.setProbabilityCol("_toxicity_prob").setRawPredictionCol("_toxicity_raw")
     trees = booster.fit(_assembled(rows.where("part > 0")))
-    margins = _margin(trees, rows.where("part = 0"))
-    isotonic = IsotonicRegression(featuresCol="_margin", labelCol="label", predictionCol="_score").fit(margins.select("_margin", "label"))
+    margins = _margin(trees, rows.where("part = 0")).select("_toxicity_margin", "label")
+    isotonic = IsotonicRegression(featuresCol="_toxicity_margin", labelCol="label", predictionCol="_toxicity_score").fit(margins)
     return trees, isotonic
 
 
-def score(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``, ``held_out``, ``score`` and ``predicted`` for each row of ``docs``.
+def scored(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """``docs`` with the column ``_toxicity_score``, a probability.
 
     ``labels`` (``doc_id, toxic``) are used of the rows outside the held-out fold only.
-    A null or empty text is scored by its zero features. Rows with a null id are never
-    held out. Too few labels for a model give every row the share of toxic labels.
+    A null or empty text is scored by its zero features. Too few labels for a model
+    give every row the share of toxic labels, 0 without any.
     """
     training = materialize(training_labels(labels, max_rows), "labels")
-    learned = learn_words(docs, training)
-    featured = materialize(features(docs.select(*keep, "text"), learned), "features")
-    models = fit(featured, training)
+    # bounded by max_rows
+    rows = materialize(docs.select("doc_id", "text").join(F.broadcast(training), "doc_id"), "training-texts")
+    learned = learn_words(rows.where("part > 0"))
+    models = fit(materialize(features(rows, learned).drop("text"), "training"))
     if models is None:
         share = training.agg(F.avg("label")).first()[0] or 0.0
-        scored = featured.withColumn("_score", F.lit(float(share)))
-    else:
-        trees, isotonic = models
-        scored = isotonic.transform(_margin(trees, featured))
-    value = F.least(F.greatest(F.col("_score"), F.lit(0.0)), F.lit(1.0))
+        return docs.withColumn("_toxicity_score", F.lit(float(share)))
+    trees, isotonic = models
+    found = isotonic.transform(_margin(trees, features(docs, learned)))
+    value = F.least(F.greatest(F.col("_toxicity_score"), F.lit(0.0)), F.lit(1.0))
+    return found.select(*[f"`{c}`" for c in docs.columns], value.alias("_toxicity_score"))
+
+
+def report(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of each row; a null id is never held out."""
+    value = F.col("_toxicity_score")
     held_out = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False))
-    return scored.select(*keep, held_out.alias("held_out"), value.alias("score"), (value >= 0.5).cast("int").alias("predicted"))
+    found = scored(docs.select("doc_id", "text"), labels, max_rows)
+    return found.select("doc_id", held_out.alias("held_out"), value.alias("score"), (value >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """The rows of ``docs`` with a score below ``THRESHOLD``, with the columns of ``docs``."""
+    return scored(docs, labels, max_rows).where(F.col("_toxicity_score") < THRESHOLD).drop("_toxicity_score")
