@@ -8,40 +8,47 @@ from pyspark.sql import functions as F
 from inkstrata.functions import text as tx
 from inkstrata.operators import cleaning, ingest
 
-# An independent statement of the cleaning rules in plain Python.
-FENCE = re.compile("```(?:[a-zA-Z0-9_+-]+\n)?(.*?)```", re.DOTALL)
-
-
-def expected_tags(text):
-    return FENCE.sub(lambda m: "\n<code>\n" + m.group(1).strip("\n") + "\n</code>\n", text)
-
-
-def expected_text(text):
-    text = text.replace("\r", "\n")
-    text = re.sub("[ \t]{2,}", " ", text)
-    return re.sub("\n{3,}", "\n\n", text).strip()
-
-
+# text, with code tags, code bodies, with normalized white space
 CASES = [
-    "",
-    " ",
-    "plain",
-    "```python\nx = 1\n```",
-    "``````",
-    "```\n\n\n```",
-    "a```js\n\n  let a;\n\n```b```c```",
-    "``` unclosed",
-    "```py\n``` ```\n```",
-    "```a b\nc```",
-    "x\r\ny\rz\r\n\r\n\r\nw",
-    "a \t b\t\tc\td",
-    "   wide 　\x85",
-    "\x1c\x1d\x1e\x1fctl\x0b\x0c",
-    "​kept​",
-    "😀```\n😀\n```😀  😀",
-    "\n\n\n\n",
-    "```\n" + "\n" * 500 + "x",
+    ("", "", [], ""),
+    (" ", " ", [], ""),
+    ("plain", "plain", [], "plain"),
+    ("```python\nx = 1\n```", "\n<code>\nx = 1\n</code>\n", ["x = 1"], "```python\nx = 1\n```"),
+    ("``````", "\n<code>\n\n</code>\n", [""], "``````"),
+    ("```\n\n\n```", "\n<code>\n\n</code>\n", [""], "```\n\n```"),
+    (
+        "a```js\n\n  let a;\n\n```b```c```",
+        "a\n<code>\n  let a;\n</code>\nb\n<code>\nc\n</code>\n",
+        ["let a;", "c"],
+        "a```js\n\n let a;\n\n```b```c```",
+    ),
+    ("``` unclosed", "``` unclosed", [], "``` unclosed"),
+    ("```py\n``` ```\n```", "\n<code>\n\n</code>\n \n<code>\n\n</code>\n", ["", ""], "```py\n``` ```\n```"),
+    ("```a b\nc```", "\n<code>\na b\nc\n</code>\n", ["a b\nc"], "```a b\nc```"),
+    ("x\r\ny\rz\r\n\r\n\r\nw", "x\r\ny\rz\r\n\r\n\r\nw", [], "x\n\ny\nz\n\nw"),
+    ("a \t b\t\tc\td", "a \t b\t\tc\td", [], "a b c\td"),
+    ("\u2003 wide \u3000\x85", "\u2003 wide \u3000\x85", [], "wide"),
+    ("\x1c\x1d\x1e\x1fctl\x0b\x0c", "\x1c\x1d\x1e\x1fctl\x0b\x0c", [], "ctl"),
+    ("\u200bkept\u200b", "\u200bkept\u200b", [], "\u200bkept\u200b"),
+    ("😀```\n😀\n```😀  😀", "😀\n<code>\n😀\n</code>\n😀  😀", ["😀"], "😀```\n😀\n```😀 😀"),
+    ("\n\n\n\n", "\n\n\n\n", [], ""),
+    ("```\n" + "\n" * 500 + "x", "```\n" + "\n" * 500 + "x", [], "```\n\nx"),
 ]
+TEXTS, TAGGED, BODIES, NORMALIZED = ([case[i] for case in CASES] for i in range(4))
+LANGUAGE = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_+-")
+
+
+def fenced(text):
+    """What lies between fences, found by their places; a language line is not part of it."""
+    places, at = [], text.find("```")
+    while at >= 0:
+        places.append(at)
+        at = text.find("```", at + 3)
+    bodies = []
+    for start, end in zip(places[::2], places[1::2]):
+        head, newline, rest = text[start + 3 : end].partition("\n")
+        bodies.append(rest if newline and head and set(head) <= LANGUAGE else head + newline + rest)
+    return bodies
 
 
 def column(spark, values, build):
@@ -52,25 +59,37 @@ def column(spark, values, build):
 def test_strip_matches_python(spark):
     every = [chr(c) + "x" + chr(c) for c in range(0x3100) if not 0xD800 <= c < 0xE000]
     assert column(spark, every, tx.strip) == [v.strip() for v in every]
-    assert column(spark, CASES, tx.strip) == [v.strip() for v in CASES]
+    assert column(spark, TEXTS, tx.strip) == [v.strip() for v in TEXTS]
 
 
 def test_code_blocks_and_whitespace(spark):
-    assert column(spark, CASES, tx.tag_code_blocks) == [expected_tags(v) for v in CASES]
-    assert column(spark, CASES, tx.code_blocks) == [[b.strip() for b in FENCE.findall(v)] for v in CASES]
-    assert column(spark, CASES, tx.normalize_whitespace) == [expected_text(v) for v in CASES]
+    assert column(spark, TEXTS, tx.tag_code_blocks) == TAGGED
+    assert column(spark, TEXTS, tx.code_blocks) == BODIES
+    assert column(spark, TEXTS, tx.normalize_whitespace) == NORMALIZED
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.text(alphabet="`\n\r\t ab1+é😀 ", max_size=60), min_size=1, max_size=40))
+@given(st.lists(st.text(alphabet="`\n\r\t ab1+é😀 ", max_size=60), min_size=1, max_size=40))
 def test_cleaning_of_any_text(spark, texts):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
-    got = cleaning.process_examples(rows, keep=["i"]).orderBy("i").collect()
+    once = cleaning.process_examples(rows, keep=["i"])
+    got = once.orderBy("i").collect()
+    again = [r["text"] for r in cleaning.process_examples(once.select("i", "text"), keep=["i"]).orderBy("i").collect()]
+    assert again == [r["text"] for r in got]
     for row, text in zip(got, texts):
-        clean = expected_text(expected_tags(text))
-        blocks = [b.strip() for b in FENCE.findall(text)]
-        assert (row["text"], row["num_chars"], row["num_code_blocks"]) == (clean, len(clean), len(blocks))
-        assert row["code_blocks"] == ("\n\n".join(blocks) if blocks else None)
+        clean, bodies = row["text"], fenced(text)
+        assert clean == clean.strip() and row["num_chars"] == len(clean)
+        assert not any(run in clean for run in ("\r", "\n\n\n", "  ", "\t\t", " \t", "\t "))
+        assert clean.count("<code>") == clean.count("</code>") == row["num_code_blocks"] == len(bodies)
+        assert row["code_blocks"] == ("\n\n".join(body.strip() for body in bodies) if bodies else None)
+        # nothing but fences, language lines and white space goes
+        kept = "".join(clean.replace("<code>", "").replace("</code>", "").split())
+        outside = text
+        for body in bodies:
+            start = outside.index("```")
+            end = outside.index("```", start + 3)
+            outside = outside[:start] + body.replace("`", "\0") + outside[end + 3 :]
+        assert kept == "".join(outside.replace("\0", "`").split())
 
 
 def test_records_keep_license_and_drop_missing_text(spark):
