@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkstrata.catalog.base import SQL_PAIRS, SQL_WORDS, query, sql_strip, table
@@ -178,32 +179,52 @@ def _(spark, sf):
     return evaluation.perplexity(losses).select(F.round("perplexity", 6).alias("perplexity"))
 
 
-def sql_losses(max_length: int | None) -> str:
+def sql_losses(max_length: int | None, texts: str = "(SELECT doc_id AS key, text FROM documents)") -> str:
+    """``scored``: loss and words of each text under the bigrams of ``documents``."""
     cut = "" if max_length is None else f"WHERE pos <= {max_length}"
     return f"""
 words AS (SELECT doc_id, unnest({SQL_WORDS}) AS w, generate_subscripts({SQL_WORDS}, 1) AS pos FROM documents),
 follow AS (SELECT doc_id, pos, w AS w1, lead(w) OVER (PARTITION BY doc_id ORDER BY pos) AS w2 FROM words),
 pair_counts AS (SELECT w1, w2, count(*) AS n FROM follow WHERE w2 IS NOT NULL GROUP BY w1, w2),
 history AS (SELECT w1, sum(n) AS h FROM pair_counts GROUP BY w1),
-model AS (SELECT w1, w2, ln((n + 1.0) / (h + (SELECT count(DISTINCT w) FROM words))) AS lp
-  FROM pair_counts JOIN history USING (w1)),
-seen AS (SELECT doc_id, w AS w1, lead(w) OVER (PARTITION BY doc_id ORDER BY pos) AS w2 FROM words {cut}),
-losses AS (SELECT doc_id, -avg(lp) AS loss FROM seen JOIN model USING (w1, w2) GROUP BY doc_id),
-lengths AS (SELECT doc_id, count(*) AS n FROM (SELECT * FROM words {cut}) GROUP BY doc_id),
-scored AS (SELECT d.doc_id, loss, coalesce(n, 0) AS n FROM documents d LEFT JOIN losses USING (doc_id)
-  LEFT JOIN lengths USING (doc_id))"""
+given AS (SELECT key, unnest({SQL_WORDS}) AS w, generate_subscripts({SQL_WORDS}, 1) AS pos FROM {texts}),
+seen AS (SELECT key, w AS w1, lead(w) OVER (PARTITION BY key ORDER BY pos) AS w2 FROM given {cut}),
+losses AS (
+  SELECT key, -avg(ln((coalesce(n, 0) + 1.0) / (coalesce(h, 0) + (SELECT count(DISTINCT w) FROM words)))) AS loss
+  FROM seen LEFT JOIN pair_counts USING (w1, w2) LEFT JOIN history USING (w1) WHERE w2 IS NOT NULL GROUP BY key),
+lengths AS (SELECT key, count(*) AS n FROM (SELECT * FROM given {cut}) GROUP BY key),
+scored AS (SELECT d.key, loss, coalesce(n, 0) AS n FROM {texts} d LEFT JOIN losses USING (key)
+  LEFT JOIN lengths USING (key))"""
+
+
+def shown_losses(losses: DataFrame, key: str) -> DataFrame:
+    return losses.select(
+        key, F.round(F.coalesce("loss", F.lit(-1.0)), 6).alias("loss"), F.col("n").cast("bigint").alias("n")
+    )
 
 
 @query(
     "f4_bigram_losses",
-    f"WITH {sql_losses(256)} SELECT doc_id, round(coalesce(loss, -1), 6) AS loss, n FROM scored",
+    f"WITH {sql_losses(None)} SELECT key AS doc_id, round(coalesce(loss, -1), 6) AS loss, n FROM scored",
 )
 def _(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    losses = evaluation.bigram_loss(docs, evaluation.learn_bigrams(docs), "doc_id", max_length=256)
-    return losses.select(
-        "doc_id", F.round(F.coalesce("loss", F.lit(-1.0)), 6).alias("loss"), F.col("n").cast("bigint").alias("n")
-    )
+    return shown_losses(evaluation.bigram_loss(docs, evaluation.learn_bigrams(docs), "doc_id"), "doc_id")
+
+
+SQL_HELD_OUT = """(SELECT 'b' || item_id AS key, text FROM benchmark
+  UNION ALL SELECT 'c' || conv_id || '-' || turn, text FROM conversations)"""
+
+
+@query(
+    "f4_held_out_losses",
+    f"WITH {sql_losses(None, SQL_HELD_OUT)} SELECT key, round(coalesce(loss, -1), 6) AS loss, n FROM scored",
+)
+def _(spark, sf):
+    items = table(spark, sf, "benchmark").select(F.concat(F.lit("b"), "item_id").alias("key"), "text")
+    turns = table(spark, sf, "conversations").select(F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn").alias("key"), "text")
+    model = evaluation.learn_bigrams(table(spark, sf, "documents"))
+    return shown_losses(evaluation.bigram_loss(items.unionByName(turns), model, "key"), "key")
 
 
 SQL_PERPLEXITY = "round(exp(sum(loss * n) / greatest(1, sum(CASE WHEN loss IS NOT NULL THEN n END))), 4) AS perplexity"
@@ -219,7 +240,7 @@ def _(spark, sf):
 @query(
     "n7_perplexity_report",
     f"""WITH {sql_losses(1024)} SELECT {SQL_PERPLEXITY} FROM
-    (SELECT s.* FROM scored s JOIN documents d USING (doc_id) WHERE d.text <> '' ORDER BY doc_id LIMIT 128)""",
+    (SELECT s.* FROM scored s JOIN documents d ON d.doc_id = s.key WHERE d.text <> '' ORDER BY doc_id LIMIT 128)""",
 )
 def _(spark, sf):
     path = fresh_dir(spark, "metrics")

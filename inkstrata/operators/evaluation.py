@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkstrata.functions import scores as sc
@@ -89,8 +90,25 @@ def bigrams(words):
     return F.arrays_zip(words.alias("w1"), F.slice(words, 2, F.greatest(F.size(words), F.lit(1))).alias("w2"))
 
 
-def learn_bigrams(texts: DataFrame, text: str = "text") -> DataFrame:
-    """``w1, w2, n, log_prob``: add-one smoothed bigrams of the whole corpus.
+@dataclass(frozen=True)
+class BigramModel:
+    """Add-one smoothed bigrams: a pair has probability ``(n + 1) / (h + vocabulary)``.
+
+    ``pairs`` are ``w1, w2, n``; ``history`` has ``w1, h``, the pairs that ``w1`` begins,
+    and ``followers``, its distinct ones. ``n`` is 0 for an unseen pair, ``h`` for an
+    unseen word.
+    """
+
+    pairs: DataFrame
+    history: DataFrame
+    vocabulary: int
+
+    def log_prob(self, n: Column, h: Column) -> Column:
+        return F.log((F.coalesce(n, F.lit(0)) + 1) / (F.coalesce(h, F.lit(0)) + max(1, self.vocabulary)))
+
+
+def learn_bigrams(texts: DataFrame, text: str = "text") -> BigramModel:
+    """Bigrams of the whole corpus.
 
     The corpus is read once, for the pair counts; these are written to the
     shared folder, and all else is worked out from them.
@@ -102,37 +120,63 @@ def learn_bigrams(texts: DataFrame, text: str = "text") -> DataFrame:
     )
     pairs = materialize(counted, "bigrams")
     history = pairs.groupBy("w1").agg(
-        F.sum(F.when(F.col("w2").isNotNull(), F.col("n"))).alias("h"), F.count("w2").alias("_followers")
-    )
-    vocabulary = history.count()
-    busiest = largest_keys(history, ["w1"], "_followers")
-    followed = pairs.where(F.col("w2").isNotNull())
-    model = lookup_join(followed, history.drop("_followers"), ["w1"], ["w2"], hot=busiest).select(
-        "w1", "w2", "n", F.log((F.col("n") + 1) / (F.col("h") + vocabulary)).alias("log_prob")
+        F.coalesce(F.sum(F.when(F.col("w2").isNotNull(), F.col("n"))), F.lit(0)).alias("h"), F.count("w2").alias("followers")
     )
-    return materialize(model, "bigram-model")
+    history = materialize(history, "bigram-history")
+    return BigramModel(pairs.where(F.col("w2").isNotNull()), history, history.count())
 
 
-def bigram_loss(texts: DataFrame, model: DataFrame, key: str, text: str = "text", max_length: int | None = None) -> DataFrame:
+def _known_pairs(model: BigramModel, asked: DataFrame) -> DataFrame:
+    """``w1, w2, lp`` of the distinct pairs of a small table; the model is read in place."""
+    wanted = F.broadcast(asked)
+    n = model.pairs.join(wanted, ["w1", "w2"])
+    h = model.history.join(F.broadcast(asked.select("w1").distinct()), "w1").select("w1", "h")
+    return asked.join(n, ["w1", "w2"], "left").join(h, "w1", "left").select("w1", "w2", model.log_prob(F.col("n"), F.col("h")).alias("lp"))
+
+
+def bigram_loss(
+    texts: DataFrame,
+    model: BigramModel,
+    key: str,
+    text: str = "text",
+    max_length: int | None = None,
+    small: bool = False,
+) -> DataFrame:
     """``key, loss, n``: mean negative log-probability and number of words per text.
 
-    ``model`` must cover the texts. Texts of fewer than two words have no loss.
+    Pairs and words that the model has not seen count with their smoothed
+    probabilities. Texts of fewer than two words have no loss. ``small`` says that
+    the texts have few enough pairs to broadcast (a bounded number of texts of bounded
+    length): their pairs are looked up in the model, not the model in them.
     """
     words = tx.words(F.col(text))
     if max_length is not None:
         words = F.slice(words, 1, max_length)
     split = texts.select(key, words.alias("words"))
+    if small:
+        split = materialize(split, "sample-words")
     lengths = split.select(key, F.size("words").alias("n"))
     pairs = split.select(key, F.explode(bigrams(F.col("words"))).alias("pair")).select(
         key, F.col("pair.w1").alias("w1"), F.col("pair.w2").alias("w2")
     ).where(F.col("w2").isNotNull())
+    if small:
+        asked = materialize(pairs.select("w1", "w2").distinct(), "asked-pairs")
+        scored = pairs.join(F.broadcast(_known_pairs(model, asked)), ["w1", "w2"])
+        losses = scored.groupBy(key).agg((-F.avg("lp")).alias("loss"))
+        return lengths.join(losses, key, "left").select(key, "loss", "n")
+    busiest = largest_keys(model.history, ["w1"], "followers")
+    known = lookup_join(model.pairs, model.history.select("w1", "h"), ["w1"], ["w2"], hot=busiest)
+    known = known.select("w1", "w2", model.log_prob(F.col("n"), F.col("h")).alias("lp"))
     # pairs that are frequent in the corpus are found in most texts
-    frequent = largest_keys(model, ["w1", "w2"], "n")
-    losses = (
-        lookup_join(pairs, model.drop("n"), ["w1", "w2"], [key], hot=frequent)
-        .groupBy(key)
-        .agg((-F.avg("log_prob")).alias("loss"))
-    )
+    frequent = largest_keys(model.pairs, ["w1", "w2"], "n")
+    found = lookup_join(pairs, known, ["w1", "w2"], [key], how="left", hot=frequent)
+    # one row per text, and one for each first word of pairs that were not found
+    missed = F.when(F.col("lp").isNull(), F.col("w1"))
+    sums = found.groupBy(key, missed.alias("w1")).agg(F.sum("lp").alias("lp"), F.count(F.lit(1)).alias("pairs"))
+    often = largest_keys(model.history, ["w1"], "h")
+    sums = lookup_join(sums, model.history.select("w1", "h"), ["w1"], [key], how="left", hot=often)
+    unseen = model.log_prob(F.lit(0), F.col("h")) * F.col("pairs")
+    losses = sums.groupBy(key).agg((-F.sum(F.coalesce("lp", unseen)) / F.sum("pairs")).alias("loss"))
     return lengths.join(losses, key, "left").select(key, "loss", "n")
 
 
@@ -156,14 +200,16 @@ def policy_loss(rollouts: DataFrame) -> DataFrame:
 
 
 def preference_scores(values: DataFrame) -> DataFrame:
-    """Chosen and rejected score per prompt from ``prompt_id, kind, values``."""
+    """Chosen and rejected score per prompt from ``prompt_id, kind, values``.
+
+    One row for each prompt that has both kinds; of several of a kind the greatest counts.
+    """
 
-    def side(kind: str) -> DataFrame:
-        return values.where(F.col("kind") == kind).select(
-            "prompt_id", vx.last_value(F.col("values")).alias(f"{kind}_score")
-        )
+    def side(kind: str) -> Column:
+        return F.max(F.when(F.col("kind") == kind, vx.last_value(F.col("values")))).alias(f"{kind}_score")
 
-    return side("chosen").join(side("rejected"), "prompt_id")
+    both = values.groupBy("prompt_id").agg(side("chosen"), side("rejected"))
+    return both.where(F.col("chosen_score").isNotNull() & F.col("rejected_score").isNotNull())
 
 
 def positional_zip(

@@ -128,10 +128,15 @@ def qa_report(records: DataFrame, generator: Callable[[str], str] | None = None,
     return evaluation.exact_match(scored)
 
 
+# Pairs of words that every task may hold.
+SMALL_PAIRS = 1_000_000
+
+
 def perplexity_report(
     texts: DataFrame, key: str, order_by: Sequence[str], max_samples: int | None = 128, max_length: int | None = 1024
 ) -> DataFrame:
     """Perplexity of the leading texts under a bigram model of all texts."""
     model = evaluation.learn_bigrams(texts)
     sample = texts if max_samples is None else evaluation.take_first(texts, order_by, max_samples)
-    return evaluation.perplexity(evaluation.bigram_loss(sample, model, key, max_length=max_length))
+    few = max_samples is not None and max_length is not None and max_samples * max_length <= SMALL_PAIRS
+    return evaluation.perplexity(evaluation.bigram_loss(sample, model, key, max_length=max_length, small=few))

@@ -71,6 +71,16 @@ def test_bigram_losses_against_a_dictionary(spark):
         assert got[i]["loss"] == (pytest.approx(sum(terms) / len(terms)) if terms else None)
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_unseen_pairs_are_scored(spark, small):
+    model = evaluation.learn_bigrams(spark.createDataFrame([("a b a b a b c",)], "text string"))
+    rows = spark.createDataFrame([(1, "a b z q x"), (2, "z q x"), (3, "a b c c")], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["loss"] for r in evaluation.bigram_loss(rows, model, "doc_id", small=small).collect()}
+    seen = {"ab": 4 / 6, "bz": 1 / 6, "zq": 1 / 3, "qx": 1 / 3, "bc": 2 / 6, "cc": 1 / 3}
+    for doc, pairs in {1: ["ab", "bz", "zq", "qx"], 2: ["zq", "qx"], 3: ["ab", "bc", "cc"]}.items():
+        assert got[doc] == pytest.approx(-sum(math.log(seen[p]) for p in pairs) / len(pairs))
+
+
 def test_log_softmax(spark):
     row = spark.range(1).select(vx.log_softmax(F.array(*[F.lit(float(x)) for x in (1000, 1001)])).alias("p")).first()
     assert sum(math.exp(p) for p in row["p"]) == pytest.approx(1.0)
