@@ -62,7 +62,7 @@ def lookup_join(
     if bounds["n"] >= hot_limit(facts):
         # some keys are left out, each of at most the least size
         share = max(share, float(bounds["least"]))
-    marked = F.broadcast(known.select(*keys, F.ceil(F.col("_size") / F.lit(share)).cast("int").alias("_salts")))
+    marked = F.broadcast(known.select(*keys, F.greatest(F.ceil(F.col("_size") / F.lit(share)).cast("int"), F.lit(1)).alias("_salts")))
 
     row = F.xxhash64(*[F.col(c) for c in row_id])
     keyless = F.lit(False)
