@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkstrata.functions import text as tx
-from inkstrata.operators.ingest import decode_files, supported
+from inkstrata.operators.ingest import HTML_SUFFIXES, MARKDOWN_SUFFIXES, decode_files, supported
 
 # What a corpus may consist of.
 CORPUS_SUFFIXES = (".txt", ".jsonl", ".parquet")
@@ -26,6 +27,49 @@ def _is_file(spark: SparkSession, path: str) -> bool:
     return system.getFileStatus(location).isFile()
 
 
+def _files(spark: SparkSession, path: str, suffixes: Sequence[str]) -> list[str]:
+    """Names of the files at or below ``path`` with one of the suffixes.
+
+    Spark passes over names that begin with a dot or an underscore, so such a file,
+    or one in such a folder, is an error rather than missing data.
+    """
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    root = system.makeQualified(location).toString()
+    found, listed = [], system.listFiles(location, True)
+    while listed.hasNext():
+        name = listed.next().getPath().toString()
+        if _suffix(name) in suffixes:
+            found.append(name)
+    hidden = [name for name in found if any(part[:1] in ("_", ".") for part in name.removeprefix(root).split("/")) or name.rsplit("/", 1)[-1][0] in "_."]
+    # what a write that is under way has left is no data
+    hidden = [name for name in hidden if "/_temporary/" not in name and "/.spark-staging" not in name]
+    if hidden:
+        raise ValueError(f"files with hidden names are not read, rename them: {sorted(hidden)[:5]}")
+    return found
+
+
+_FOOTER_READERS = 16
+
+
+def _check_texts(spark: SparkSession, names: Sequence[str]) -> None:
+    """An error for Parquet files without a ``text`` column, from their footers."""
+    conf, jvm = spark._jsc.hadoopConfiguration(), spark._jvm
+
+    def lacks(name: str) -> bool:
+        file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(name), conf)
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(file)
+        try:
+            return not reader.getFileMetaData().getSchema().containsField("text")
+        finally:
+            reader.close()
+
+    with ThreadPool(_FOOTER_READERS) as pool:
+        without = [name for name, bad in zip(names, pool.map(lacks, names)) if bad]
+    if without:
+        raise ValueError(f"Parquet files without a text column: {without[:5]}")
+
+
 def _suffix(path: str) -> str:
     name = path.rsplit("/", 1)[-1]
     return "." + name.rsplit(".", 1)[-1].lower() if "." in name.lstrip(".") else ""
@@ -64,6 +108,7 @@ def _json_texts(spark: SparkSession, path: str, recursive: bool = False) -> Data
 
 def _parquet_texts(spark: SparkSession, path: str | Sequence[str], recursive: bool = False) -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
+    _check_texts(spark, [name for one in paths for name in _files(spark, one, (".parquet",))])
     scan = _reader(spark, ".parquet", recursive).schema("text STRING").parquet(*paths)
     return _placed(scan.where(F.col("text") != ""), "text")
 
@@ -97,6 +142,7 @@ def read_corpus(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
             scan = {".txt": _lines, ".jsonl": _json_texts, ".parquet": _parquet_texts}[suffix]
             scans.append(scan(spark, path))
         else:
+            _files(spark, path, CORPUS_SUFFIXES)
             scans += [
                 _lines(spark, path, ".txt", recursive=True),
                 _json_texts(spark, path, recursive=True),
@@ -128,7 +174,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     single = _is_file(spark, path)
     if single and not supported(path):
         raise ValueError(f"no converter for this extension: {path}")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    wanted = "{" + ",".join(_any_case(suffix) for suffix in MARKDOWN_SUFFIXES + HTML_SUFFIXES) + "}"
+    if not single:
+        _files(spark, path, MARKDOWN_SUFFIXES + HTML_SUFFIXES)
+    # the contents of other files are never read
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", wanted).load(path)
     files = files.select(_bare(F.col("path")).alias("path"), "content")
     if single:
         # one named file must decode; in a folder the bad ones are passed over

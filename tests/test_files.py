@@ -33,6 +33,21 @@ def test_corpus_of_all_kinds(spark, corpus):
         files.read_corpus(spark, [str(corpus / "note.md")])
 
 
+@pytest.mark.parametrize("name", ["_x.txt", ".y.jsonl", "_deep/z.txt"])
+def test_hidden_names_are_an_error(spark, corpus, name):
+    (corpus / "a" / name).parent.mkdir(exist_ok=True)
+    (corpus / "a" / name).write_text('{"text": "not lost"}')
+    with pytest.raises(ValueError, match="hidden names"):
+        files.read_corpus(spark, [str(corpus)])
+
+
+def test_parquet_without_text_is_an_error(spark, corpus):
+    pq.write_table(pa.table({"body": ["x"]}), str(corpus / "other.parquet"))
+    for read in (lambda: files.read_corpus(spark, [str(corpus)]), lambda: files.read_eval_corpus(spark, str(corpus / "other.parquet"))):
+        with pytest.raises(ValueError, match="without a text column: .*other.parquet"):
+            read()
+
+
 def test_file_order(spark, corpus):
     (corpus / "a" / "two.txt").write_text("fourth\n")
     rows = files.read_corpus(spark, [str(corpus / "a")]).orderBy(*files.SCAN_ORDER).collect()
@@ -66,6 +81,7 @@ def test_documents(spark, tmp_path):
     (tmp_path / "p.htm").write_text("<p>t</p>")
     (tmp_path / "bad.md").write_bytes(b"\xff\xfe")
     (tmp_path / "c.txt").write_text("no converter")
+    (tmp_path / "film.mp4").write_bytes(b"\0" * 100)
     got = {r["path"].rsplit("/", 1)[-1]: r for r in files.read_documents(spark, str(tmp_path)).collect()}
     assert set(got) == {"a.MD", "p.htm"}
     assert got["a.MD"]["text"] == "x\ny\nz" and got["p.htm"]["converter"] == "html"
