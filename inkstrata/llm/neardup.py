@@ -7,13 +7,14 @@ pairs within that distance share a file (a pair of similarity 0.8 differs in 14
 average and misses every file with a chance of 3 in a million). Pairs from the files
 are confirmed on the full shingle sets.
 
-Documents with equal sets are one node. In a file only pairs with its pivots are
-tried: first the least member, which settles ordinary groups of copies with one pair
-per member, then a few others. What is still in another component than most of its
-file is tried with every member of the file for which a link is not ruled out: a node
-can have no more in common with another component than the shingles that occur in
-other open components at all. So the copies that were edited too much cost little,
-no link is lost, and the members of one component are never paired with each other.
+Documents with equal sets are one node. In a file only pairs with its least member
+are tried, which settles ordinary groups of copies with one pair per member. What is
+then in another component than others of its file, such as a copy that was edited too
+much, is compared with whole components: those that have one of its rarest shingles
+too, early enough for a link to be possible. (In a common order of the shingles, sets
+that are similar enough share one of their first fifth.) Blocks of asking documents
+meet blocks of members there. So no link is lost, members of one component are never
+compared with each other, and no row stands for a single pair.
 """
 
 from __future__ import annotations
@@ -37,9 +38,9 @@ CHUNKS, CHUNK = 12, 6
 SYMBOLS = CHUNKS * CHUNK
 BITS = 11
 # Signatures further apart are not compared in full (similarity 0.8: 14.4 +- 3.4).
-MAX_DISTANCE = 36
-# Members of a file, about, that others are tried with before all are.
-PIVOTS = 4
+MAX_DISTANCE = 32
+# Bytes of shingle sets in a block, about.
+BLOCK_BYTES = 1 << 20
 # A table of at most so many ids is given to every task instead of shuffling texts.
 SMALL_IDS = 2_000_000
 _WORDS_KEPT = 500_000
@@ -132,13 +133,38 @@ def _sets(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
     return run
 
 
+def _compare(threshold: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One link at most for each asking document and block of members."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for row in range(batch.num_rows):
+                asking, members = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
+                sets = [np.frombuffer(m["values"], np.uint64) for m in members]
+                sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+                starts, joined = np.cumsum(sizes) - sizes, np.concatenate(sets)
+                for one in asking:
+                    own = np.frombuffer(one["values"], np.uint64)
+                    at = np.minimum(np.searchsorted(own, joined), len(own) - 1)
+                    common = np.add.reduceat((own[at] == joined).astype(np.int64), starts)
+                    near = np.flatnonzero(100 * common >= threshold * (len(own) + sizes - common))
+                    if len(near):
+                        found.append((one["node"], members[near[0]]["node"]))
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return run
+
+
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each shingle of a set."""
     for batch in slices(batches):
         values = [np.frombuffer(v, np.int64) for v in batch.column(2).to_pylist()]
-        rows = np.repeat(np.arange(len(values)), [len(v) for v in values])
+        sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values))
+        rows = pa.array(np.repeat(np.arange(len(values)), sizes))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(values)), batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows))], names=["shingle", "node", "component"]
+            [pa.array(np.concatenate(values)), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(np.repeat(sizes, sizes))],
+            names=["shingle", "node", "component", "n"],
         )
 
 
@@ -229,27 +255,47 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, size: int = SHINGLE, r
         keys = marked.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
         return materialize(marked.join(keys, "key", "left_semi"), "open")
 
-    def weighed(marked: DataFrame) -> DataFrame:
-        """With the set size ``n``, ``c`` shingles that another component has too, and ``major``: in the largest component of the file."""
-        own = sets.join(marked.select("node", "component").distinct(), "node").select("node", "component", "values")
-        spread = own.mapInArrow(_spread, "shingle bigint, node bigint, component bigint")
-        shared = spread.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("shingle")
-        common = spread.join(shared, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("c"))
-        counted = marked.groupBy("key", "component").agg(F.count(F.lit(1)).alias("k"))
-        major = counted.groupBy("key").agg(F.max(F.struct("k", "component")).alias("x")).select("key", F.col("x.component").alias("_major"))
-        full = marked.join(summary.select("node", "n"), "node").join(common, "node").join(major, "key")
-        return materialize(full.withColumn("major", F.col("component") == F.col("_major")).drop("_major"), "weighed")
-
-    def candidates(rows: DataFrame, targets: DataFrame) -> DataFrame:
-        """Pairs of the rows outside the largest component of their file with targets in it that may be links."""
-        probes = rows.where("not major")
-        others = targets.select("key", *[F.col(c).alias(f"_{c}") for c in ("node", "component", "n", "c")])
-        c = F.least("c", "_c")
-        may = (100 * c >= threshold * (F.col("n") + F.col("_n") - c)) & (100 * F.least("n", "_n") >= threshold * F.greatest("n", "_n"))
-        # every member has met the hub
-        apart = (F.col("component") != F.col("_component")) & (F.col("hub") != F.col("node")) & (F.col("hub") != F.col("_node"))
-        met = probes.join(others, (probes["key"] == others["key"]) & apart & may)
-        return met.select(F.greatest("node", "_node").alias("a"), F.least("node", "_node").alias("b")).distinct()
+    def in_blocks(rows: DataFrame, by: str, out: str) -> DataFrame:
+        """``by, out``: the sets of ``rows`` with the same ``by`` in blocks of about ``BLOCK_BYTES``."""
+        sized = rows.groupBy(by).agg(F.ceil(F.sum(F.octet_length("values")) / BLOCK_BYTES).alias("_blocks"))
+        placed = rows.join(sized, by).withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")))
+        return placed.groupBy(by, "_block").agg(F.collect_list(F.struct("node", "values")).alias(out)).drop("_block")
+
+    def asking_nodes(nodes: DataFrame) -> DataFrame:
+        """``node, other``: nodes that may be linked to a larger component than their own.
+
+        Shingles are ordered by how many nodes have them, those of a single component
+        first. Of two linked sets the first ``n - ceil(threshold * n) + 1`` share one;
+        what comes before it in either set is not common to both.
+        """
+        spread = sets.join(nodes, "node").select("node", "component", "values").mapInArrow(_spread, "shingle bigint, node bigint, component bigint, n bigint")
+        shared = spread.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("component").alias("x"), F.max("component").alias("y"))
+        common = spread.join(shared.where("x < y").select("shingle", "df"), "shingle")
+        # a list is a part of one document
+        lists = common.groupBy("node", "component", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("list"))
+        places = lists.select("node", "component", "n", F.posexplode("list").alias("k", "s"), (F.col("n") - F.size("list")).alias("own"))
+        place = (F.col("own") + F.col("k") + 1).alias("place")
+        first = places.select("node", "component", "n", F.col("s.shingle").alias("shingle"), place).where(
+            F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
+        )
+        sizes = nodes.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+        first = first.join(sizes, "component")
+        others = first.groupBy("shingle", "component", "size", "n").agg(F.min("place").alias("place"))
+        others = others.select("shingle", *[F.col(c).alias(f"_{c}") for c in ("component", "size", "n", "place")])
+        most = 1 + F.least(F.col("n") - F.col("place"), F.col("_n") - F.col("_place"))
+        linked = (most * (100 + threshold) >= threshold * (F.col("n") + F.col("_n"))) & (100 * F.least("n", "_n") >= threshold * F.greatest("n", "_n"))
+        smaller = F.struct("size", "component") < F.struct("_size", "_component")
+        met = first.join(others, (first["shingle"] == others["shingle"]) & smaller & linked)
+        return met.select("node", F.col("_component").alias("other")).distinct()
+
+    def compared(rows: DataFrame, labels: DataFrame) -> DataFrame:
+        """Links between the nodes of files with several components."""
+        asks = materialize(asking_nodes(rows.select("node", "component").distinct()), "asks")
+        asking = asks.join(sets.select("node", "values"), "node").withColumnRenamed("other", "component")
+        grouped = sets.join(labels, "node", "left").select(F.coalesce("component", "node").alias("component"), "node", "values")
+        asked = grouped.join(asks.select(F.col("other").alias("component")).distinct(), "component", "left_semi")
+        pairs = in_blocks(asking, "component", "asking").join(in_blocks(asked, "component", "asked"), "component")
+        return materialize(pairs.select("asking", "asked").mapInArrow(_compare(threshold), "a bigint, b bigint"), "links")
 
     # one pair for each member: the least hub it has
     first = members.groupBy("node").agg(F.min("hub").alias("b")).where("node <> b").select(F.col("node").alias("a"), "b")
@@ -259,12 +305,10 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, size: int = SHINGLE, r
     hubs = marked.where("node = hub").select("key", F.col("component").alias("other"))
     pairs = marked.join(hubs, "key").where("component <> other").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     labels = _relabel(labels, confirmed(pairs))
-    # what is left, with a few members, then with all that may be linked to it
-    for share in (F.pmod(F.xxhash64("node"), F.col("members")) < PIVOTS, F.lit(True)):
-        marked = opened(labels, 2)
-        if not marked.isEmpty():
-            rows = weighed(marked)
-            labels = _relabel(labels, confirmed(candidates(rows, rows.where(share))))
+    # what is left with all other components of its files
+    marked = opened(labels, 2)
+    if not marked.isEmpty():
+        labels = _relabel(labels, compared(marked, labels))
 
     whole = nodes.join(labels, "node", "left").select("digest", "node", "doc_id", F.coalesce("component", "node").alias("component"))
     lead = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col("node").alias("row")))
