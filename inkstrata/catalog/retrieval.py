@@ -42,7 +42,7 @@ def found_texts(spark, sf, k):
     # few rows, needed twice: as the lookup and as the list of documents
     found = cut_lineage(hits(spark, sf, k))
     docs = with_paths(table(spark, sf, "documents")).select("doc_id", "text", "file_path", "commit")
-    store = docs.join(F.broadcast(found.select("doc_id").distinct()), "doc_id", "left_semi")
+    store = search.named_rows(docs, found, "doc_id")
     from inkstrata.operators import chunking
 
     chunks = chunking.drop_blank(chunking.chunk(store, CHUNKER))

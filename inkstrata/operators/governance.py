@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,24 +34,33 @@ def _json_metadata(index: DataFrame) -> Column:
     return F.to_json("metadata")
 
 
+def _keyed(index: DataFrame, key: bytes, change: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """``change`` applied with the key as a column that comes from a one-row table.
+
+    As a literal the key would be in the text of the plan, and so in event logs.
+    """
+    keys = index.sparkSession.createDataFrame([(0, bytearray(key))], "_key_id int, _key binary")
+    joined = index.withColumn("_key_id", F.lit(0)).join(F.broadcast(keys), "_key_id")
+    return joined.withColumns({name: f(F.col("_key")) for name, f in change.items()}).drop("_key_id", "_key")
+
+
 def encrypt_index(index: DataFrame, key: bytes) -> DataFrame:
-    """Text and metadata under AES-256 in GCM mode; the key stays with the caller."""
+    """Text and metadata under AES-256 in GCM mode; no plan names the key."""
     if len(key) != 32:
         raise ValueError("AES-256 needs a key of 32 bytes")
 
-    def sealed(c: Column) -> Column:
-        return F.aes_encrypt(c.cast("binary"), F.lit(key), F.lit("GCM"))
+    def sealed(c: Column) -> Callable[[Column], Column]:
+        return lambda k: F.aes_encrypt(c.cast("binary"), k, F.lit("GCM"))
 
-    return index.withColumn("content", sealed(F.col("content"))).withColumn("metadata", sealed(_json_metadata(index)))
+    return _keyed(index, key, {"content": sealed(F.col("content")), "metadata": sealed(_json_metadata(index))})
 
 
 def decrypt_index(sealed: DataFrame, key: bytes) -> DataFrame:
-    def opened(name: str) -> Column:
-        return F.aes_decrypt(F.col(name), F.lit(key), F.lit("GCM")).cast("string")
+    def opened(name: str) -> Callable[[Column], Column]:
+        return lambda k: F.aes_decrypt(F.col(name), k, F.lit("GCM")).cast("string")
 
-    return sealed.withColumn("content", opened("content")).withColumn(
-        "metadata", F.from_json(opened("metadata"), "map<string,string>")
-    )
+    plain = _keyed(sealed, key, {name: opened(name) for name in ("content", "metadata")})
+    return plain.withColumn("metadata", F.from_json("metadata", "map<string,string>"))
 
 
 def reencrypt_index(sealed: DataFrame, old: bytes, new: bytes) -> DataFrame:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkstrata.operators.skew import lookup_join
+from inkstrata.session import materialize
 
 # Largest query matrix that is broadcast, in numbers of eight bytes (64 MB).
 BROADCAST_NUMBERS = 8_000_000
@@ -19,10 +21,8 @@ TILE_NUMBERS = 4_000_000
 HIT_NUMBERS = 4_000_000
 # Rounding error of a matrix product, relative to the lengths of its vectors.
 SLACK = 1e-9
-# Vectors per block where both sides are cut into blocks.
-BLOCK_ROWS = 50_000
-# Largest hit table that is broadcast for the text lookup.
-BROADCAST_HITS = 200_000
+# Largest hit table that is broadcast for the text lookup, of some 40 bytes a row.
+BROADCAST_HITS = 2_000_000
 
 METRICS = ("cosine", "ip")
 
@@ -95,6 +95,12 @@ def _offer(best: _Best, queries: np.ndarray, vectors: np.ndarray, positions: np.
             best.add(left, queries[left : left + width], block, positions[:, top : top + rows], digits)
 
 
+def _finite(m: np.ndarray, what: str) -> np.ndarray:
+    if not np.isfinite(m).all():
+        raise ValueError(f"{what} has values that are not finite")
+    return m
+
+
 def _hits(best: _Best, query_ids: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
     found = np.isfinite(best.scores)
     per_query = found.sum(axis=1)
@@ -121,11 +127,11 @@ def top_k(
     are). Equal scores go to the larger ``position``, whole-number columns that
     are unique together. With ``digits`` the scores are rounded before ranking.
 
-    While the query matrix is small it is broadcast and the corpus is read in
-    place; a task keeps only its best ``k`` per query. A larger query table is
-    cut into blocks, as is the corpus, and each pair of blocks is scored by a
-    task of its own. Either way no (query, row) pair is ever shuffled, just the
-    hits of a task.
+    The query matrix is broadcast and the corpus is read in place; a task keeps
+    only its best ``k`` per query, and only these are shuffled. A large query
+    table is cut into blocks of bounded size that take their turns, each with a
+    scan of the corpus (vectors that cost more to compute than to read should be
+    written first). A vector with a value that is not finite is an error.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
@@ -148,50 +154,34 @@ def top_k(
     scale = _unit if metric == "cosine" else (lambda m: m)
 
     n_queries = asked.count()
-    if n_queries * dim <= broadcast_numbers and n_queries * k <= HIT_NUMBERS:
-        table = asked.toArrow()  # size checked on the line above
-        shared = spark.sparkContext.broadcast(
-            (table.column("query_id").to_numpy(), scale(_matrix(table.column("v"), dim)))
-        )
+    query_rows = max(1, min(broadcast_numbers // dim, HIT_NUMBERS // k))
+    blocks = max(1, -(-n_queries // query_rows))
+    if blocks > 1:
+        asked = materialize(asked, "queries")
 
+    def scan_for(shared: Broadcast) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, matrix = shared.value
             best = _Best(len(ids), len(positions), k)
             for batch in batches:
                 if batch.num_rows and len(ids):
                     place = np.stack([batch.column(p).to_numpy() for p in positions])
-                    _offer(best, matrix, scale(_matrix(batch.column("v"), dim)), place, digits)
+                    _offer(best, matrix, scale(_finite(_matrix(batch.column("v"), dim), "a stored vector")), place, digits)
             yield _hits(best, ids, schema)
 
-        partial = stored.mapInArrow(scan, spark_schema)
-    else:
-        query_rows = max(1, min(broadcast_numbers // dim, HIT_NUMBERS // k))
-        query_blocks = -(-n_queries // query_rows)
-        corpus_blocks = max(1, -(-stored.count() // BLOCK_ROWS))
-
-        def copies(n: int):
-            return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
-
-        asked_blocks = asked.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks))).withColumn(
-            "cb", copies(corpus_blocks)
-        )
-        stored_blocks = stored.withColumn("cb", F.pmod(F.xxhash64(*positions), F.lit(corpus_blocks))).withColumn(
-            "qb", copies(query_blocks)
-        )
+        return scan
 
-        def score(left: pa.Table, right: pa.Table) -> pa.Table:
-            ids = left.column("query_id").to_numpy()
-            best = _Best(len(ids), len(positions), k)
-            if left.num_rows and right.num_rows:
-                place = np.stack([right.column(p).to_numpy() for p in positions])
-                _offer(
-                    best, scale(_matrix(left.column("v"), dim)), scale(_matrix(right.column("v"), dim)), place, digits
-                )
-            return pa.Table.from_batches([_hits(best, ids, schema)])
-
-        partial = (
-            asked_blocks.groupBy("qb", "cb").cogroup(stored_blocks.groupBy("qb", "cb")).applyInArrow(score, spark_schema)
-        )
+    partial = None
+    for number in range(blocks):
+        # about query_rows of them: a share of the queries by hash
+        part = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == number)
+        table = part.toArrow()
+        matrix = scale(_finite(_matrix(table.column("v"), dim), "a query vector"))
+        shared = spark.sparkContext.broadcast((table.column("query_id").to_numpy(), matrix))
+        found = stored.mapInArrow(scan_for(shared), spark_schema)
+        if blocks > 1:
+            found = materialize(found, "hits")
+        partial = found if partial is None else partial.unionByName(found)
 
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), *[F.desc(p) for p in positions])
     return (
@@ -202,6 +192,12 @@ def top_k(
     )
 
 
+def named_rows(store: DataFrame, hits: DataFrame, key: str) -> DataFrame:
+    """The rows of ``store`` that hits name by ``key``."""
+    named = hits.select(key).distinct()
+    return store.join(F.broadcast(named) if hits.count() <= BROADCAST_HITS else named, key, "left_semi")
+
+
 def attach_hits(hits: DataFrame, store: DataFrame, position: Sequence[str], query_id: str = "query_id") -> DataFrame:
     """Text and metadata of the hits, looked up by position in the store."""
     keys = list(position)

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inkstrata.functions import text as tx
 
@@ -109,28 +114,39 @@ def frequency_vocabulary(words: DataFrame, size: int = VOCAB_SIZE) -> DataFrame:
 
 
 def encode_words(
-    texts: DataFrame, vocabulary: DataFrame, key: str, text: str = "text", limit: int | None = None
+    texts: DataFrame,
+    vocabulary: DataFrame,
+    key: str | Sequence[str],
+    text: str = "text",
+    limit: int | None = None,
 ) -> DataFrame:
-    """Adds ``ids``: the vocabulary id of each word in order, unknown words as ``UNK``.
+    """``key, ids``: the vocabulary id of each word in order, unknown words as ``UNK``.
 
-    ``key`` must be unique. The texts are spread by key once; taking them apart,
-    the lookup in the broadcast vocabulary (its size is the parameter it was
-    built with) and putting them together again all happen in place. With
-    ``limit`` only so many leading ids are wanted, as in a training example.
+    Nothing is shuffled: Spark takes the texts apart, and the words of a batch are
+    looked up together in the vocabulary, whose size is the parameter it was built
+    with. With ``limit`` only so many leading ids are wanted, as in a training
+    example. A null text has no ids.
     """
-    if limit is None:
-        rows = texts.select(key, text).repartition(key).select(key, tx.words(F.col(text)).alias("_words"))
-    else:
-        # the few leading words are lighter than the text they come from
-        rows = texts.select(key, F.slice(tx.words(F.col(text)), 1, limit).alias("_words")).repartition(key)
-    lookup = F.broadcast(vocabulary.select(F.col("piece").alias("word"), F.col("id").alias("_id")))
-    placed = rows.select(key, F.posexplode_outer("_words").alias("_pos", "word"))
-    found = placed.join(lookup, "word", "left").withColumn(
-        "_id", F.when(F.col("_pos").isNotNull(), F.coalesce("_id", F.lit(UNK))).cast("int")
-    )
-    gathered = found.groupBy(key).agg(
-        F.sort_array(
-            F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_id")))
-        ).alias("_placed")
+    keys = [key] if isinstance(key, str) else list(key)
+    words = F.coalesce(tx.words(F.col(text)), F.array().cast("array<string>"))
+    if limit is not None:
+        words = F.slice(words, 1, limit)
+    rows = texts.select(*keys, words.alias("_words"))
+    table = vocabulary.select("piece", F.col("id").cast("int").alias("id")).toArrow()
+    shared = texts.sparkSession.sparkContext.broadcast(
+        (table.column("piece").combine_chunks(), table.column("id").combine_chunks())
     )
-    return gathered.select(key, F.transform("_placed", lambda p: p["_id"]).alias("ids"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, numbers = shared.value
+        for batch in batches:
+            lists = batch.columns[-1]
+            places = pc.index_in(lists.flatten(), value_set=pieces.cast(lists.type.value_type))
+            found = pc.fill_null(numbers.take(places), pa.scalar(UNK, numbers.type))
+            start = lists.offsets[0].as_py() if len(lists) else 0
+            offsets = pc.subtract(lists.offsets, pa.scalar(start, lists.offsets.type))
+            ids = type(lists).from_arrays(offsets, found)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=[*keys, "ids"])
+
+    fields = [rows.schema[k] for k in keys]
+    return rows.mapInArrow(run, T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))

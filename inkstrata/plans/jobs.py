@@ -12,7 +12,7 @@ from inkstrata.functions import tokens as tk
 from inkstrata.operators import answering, chunking, evaluation, examples, search, sinks
 from inkstrata.operators import vocabulary as vb
 from inkstrata.operators.cleaning import process_examples
-from inkstrata.session import cut_lineage
+from inkstrata.session import cut_lineage, materialize
 from inkstrata.sources.specs import read_datasets
 
 
@@ -55,11 +55,7 @@ def answer_questions(
     asked = questions.select("query_id", embed(F.col("question")).alias("embedding"))
     hits = cut_lineage(search.top_k(asked, vectors, k, dim, position=position, metric=metric, digits=digits))
 
-    named = hits.select(doc_id).distinct()
-    if hits.count() <= search.BROADCAST_HITS:
-        named = F.broadcast(named)
-    store = chunks_of(documents.join(named, doc_id, "left_semi"))
-    found = search.attach_hits(hits, store, position)
+    found = search.attach_hits(hits, chunks_of(search.named_rows(documents, hits, doc_id)), position)
     return answering.assemble_answers(questions, found, generator=generator)
 
 
@@ -94,8 +90,9 @@ def training_examples(
     """Texts to fixed-length examples with masks, batch places and shifted targets."""
     pad, bos = tk.resolve_special_ids(pad_id, bos_id)
     rows = texts.where(F.col("text") != "")
-    encoded = vb.encode_words(rows, vocabulary, key, limit=seq_length - 1)
-    placed = examples.assign_batches(rows.select(key), batch_size, [key])
+    # the texts are read once; numbering reads the narrow table
+    encoded = materialize(vb.encode_words(rows, vocabulary, key, limit=seq_length - 1), "encoded")
+    placed = examples.assign_batches(encoded.select(key), batch_size, [key])
     made = examples.with_targets(examples.fixed_examples(encoded, seq_length, pad, bos), pad)
     return made.join(placed, key)
 
@@ -104,9 +101,9 @@ def instruction_examples(
     turns: DataFrame, vocabulary: DataFrame, batch_size: int, max_length: int = 1024
 ) -> DataFrame:
     """Instruction pairs to padded batches."""
-    pairs = examples.instruction_pairs(turns).withColumn("pair_id", F.struct("conv_id", "turn"))
-    encoded = vb.encode_words(pairs, vocabulary, "pair_id", limit=max_length).select("pair_id.*", "ids")
-    placed = examples.assign_batches(pairs.select("conv_id", "turn"), batch_size, ["conv_id", "turn"])
+    keys = ["conv_id", "turn"]
+    encoded = materialize(vb.encode_words(examples.instruction_pairs(turns), vocabulary, keys, limit=max_length), "encoded")
+    placed = examples.assign_batches(encoded.select(*keys), batch_size, keys)
     padded = examples.dynamic_padding(encoded.join(placed, ["conv_id", "turn"]), max_length)
     return examples.with_targets(padded, 0, shifted=False)
 

@@ -115,3 +115,13 @@ def test_encryption_round_trip(spark):
         governance.decrypt_index(again, old).collect()
     with pytest.raises(ValueError):
         governance.encrypt_index(index, b"short")
+
+
+def test_no_plan_names_the_key(spark):
+    key = b"0123456789abcdefFEDCBA9876543210"
+    index = spark.createDataFrame([("t", {"file_path": "a"})], "content string, metadata map<string,string>")
+    for df in (governance.encrypt_index(index, key), governance.reencrypt_index(governance.encrypt_index(index, key), key, key)):
+        df.collect()
+        plan = df._jdf.queryExecution()
+        for text in (plan.toString(), plan.stringWithStats(), plan.executedPlan().toString()):
+            assert key.decode() not in text and key.hex() not in text.lower()

@@ -144,3 +144,23 @@ def test_questions_without_an_index(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, file_path string, commit string")
     got = jobs.answer_questions(asked, docs, Chunker(), lambda c: vx.keyword_embedding(c, KEYWORDS), 3).first()
     assert got["citations"] == [] and "No context available." in got["prompt"]
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf")])
+@pytest.mark.parametrize("side", ["query", "corpus"])
+def test_vectors_must_be_finite(spark, bad, side):
+    good = [(i, [float(i), 1.0]) for i in range(5)]
+    worse = good[:3] + [(9, [bad, 1.0])]
+    queries = spark.createDataFrame(worse if side == "query" else good, "query_id bigint, embedding array<double>")
+    corpus = spark.createDataFrame(good if side == "query" else worse, "chunk_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="not finite"):
+        search.top_k(queries, corpus, 2, 2).collect()
+
+
+def test_blocks_of_queries_shuffle_no_vectors(spark):
+    rows = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(50)], "chunk_id bigint, embedding array<double>")
+    queries = rows.withColumnRenamed("chunk_id", "query_id")
+    whole = search.top_k(queries, rows, 3, 2).orderBy("query_id", "rank").collect()
+    parts = search.top_k(queries, rows, 3, 2, broadcast_numbers=20)
+    assert parts.orderBy("query_id", "rank").collect() == whole
+    assert "CoGroup" not in parts._jdf.queryExecution().toString()
