@@ -31,11 +31,12 @@ CACHE_PIECES = 1_000_000
 
 # Texts of these characters only, without the opening of a special token, can be
 # cut into pieces here: lower-casing and normal forms are plain for them.
-_PLAIN = re.compile("(?:[\t\n\r\x20-;=-~¡-įı-ſ]|<(?!\\|))*")
+_PLAIN_CHARACTERS = "[\t\n\r\\x20-;=-~¡-įı-ſ]"
+_PLAIN = re.compile(rf"{_PLAIN_CHARACTERS}*+(?:<(?!\|){_PLAIN_CHARACTERS}*+)*+")
 # The split pattern of the tokenizer, for lower-case plain texts.
 _LETTER = "a-zªµºß-öø-ſ"
 _NUMBER = "0-9²³¹¼-¾"
-_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\\s{_LETTER}{_NUMBER}]+")
+_PIECE = re.compile(f"[{_LETTER}]+|[{_NUMBER}]|'s|'t|'re|'ve|'m|'ll|'d|[^\\s{_LETTER}{_NUMBER}]+")
 _JOINED = 1000
 
 
