@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inkstrata.functions import text as tx
 from inkstrata.operators import vocabulary as vb
@@ -131,23 +133,37 @@ def piece_ids(letters: list[str], learnt: list[tuple[str, str, int]]) -> dict[st
 
 
 def split_word(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
-    """Apply the learnt merges to one word, lowest rank first."""
-    parts = list(word)
-    while len(parts) > 1:
-        rank, pair = min((ranks.get(p, len(ranks)), p) for p in zip(parts, parts[1:]))
-        if rank == len(ranks):
-            break
-        joined: list[str] = []
-        i = 0
-        while i < len(parts):
-            if tuple(parts[i : i + 2]) == pair:
-                joined.append(parts[i] + parts[i + 1])
-                i += 2
-            else:
-                joined.append(parts[i])
-                i += 1
-        parts = joined
-    return parts
+    """Apply the learnt merges to one word, lowest rank first.
+
+    The parts are a linked list, and the places of pairs wait in a heap, so a long
+    word costs as many steps as it has merges. All places of one rank are merged,
+    from left to right, before the pairs that come about are looked at.
+    """
+    parts: list[str | None] = list(word)
+    after = [*range(1, len(parts)), -1]
+    before = list(range(-1, len(parts) - 1))
+    waiting = [(ranks[pair], i) for i, pair in enumerate(zip(word, word[1:])) if pair in ranks]
+    heapify(waiting)
+    while waiting:
+        rank, made = waiting[0][0], []
+        while waiting and waiting[0][0] == rank:
+            _, i = heappop(waiting)
+            j = after[i]
+            # a place may have been merged away, or hold other parts by now
+            if parts[i] is None or j < 0 or ranks.get((parts[i], parts[j])) != rank:
+                continue
+            parts[i], parts[j] = parts[i] + parts[j], None
+            after[i] = after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            made.append(i)
+        for i in made:
+            for left in (before[i], i):
+                if left >= 0 and parts[left] is not None and after[left] >= 0:
+                    found = ranks.get((parts[left], parts[after[left]]))
+                    if found is not None:
+                        heappush(waiting, (found, left))
+    return [part for part in parts if part is not None]
 
 
 def fall_back(parts: list[str], ids: dict[str, int]) -> list[int]:
@@ -161,6 +177,18 @@ def fall_back(parts: list[str], ids: dict[str, int]) -> list[int]:
     return out
 
 
+def id_lists(splitter: Callable[[], Callable[[str], tuple[int, ...]]]):
+    """Column function from word lists to id lists; a task keeps the ids of words it has seen."""
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def to_ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        word_ids = lru_cache(maxsize=100_000)(splitter())
+        for batch in batches:
+            yield batch.map(lambda words: [i for w in words for i in word_ids(w)])
+
+    return to_ids
+
+
 def encode(texts: DataFrame, letters: list[str], learnt: list[tuple[str, str, int]], text: str = "text") -> DataFrame:
     """Adds ``ids``. The model is broadcast (its size is that of the vocabulary);
     a task remembers the words it has split, and nothing is shuffled."""
@@ -168,16 +196,11 @@ def encode(texts: DataFrame, letters: list[str], learnt: list[tuple[str, str, in
         ({(left, right): i for i, (left, right, _) in enumerate(learnt)}, piece_ids(letters, learnt))
     )
 
-    @F.pandas_udf("array<int>")
-    def to_ids(batch: pd.Series) -> pd.Series:
+    def splitter() -> Callable[[str], tuple[int, ...]]:
         ranks, ids = model.value
+        return lambda word: tuple(fall_back(split_word(word, ranks), ids))
 
-        @lru_cache(maxsize=100_000)
-        def word_ids(word: str) -> tuple[int, ...]:
-            return tuple(fall_back(split_word(word, ranks), ids))
-
-        return batch.map(lambda words: [i for w in words for i in word_ids(w)])
-
+    to_ids = id_lists(splitter)
     return texts.withColumn("ids", to_ids(vb.marked_words(F.col(text))))
 
 
@@ -193,8 +216,8 @@ def decode_column(ids: Column, piece_to_id: dict[str, int]) -> Column:
 
 
 def decode(ids: Iterable[int], pieces: dict[int, str]) -> str:
-    data = b""
+    parts = []
     for i in ids:
         piece = pieces[i]
-        data += bytes([int(piece[3:5], 16)]) if piece.startswith("<0x") and len(piece) == 6 else piece.encode("utf-8")
-    return data.decode("utf-8").replace(vb.SPACE_MARK, " ").removeprefix(" ")
+        parts.append(bytes([int(piece[3:5], 16)]) if piece.startswith("<0x") and len(piece) == 6 else piece.encode("utf-8"))
+    return b"".join(parts).decode("utf-8").replace(vb.SPACE_MARK, " ").removeprefix(" ")

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -179,14 +178,9 @@ def encode(texts: DataFrame, model: dict[str, float], text: str = "text") -> Dat
     """Adds ``ids`` by the likeliest split of each word, unknown characters in bytes."""
     shared = texts.sparkSession.sparkContext.broadcast((model, piece_ids(model)))
 
-    @F.pandas_udf("array<int>")
-    def to_ids(batch: pd.Series) -> pd.Series:
+    def splitter() -> Callable[[str], tuple[int, ...]]:
         scores, ids = shared.value
+        return lambda word: tuple(bpe.fall_back(best_split(word, scores)[1], ids))
 
-        @lru_cache(maxsize=100_000)
-        def word_ids(word: str) -> tuple[int, ...]:
-            return tuple(bpe.fall_back(best_split(word, scores)[1], ids))
-
-        return batch.map(lambda words: [i for w in words for i in word_ids(w)])
-
+    to_ids = bpe.id_lists(splitter)
     return texts.withColumn("ids", to_ids(vb.marked_words(F.col(text))))
