@@ -10,7 +10,7 @@ from inkstrata.catalog.base import (
 from inkstrata.functions import text as tx
 from inkstrata.operators import cleaning, examples, sinks
 from inkstrata.plans import jobs
-from inkstrata.session import fresh_dir
+from inkstrata.session import fresh_dir, materialize
 from inkstrata.sources import files, specs
 
 LAYOUT = "{root}/{name}.parquet"
@@ -153,6 +153,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     records = cleaning.process_examples(licensed(spark, sf), keep=["doc_id", "lang"]).withColumnRenamed("lang", "split")
+    # numbering passes read the narrow table, not the texts
+    records = materialize(records.select("doc_id", "split", "num_chars"), "records")
     return sinks.assign_shards(records, ["doc_id"], 50, ("split",)).select("doc_id", "split", "shard", "num_chars")
 
 
@@ -178,6 +180,31 @@ def _(spark, sf):
     )
 
 
+@query(
+    "b1_exact_shards",
+    """SELECT 'documents' AS dataset, lang AS split, 'shard-' || lpad(CAST(shard AS VARCHAR), 5, '0') AS shard,
+      CAST(1 AS BIGINT) AS files, count(*) AS records, min(doc_id) AS first_id, max(doc_id) AS last_id,
+      CAST(sum(length(text)) AS BIGINT) AS chars
+    FROM (SELECT doc_id, lang, text, (row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) // 100 + 1 AS shard
+      FROM documents) GROUP BY lang, shard""",
+)
+def _(spark, sf):
+    root = fresh_dir(spark, "shards")
+    rows = table(spark, sf, "documents").select("doc_id", F.lit("documents").alias("dataset"), F.col("lang").alias("split"), "text")
+    sinks.write_exact_shards(sinks.assign_shards(materialize(rows, "records"), ["doc_id"], 100), root)
+    return (
+        spark.read.parquet(root)
+        .groupBy("dataset", "split", "shard")
+        .agg(
+            F.countDistinct("_metadata.file_path").alias("files"),
+            F.count(F.lit(1)).alias("records"),
+            F.min("doc_id").alias("first_id"),
+            F.max("doc_id").alias("last_id"),
+            F.sum(F.length("text")).alias("chars"),
+        )
+    )
+
+
 @query(
     "b4_tokenizer_corpus",
     """SELECT unnest(string_split(text, chr(10))) AS value FROM documents

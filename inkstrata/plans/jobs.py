@@ -22,7 +22,8 @@ def public_corpus(
 ) -> DataFrame:
     """Datasets read, cleaned and assigned to shards."""
     raw, _ = read_datasets(spark, specs, root, layout, skip_failed)
-    records = process_examples(raw, keep=["dataset", "split", *order_by])
+    # cleaned once; numbering reads the keys of the written records
+    records = materialize(process_examples(raw, keep=["dataset", "split", *order_by]), "records")
     return sinks.assign_shards(records, order_by, shard_size)
 
 
