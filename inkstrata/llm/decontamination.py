@@ -145,17 +145,17 @@ def _search(token: str, rows: Broadcast, text: int, first: bool) -> Callable[[It
                 owners.append(sorted(items))
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(counts, pa.int64()), pa.array(hits, pa.binary()), pa.array(owners, pa.list_(pa.string()))],
-                names=[*names, "_n_words", "_marks", "_items"],
+                names=[*names, "_decontam_words", "_decontam_marks", "_decontam_items"],
             )
 
     return run
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with ``_n_words``, ``_marks`` and ``_items``.
+    """``docs`` with ``_decontam_words``, ``_decontam_marks`` and ``_decontam_items``.
 
-    ``_marks`` has a byte for each word of the text, 1 inside an occurrence of a test
-    string, and is null where there is none; ``_items`` are the ids, as sorted strings,
+    ``_decontam_marks`` has a byte for each word of the text, 1 inside an occurrence of a test
+    string, and is null where there is none; ``_decontam_items`` are the ids, as sorted strings,
     of the items found. A null text has no words. Without items nothing is found.
     """
     spark = docs.sparkSession
@@ -168,15 +168,16 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     for group in range(groups):
         held = strings.where(F.col("_group") == group).select("string", "width", "item")
         rows = spark.sparkContext.broadcast([(bytes(r[0]), r[1], r[2]) for r in held.collect()])
-        schema = schema_with(docs, docs.columns, "_n_words bigint, _marks binary, _items array<string>")
+        schema = schema_with(docs, docs.columns, "_decontam_words bigint, _decontam_marks binary, _decontam_items array<string>")
         if group:
             out = materialize(out, "searched")
         out = out.mapInArrow(_search(uuid.uuid4().hex, rows, docs.columns.index("text"), not group), schema)
     return out
 
 
-def _verdict() -> Column:
-    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+def _contaminated(hits: str, words: str) -> Column:
+    """At least a twentieth of the words is hit."""
+    return (F.col(hits) > 0) & (20 * F.col(hits) >= F.col(words))
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -187,11 +188,11 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = find_contamination(docs.select("doc_id", "text"), benchmark)
     return found.select(
         "doc_id",
-        F.col("_n_words").alias("n_words"),
-        _hits("_marks").alias("n_hit"),
-        F.size("_items").cast("bigint").alias("n_items"),
-        F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
-    ).withColumn("contaminated", _verdict())
+        F.col("_decontam_words").alias("n_words"),
+        _hits("_decontam_marks").alias("n_hit"),
+        F.size("_decontam_items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("_decontam_items", ","), 256).alias("items_sha256"),
+    ).withColumn("contaminated", _contaminated("n_hit", "n_words"))
 
 
 def _hits(marks: str) -> Column:
@@ -200,9 +201,8 @@ def _hits(marks: str) -> Column:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with the columns of ``docs``."""
-    found = find_contamination(docs, benchmark).withColumns({"_n_hit": _hits("_marks")})
-    bad = (F.col("_n_hit") > 0) & (20 * F.col("_n_hit") >= F.col("_n_words"))
-    return found.where(~bad).select(*[f"`{c}`" for c in docs.columns])
+    found = find_contamination(docs, benchmark).withColumns({"_decontam_hit": _hits("_decontam_marks")})
+    return found.where(~_contaminated("_decontam_hit", "_decontam_words")).select(*[f"`{c}`" for c in docs.columns])
 
 
 def sql(window: int = WINDOW) -> str:
