@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _EXACT_DOUBLE = 2.0**53
-_MAX_BUCKETS = 10_000
+# Bytes of a name that make a whole number which a double holds exactly.
+_NAME_BYTES = 6
 
 
 def _as_number(df: DataFrame, name: str) -> Column | None:
@@ -55,27 +56,64 @@ def _bucket(df: DataFrame, key: Column, cuts: list[float], out: str) -> DataFram
     return placed.withColumn(out, F.col(out).cast("int"))
 
 
+def _shared_prefix(df: DataFrame, name: str) -> int:
+    """How many leading bytes all values of a string column have in common."""
+    least, most = df.agg(F.min(F.encode(name, "UTF-8")), F.max(F.encode(name, "UTF-8"))).first()
+    if least is None:
+        return 0
+    same = 0
+    while same < min(len(least), len(most)) and least[same] == most[same]:
+        same += 1
+    return same
+
+
+def _name_part(name: str, start: int) -> Column:
+    """Some bytes of a string from ``start`` on as a number, in the order of the strings."""
+    part = F.hex(F.substring(F.encode(name, "UTF-8"), start + 1, _NAME_BYTES))
+    return F.conv(F.rpad(part, 2 * _NAME_BYTES, "0"), 16, 10).cast("double")
+
+
 def _with_buckets(df: DataFrame, order_by: Sequence[str], buckets: int) -> tuple[DataFrame, list[str]]:
-    lead, rest = order_by[0], list(order_by[1:])
-    key = _as_number(df, lead)
-    if key is None:
-        # a name such as a file path: one bucket per value, cut further by the next key
-        if rest and (second := _as_number(df, rest[0])) is not None:
-            cuts, _ = _edges(_quantiles(df, second, buckets))
-            return _bucket(df, second, cuts, "_bucket"), [lead, "_bucket"]
-        return df, [lead]
-    cuts, hot = _edges(_quantiles(df, key, buckets))
-    out = _bucket(df, key, cuts, "_bucket")
-    second = _as_number(df, rest[0]) if rest else None
-    if not hot or second is None:
-        return out, ["_bucket"]
-    # many rows share one key: cut those by the second key
-    inner, _ = _edges(_quantiles(df.where(key.isin(hot)), second, buckets))
-    out = _bucket(out, second, inner, "_inner")
-    return (
-        out.withColumn("_inner", F.when(key.isin(hot), F.col("_inner")).otherwise(0)),
-        ["_bucket", "_inner"],
-    )
+    """Rows with the columns of their cell; cells sort as their rows do.
+
+    The first key is cut at its quantiles. Where one of its values is so frequent
+    that it fills a bucket, the rows of that value are cut by the next key, and so
+    on. Strings are cut by the bytes after what all of them share, and by later
+    bytes where these are frequent and the strings still differ.
+    """
+    out, levels = df, []
+    open_: Column | None = None
+    pending: list[tuple[str, int | None]] = [(name, None) for name in order_by]
+    while pending:
+        name, start = pending.pop(0)
+        rows = out if open_ is None else out.where(open_)
+        key, is_name = _as_number(out, name), False
+        if key is None:
+            if not isinstance(df.schema[name].dataType, T.StringType):
+                break
+            is_name, start = True, _shared_prefix(rows, name) if start is None else start
+            key = _name_part(name, start)
+        cuts, hot = _edges(_quantiles(rows, key, buckets))
+        level = ("_bucket", "_inner")[len(levels)] if len(levels) < 2 else f"_inner{len(levels)}"
+        out = _bucket(out, key, cuts, level)
+        if open_ is not None:
+            out = out.withColumn(level, F.when(open_, F.col(level)).otherwise(0))
+        levels.append(level)
+        if not hot:
+            break
+        frequent = key.isin(hot)
+        if is_name:
+            longer, padded = rows.where(frequent).agg(
+                F.bool_or(F.octet_length(name) > start + _NAME_BYTES), F.bool_or(F.contains(F.col(name), F.lit("\0")))
+            ).first()
+            if padded:
+                # names that end in zero bytes have no number of their own
+                break
+            if longer:
+                # cut by later bytes before the next key
+                pending.insert(0, (name, start + _NAME_BYTES))
+        open_ = frequent if open_ is None else open_ & frequent
+    return out, levels
 
 
 def number_rows(
@@ -89,12 +127,13 @@ def number_rows(
     """Number the rows of each group in order: ``start``, ``start + 1``, …
 
     ``order_by`` must name columns of ``df`` without nulls that order its rows
-    fully. ``df`` is read three times (quantiles and counts need the key columns
-    only), so it should be a scan or a materialised table.
+    fully. ``df`` is read a few times (quantiles and counts need the key columns
+    only), so it should be a scan or a materialised table. ``buckets`` defaults to
+    twice the shuffle partitions; keys may be numbers, times, dates or strings.
     """
     if buckets is None:
         buckets = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(1, min(buckets, _MAX_BUCKETS))
+    buckets = max(1, buckets)
     groups = list(partition_by)
     bucketed, levels = _with_buckets(df, order_by, buckets)
     cell = groups + [c for c in levels if c not in groups]

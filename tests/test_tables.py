@@ -141,3 +141,31 @@ def test_exact_shards(spark, tmp_path):
         ("a", "shard-00001"): 8, ("a", "shard-00002"): 8, ("a", "shard-00003"): 4, ("b", "shard-00001"): 5,
     }
     assert back.where("split = 'a' and shard = 'shard-00002'").agg(F.min("id"), F.max("id")).first() == (8, 15)
+
+
+ORDERS = {
+    "constant leading keys": lambda i: (0, "same", i),
+    "long names": lambda i: (0, f"file:/data/part-{i % 7:09d}/{'x' * (i % 3)}", i),
+    "names of two bytes": lambda i: (i % 2, chr(97 + i % 3), i),
+    "one name mostly": lambda i: (1, "é" if i % 10 else f"n{i}", i),
+    "zero bytes": lambda i: (1, "a\0" if i % 2 else "a", i),
+}
+
+
+@pytest.mark.parametrize("case", sorted(ORDERS))
+def test_any_order_key_is_cut(spark, case):
+    rows = [ORDERS[case](i) for i in range(3000)]
+    df = spark.createDataFrame(random.Random(1).sample(rows, len(rows)), "a int, name string, id bigint")
+    got = numbering.number_rows(df, ["a", "name", "id"], start=0, buckets=8)
+    want = {row: i for i, row in enumerate(sorted(rows, key=lambda r: (r[0], r[1].encode(), r[2])))}
+    assert {(r["a"], r["name"], r["id"]): r["row_number"] for r in got.collect()} == want
+    if case != "zero bytes":
+        cells, levels = numbering._with_buckets(df, ["a", "name", "id"], 8)
+        assert cells.groupBy(*levels).count().agg(F.max("count")).first()[0] <= 3000 // 3
+
+
+def test_names_lead_without_one_task(spark):
+    df = spark.range(20_000).select(F.concat(F.lit("file:/x/part-"), F.lpad(F.col("id").cast("string"), 8, "0")).alias("name"))
+    cells, levels = numbering._with_buckets(df, ["name"], 16)
+    sizes = [r["count"] for r in cells.groupBy(*levels).count().collect()]
+    assert len(sizes) >= 10 and max(sizes) < 4000
