@@ -4,10 +4,9 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from inkstrata.catalog import QUERIES
 from tools.compare import TABLES, compare
 
-SLOW = {"j5_bpe_merges", "j6_unigram_vocabulary", "j7_encode_bpe", "j7_encode_unigram"}
-
 
 @pytest.fixture(scope="module")
 def con(sf):
@@ -19,14 +18,14 @@ def con(sf):
 
 
 def test_every_sql_has_a_query():
-    assert set(oracle_sql()) <= set(queries())
+    assert set(oracle_sql()) <= set(queries()) and set(QUERIES) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, sf, name):
     text, _, good = compare(spark, con, name, sf)
     assert good, text
