@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,21 @@ SLICE_BYTES = 4 << 20
 SLICE_ROWS = 512
 
 
+_held: dict[str, Callable[[], object]] = {}
+
+
+def hold(owner: str, release: Callable[[], object] | None = None) -> None:
+    """Says that this Python worker now works for ``owner``.
+
+    Workers outlive tasks and stages; what they remember for other operators is
+    released, so that the memories of several stages do not add up.
+    """
+    for other in [name for name in _held if name != owner]:
+        _held.pop(other)()
+    if release is not None:
+        _held[owner] = release
+
+
 def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

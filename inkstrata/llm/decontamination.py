@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkstrata.llm.common import schema_with, slices, texts_of
+from inkstrata.llm.common import hold, schema_with, slices, texts_of
 from inkstrata.session import materialize
 
 WINDOW = 13
@@ -130,6 +130,7 @@ def _searcher(token: str, rows: Broadcast) -> Searcher:
 
 def _search(token: str, rows: Broadcast, text: int, first: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("decontamination", _current.clear)
         searcher = _searcher(token, rows)
         for batch in slices(batches):
             kept = batch.columns if first else batch.columns[:-3]

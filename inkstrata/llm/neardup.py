@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inkstrata.llm.common import schema_with, slices, texts_of
+from inkstrata.llm.common import hold, schema_with, slices, texts_of
 from inkstrata.llm.components import connected_components
 from inkstrata.session import materialize
 
@@ -43,7 +43,7 @@ MAX_DISTANCE = 32
 BLOCK_BYTES = 1 << 20
 # A table of at most so many ids is given to every task instead of shuffling texts.
 SMALL_IDS = 2_000_000
-_WORDS_KEPT = 500_000
+_WORDS_KEPT = 300_000
 
 _ODD = np.random.default_rng(6).integers(0, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -91,6 +91,7 @@ def signature(values: np.ndarray) -> np.ndarray:
 
 def _sign(size: int, with_row: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("neardup", _words.clear)
         for batch in slices(batches):
             counts, digests, signatures = [], [], []
             for text in texts_of(batch.column(1)):
@@ -125,6 +126,7 @@ def _file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("neardup", _words.clear)
         for batch in slices(batches):
             values = [shingles(text, size) for text in texts_of(batch.column(0))]
             digests = [hashlib.blake2b(v.tobytes(), digest_size=16).digest() for v in values]

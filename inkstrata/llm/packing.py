@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkstrata.llm.common import schema_with, slices, texts_of
+from inkstrata.llm.common import hold, schema_with, slices, texts_of
 from inkstrata.session import fresh_dir
 
 WINDOW = 4096
@@ -102,6 +102,7 @@ def _encode(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("packing", _loaded.clear)
         tokenizer = _tokenizer(path)
         part, before = TaskContext.get().partitionId(), 0
         for batch in slices(batches):

@@ -19,7 +19,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkstrata.llm.common import schema_with, slices, texts_of
+from inkstrata.llm.common import hold, schema_with, slices, texts_of
 from inkstrata.session import materialize
 
 FOLDS = 5
@@ -138,6 +138,7 @@ _INNER = [f"_toxicity_{name}" for name in FEATURES]
 
 def _featurize(at: int, learned: Learned) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("toxicity")
         for batch in slices(batches):
             made = zip(*(features_of(t, learned) for t in texts_of(batch.column(at))))
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(column, pa.float64()) for column in made)], names=[*batch.schema.names, *_INNER])
