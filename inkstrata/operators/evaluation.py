@@ -199,17 +199,24 @@ def policy_loss(rollouts: DataFrame) -> DataFrame:
     return by_batch.agg(sc.mean_or_zero(F.sum("loss"), F.count(F.lit(1))).alias("loss"))
 
 
-def preference_scores(values: DataFrame) -> DataFrame:
-    """Chosen and rejected score per prompt from ``prompt_id, kind, values``.
+def preference_scores(values: DataFrame, pair: Sequence[str] = ()) -> DataFrame:
+    """Chosen and rejected score of every pair from ``prompt_id, kind, values``.
 
-    One row for each prompt that has both kinds; of several of a kind the greatest counts.
+    A pair is a ``prompt_id`` that has both kinds, whether or not their scores are null.
+    Where prompts have several pairs, ``pair`` names the columns that tell these apart;
+    a kind that is there twice in a pair is an error.
     """
 
-    def side(kind: str) -> Column:
-        return F.max(F.when(F.col("kind") == kind, vx.last_value(F.col("values")))).alias(f"{kind}_score")
+    def side(kind: str) -> list[Column]:
+        of_kind = F.col("kind") == kind
+        score = F.max(F.when(of_kind, vx.last_value(F.col("values"))))
+        return [score.alias(f"{kind}_score"), F.count_if(of_kind).alias(f"_{kind}")]
 
-    both = values.groupBy("prompt_id").agg(side("chosen"), side("rejected"))
-    return both.where(F.col("chosen_score").isNotNull() & F.col("rejected_score").isNotNull())
+    rows = values.groupBy("prompt_id", *pair).agg(*side("chosen"), *side("rejected"))
+    repeated = F.raise_error(F.lit("a pair has several rows of one kind; name the columns of a pair")).cast("boolean")
+    once = F.greatest("_chosen", "_rejected") < 2
+    both = (F.col("_chosen") > 0) & (F.col("_rejected") > 0)
+    return rows.where(F.when(once, both).otherwise(repeated)).drop("_chosen", "_rejected")
 
 
 def positional_zip(

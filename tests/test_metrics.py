@@ -125,3 +125,16 @@ def test_no_plan_names_the_key(spark):
         plan = df._jdf.queryExecution()
         for text in (plan.toString(), plan.stringWithStats(), plan.executedPlan().toString()):
             assert key.decode() not in text and key.hex() not in text.lower()
+
+
+def test_preference_scores_keep_every_pair(spark):
+    rows = [
+        (1, 0, "chosen", [0.0, 5.0]), (1, 0, "rejected", [1.0]), (1, 1, "chosen", [2.0]), (1, 1, "rejected", [9.0]),
+        (2, 0, "chosen", [1.0, None]), (2, 0, "rejected", [3.0]), (3, 0, "chosen", [4.0]), (4, 0, "rejected", [4.0]),
+    ]
+    df = spark.createDataFrame(rows, "prompt_id bigint, draw int, kind string, values array<double>")
+    got = evaluation.preference_scores(df, ["draw"]).collect()
+    want = {(1, 0, 5.0, 1.0), (1, 1, 2.0, 9.0), (2, 0, None, 3.0)}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    with pytest.raises(Exception, match="several rows of one kind"):
+        evaluation.preference_scores(df).count()
