@@ -155,7 +155,8 @@ paths AS (
 
 SQL_WORDS = r"regexp_extract_all(text, '[0-9]|[^0-9\t-\r ]+')"
 
-VOCABULARY = 2000
+# The reference's vocabulary size, special pieces included.
+VOCABULARY = vb.VOCAB_SIZE
 
 
 def vocabulary(spark: SparkSession, sf: str) -> DataFrame:

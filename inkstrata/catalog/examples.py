@@ -12,8 +12,9 @@ from inkstrata.operators import examples
 from inkstrata.operators import vocabulary as vb
 from inkstrata.plans import jobs
 
-SEQ, BATCH = 64, 16
-MAX_LENGTH, PAIR_BATCH = 96, 8
+# The reference's lengths.
+SEQ, BATCH = 2048, 16
+MAX_LENGTH, PAIR_BATCH = 1024, 8
 
 
 @query("c12_instruction_records", f"WITH {SQL_PAIRS} SELECT conv_id, turn, text FROM pairs")

@@ -112,10 +112,14 @@ def marked_text(texts):
     return texts.select(F.array_join(vb.marked_words(F.col("text")), "").alias("text"))
 
 
+# Pieces besides the special and byte ones, which the reference's size includes.
+PIECES = VOCABULARY - len(vb.SPECIAL_PIECES) - 256
+
+
 @query("j6_unigram_vocabulary")
 def _(spark, sf):
     words = marked_words(spark, sf)
-    return unigram.model_table(spark, unigram.learn_unigram(words, letters(spark, sf), 400))
+    return unigram.model_table(spark, unigram.learn_unigram(words, letters(spark, sf), PIECES))
 
 
 @query(
@@ -142,7 +146,7 @@ def _(spark, sf):
 @query("j7_encode_unigram", SQL_UNIFIED)
 def _(spark, sf):
     words = marked_words(spark, sf)
-    model = unigram.learn_unigram(words, letters(spark, sf), 400)
+    model = unigram.learn_unigram(words, letters(spark, sf), PIECES)
     encoded = unigram.encode(table(spark, sf, "documents").select("doc_id", "text"), model)
     return encoded.select("doc_id", bpe.decode_column(F.col("ids"), unigram.piece_ids(model)).alias("text"))
 

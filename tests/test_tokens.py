@@ -146,3 +146,15 @@ def test_batches_and_padding(spark):
     assert [r["i"] for r in lists] == [[0, 1], [2, 3], [4]]
     assert examples.limit_batches(batched, 1).count() == 4
     assert examples.limit_batches(batched.withColumn("x", F.lit(1)), 9).count() == 5
+
+
+def test_catalogue_queries_run_at_the_reference_sizes(spark, sf):
+    from inkstrata.catalog import QUERIES
+
+    examples_made = QUERIES["n4_training_examples"](spark, sf).select(F.size(F.split("input_ids", " ")).alias("n"))
+    assert {r["n"] for r in examples_made.distinct().collect()} == {2048}
+    # all words of the smallest table are in a vocabulary of 65 536
+    unknown = QUERIES["j7_encode_words"](spark, sf).where(F.array_contains(F.split("ids", " "), "1"))
+    assert unknown.count() == 0
+    # special and byte pieces come on top; pieces that no split needs are gone
+    assert 65_000 < QUERIES["j6_unigram_vocabulary"](spark, sf).count() <= 65_536 - 4 - 256
