@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from inkstrata.llm import chat, decontamination, neardup, packing, pii, quality, secrets, sharding, toxicity, warc
 from inkstrata.llm.common import scan
-from inkstrata.session import fresh_dir, materialize
+from inkstrata.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,9 +42,12 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op9_sharding")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
+    path = fresh_dir(spark, "shards")
     docs = scan(spark, sf, "documents").select("doc_id", "text")
-    keyed = materialize(sharding.with_keys(docs).drop("text"), "shard-keys")
-    return sharding.shard(keyed, keys=keyed).select(
+    sharding.write_shards(docs, path)
+    stored = spark.read.schema(f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, slot bigint, shard int").parquet(path)
+    # sizes and checksums are those of the texts in the files
+    return sharding.with_keys(stored).select(
         "doc_id",
         F.col("_size").alias("size"),
         F.col("_crc32").alias("text_crc32"),

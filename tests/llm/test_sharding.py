@@ -47,3 +47,18 @@ def test_rank_counts_boundaries_below():
     bounds = [(1, 5), (1, 9), (4, -3)]
     keys, ties = np.array([0, 1, 1, 1, 4, 9]), np.array([0, 4, 5, 10, -4, 0])
     assert sharding.rank(bounds, keys, ties).tolist() == [0, 0, 1, 2, 2, 3]
+
+
+def test_query_reads_its_rows_from_shard_files(spark, sf):
+    from inkstrata.llm.queries import QUERIES
+
+    made = QUERIES["op9_sharding"](spark, sf)
+    files = made.inputFiles()
+    assert files and all("/shards-" in f and "/shard=" in f for f in files)
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = made.collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    assert all((r.size, r.text_crc32) == (len(texts[r.doc_id].encode()) + 16, zlib.crc32(texts[r.doc_id].encode())) for r in rows)
+    for shard in {r.shard for r in rows}:
+        slots = sorted(r.slot for r in rows if r.shard == shard)
+        assert slots == list(range(len(slots)))
