@@ -41,9 +41,9 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences."""
+    """Pieces of the documents in sequences, with their ids."""
     ship(spark)
-    return packing.pack(docs, TOKENIZER, with_ids=False)
+    return packing.pack(docs, TOKENIZER)
 
 
 STAGES = [

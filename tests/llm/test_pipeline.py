@@ -73,3 +73,11 @@ def test_odd_rows_and_empty_tables_pass_all_stages(spark, sf, tmp_path):
             stage(spark, docs, sf).write.parquet(str(tmp_path / f"{label}-{name}"))
             docs = spark.read.parquet(str(tmp_path / f"{label}-{name}"))
         assert (docs.count() > 0) == bool(texts)
+
+
+def test_the_last_table_holds_the_ids(results):
+    want = {r.doc_id: b"".join(int(i).to_bytes(4, "little") for i in test_packing.ids_of(r.text)) for r in results["secrets"]}
+    got = {r.doc_id: b"" for r in results["secrets"]}
+    for r in sorted(results["packing"], key=lambda r: (r.doc_id, r.start)):
+        got[r.doc_id] += bytes(r.ids)
+    assert got == want
