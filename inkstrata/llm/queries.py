@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkstrata.llm import chat, decontamination, neardup, packing, pii, quality, secrets, sharding, toxicity, warc
+from inkstrata.llm import chat, decontamination, lexical, merkle, neardup, packing, pii, quality, secrets, sharding, toxicity, transducer, warc
 from inkstrata.llm.common import scan
 from inkstrata.session import fresh_dir
 
@@ -130,3 +130,18 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_toxicity")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.report(scan(spark, sf, "documents"), scan(spark, sf, "labels"))
+
+
+@query("op11_lexical_search", lexical.sql())
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.rank_documents(scan(spark, sf, "documents"), scan(spark, sf, "benchmark"))
+
+
+@query("op12_merkle_manifest", merkle.sql())
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.report(scan(spark, sf, "documents"))
+
+
+@query("op13_bpe")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return transducer.report(scan(spark, sf, "documents"), "word_bpe_49k.json")

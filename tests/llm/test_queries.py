@@ -20,7 +20,7 @@ def test_every_operator_is_registered():
     from __spark_entry__ import oracle_sql
     from __spark_entry__ import queries as registered
 
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(registered()) and set(queries.ORACLES) <= set(oracle_sql())
 
 
