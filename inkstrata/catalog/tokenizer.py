@@ -79,6 +79,8 @@ def _(spark, sf):
 
 
 MERGES = 16
+# Merges of the codec query; a round of learning is a Spark job.
+CODEC_MERGES = 400
 
 # One merge per step: count the pairs, take the best, replace it everywhere.
 SQL_MERGES = f"""WITH RECURSIVE {SQL_MARKED},
@@ -138,7 +140,7 @@ SQL_UNIFIED = f"SELECT doc_id, regexp_replace({sql_strip('text')}, '{SQL_SPACE}+
 @query("j7_encode_bpe", SQL_UNIFIED)
 def _(spark, sf):
     # encoded and decoded again: nothing of a text may get lost
-    merges, known = bpe.learn_merges(marked_words(spark, sf), 30), letters(spark, sf)
+    merges, known = bpe.learn_merges(marked_words(spark, sf), CODEC_MERGES), letters(spark, sf)
     encoded = bpe.encode(table(spark, sf, "documents").select("doc_id", "text"), known, merges)
     return encoded.select("doc_id", bpe.decode_column(F.col("ids"), bpe.piece_ids(known, merges)).alias("text"))
 

@@ -2,25 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
+from collections.abc import Iterable
 from heapq import heapify, heappop, heappush
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from inkstrata.functions import text as tx
+from inkstrata.operators import codec, pairs
 from inkstrata.operators import vocabulary as vb
-from inkstrata.session import cut_lineage, spread
+from inkstrata.operators.pairs import CLOSE, OPEN
 
-# Symbols of a word are written between these two control characters, so that
-# a merge is one plain string replacement.
-OPEN, CLOSE = "\x02", "\x03"
 # Control characters, which are no part of any piece.
 CONTROLS = r"[\x01-\x08\x0b\x0e-\x1f\x7f]"
-CHECKPOINT_EVERY = 8
 
 
 def start_symbols(words: DataFrame) -> DataFrame:
@@ -38,7 +33,7 @@ def _symbol_list(symbols: Column) -> Column:
 def count_pairs(words: DataFrame) -> DataFrame:
     """``left, right, n``: adjacent symbols, weighted by the count of the word."""
 
-    def pairs(parts: Column) -> Column:
+    def neighbours(parts: Column) -> Column:
         return F.arrays_zip(
             F.slice(parts, F.lit(1), F.size(parts) - 1).alias("left"),
             F.slice(parts, F.lit(2), F.size(parts) - 1).alias("right"),
@@ -46,7 +41,7 @@ def count_pairs(words: DataFrame) -> DataFrame:
 
     split = words.select(_symbol_list(F.col("symbols")).alias("parts"), "n").where(F.size("parts") > 1)
     return (
-        split.select(F.explode(pairs(F.col("parts"))).alias("pair"), "n")
+        split.select(F.explode(neighbours(F.col("parts"))).alias("pair"), "n")
         .groupBy(F.col("pair.left").alias("left"), F.col("pair.right").alias("right"))
         .agg(F.sum("n").alias("n"))
     )
@@ -55,66 +50,35 @@ def count_pairs(words: DataFrame) -> DataFrame:
 def independent_prefix(ranked: list[tuple[str, str, int]]) -> list[tuple[str, str, int]]:
     """The leading pairs that one-at-a-time merging would pick in this very order.
 
-    A merge changes only counts of pairs that share a symbol with it, and a pair
-    it brings about is no more frequent than such a neighbour. So pairs can be
-    merged together up to the first one that shares a symbol with an earlier
-    one; a tie with that one is left for the next round.
+    A merge changes only counts of pairs that meet it in a word: those that begin with
+    its right symbol or end with its left one. A pair it brings about is no more
+    frequent than such a neighbour. So pairs can be merged together up to the first
+    one that meets an earlier one; a tie with that one is left for the next round.
     """
     taken: list[tuple[str, str, int]] = []
-    used: set[str] = set()
+    lefts: set[str] = set()
+    rights: set[str] = set()
     for left, right, n in ranked:
-        if left in used or right in used or left == right and taken:
+        if left in rights or right in lefts or left == right and taken:
             while len(taken) > 1 and taken[-1][2] == n:
                 taken.pop()
             break
         taken.append((left, right, n))
-        used.update((left, right))
+        lefts.add(left)
+        rights.add(right)
         if left == right:
             break
     return taken
 
 
-def merge(symbols: Column, pairs: list[tuple[str, str, int]]) -> Column:
-    for left, right, _ in pairs:
-        before = f"{OPEN}{left}{CLOSE}{OPEN}{right}{CLOSE}"
-        symbols = F.replace(symbols, F.lit(before), F.lit(f"{OPEN}{left}{right}{CLOSE}"))
-    return symbols
-
-
 def learn_merges(words: DataFrame, merges: int, per_round: int = 32, min_count: int = 2) -> list[tuple[str, str, int]]:
     """The first ``merges`` merges as ``(left, right, count)``, best pair first.
 
-    A round is a grouped count over the distinct words, from which no more than
-    ``per_round`` candidate pairs come to the driver. Ties go to the smaller
-    pair. The lineage is cut by a reliable checkpoint every few rounds.
+    Ties go to the smaller pair. The words stay in the tasks, where a merge touches
+    those that hold its pair; a round merges as many pairs as one-at-a-time learning
+    would have picked next, whatever the other merges of the round change.
     """
-    table = cut_lineage(spread(start_symbols(words)))
-    learnt: list[tuple[str, str, int]] = []
-    rounds = 0
-    while len(learnt) < merges:
-        ranked = (
-            count_pairs(table)
-            .where(F.col("n") >= min_count)
-            .orderBy(F.desc("n"), "left", "right")
-            .limit(per_round + 1)
-            .collect()
-        )
-        chosen = independent_prefix([(r["left"], r["right"], r["n"]) for r in ranked])
-        if len(ranked) > per_round:
-            # the last candidate only shows whether there is a tie at the end
-            last = ranked[per_round]["n"]
-            chosen = chosen[:per_round]
-            while len(chosen) > 1 and chosen[-1][2] == last:
-                chosen.pop()
-        chosen = chosen[: merges - len(learnt)]
-        if not chosen:
-            break
-        learnt += chosen
-        table = table.withColumn("symbols", merge(F.col("symbols"), chosen))
-        rounds += 1
-        if rounds % CHECKPOINT_EVERY == 0:
-            table = cut_lineage(table)
-    return learnt
+    return pairs.learn(start_symbols(words), merges, independent_prefix, per_round, min_count)
 
 
 def merge_table(spark, learnt: list[tuple[str, str, int]]) -> DataFrame:
@@ -177,31 +141,17 @@ def fall_back(parts: list[str], ids: dict[str, int]) -> list[int]:
     return out
 
 
-def id_lists(splitter: Callable[[], Callable[[str], tuple[int, ...]]]):
-    """Column function from word lists to id lists; a task keeps the ids of words it has seen."""
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def to_ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        word_ids = lru_cache(maxsize=100_000)(splitter())
-        for batch in batches:
-            yield batch.map(lambda words: [i for w in words for i in word_ids(w)])
-
-    return to_ids
-
-
 def encode(texts: DataFrame, letters: list[str], learnt: list[tuple[str, str, int]], text: str = "text") -> DataFrame:
-    """Adds ``ids``. The model is broadcast (its size is that of the vocabulary);
-    a task remembers the words it has split, and nothing is shuffled."""
+    """Adds ``ids``. The model is broadcast; its size is that of the vocabulary."""
     model = texts.sparkSession.sparkContext.broadcast(
         ({(left, right): i for i, (left, right, _) in enumerate(learnt)}, piece_ids(letters, learnt))
     )
 
-    def splitter() -> Callable[[str], tuple[int, ...]]:
+    def make() -> codec.Coder:
         ranks, ids = model.value
-        return lambda word: tuple(fall_back(split_word(word, ranks), ids))
+        return lambda words: [fall_back(split_word(word, ranks), ids) for word in words]
 
-    to_ids = id_lists(splitter)
-    return texts.withColumn("ids", to_ids(vb.marked_words(F.col(text))))
+    return texts.withColumn("ids", codec.ids_column(make)(vb.marked_words(F.col(text))))
 
 
 def decode_column(ids: Column, piece_to_id: dict[str, int]) -> Column:

@@ -3,23 +3,23 @@
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkstrata.operators import bpe
+from inkstrata.operators import bpe, codec
 from inkstrata.operators import vocabulary as vb
+from inkstrata.operators.lattice import MAX_PIECE, Lattice, Trie, best_split, expected_pieces  # noqa: F401
 from inkstrata.session import cut_lineage, spread
 
-# Longest piece, seeds per vocabulary entry, share kept per pruning.
-MAX_PIECE = 16
+# Seeds per vocabulary entry, share kept per pruning.
 SEED_FACTOR = 4
 KEEP_SHARE = 0.75
-UNKNOWN_LOG_PROB = -20.0
-# Count of a letter that the best pieces never need; it stays spellable.
+# Count of a piece that the best splits never need.
 FLOOR = 1e-6
 
 
@@ -60,107 +60,81 @@ def _log_share(counts: dict[str, float]) -> dict[str, float]:
     return {p: math.log(c) - total for p, c in counts.items() if c > 0}
 
 
-def _edges(word: str, model: dict[str, float]) -> list[list[tuple[int, str, float]]]:
-    """Pieces that end at each place of the word, as (start, piece, score)."""
-    ending: list[list[tuple[int, str, float]]] = [[] for _ in range(len(word) + 1)]
-    for i in range(len(word)):
-        for j in range(i + 1, min(len(word), i + MAX_PIECE) + 1):
-            score = model.get(word[i:j])
-            if score is None and j == i + 1:
-                score = UNKNOWN_LOG_PROB
-            if score is not None:
-                ending[j].append((i, word[i:j], score))
-    return ending
-
-
-def _log_add(a: float, b: float) -> float:
-    if a == -math.inf:
-        return b
-    top = max(a, b)
-    return top + math.log1p(math.exp(min(a, b) - top))
-
-
-def expected_pieces(word: str, model: dict[str, float]) -> dict[str, float]:
-    """How often each piece occurs, on average over all ways to split the word."""
-    ending = _edges(word, model)
-    forward = [0.0] + [-math.inf] * len(word)
-    for j in range(1, len(word) + 1):
-        for i, _, score in ending[j]:
-            forward[j] = _log_add(forward[j], forward[i] + score)
-    backward = [-math.inf] * len(word) + [0.0]
-    out: dict[str, float] = defaultdict(float)
-    for j in range(len(word), 0, -1):
-        for i, piece, score in ending[j]:
-            out[piece] += math.exp(forward[i] + score + backward[j] - forward[-1])
-            backward[i] = _log_add(backward[i], backward[j] + score)
-    return out
-
-
-def best_split(word: str, model: dict[str, float], without: str | None = None) -> tuple[float, list[str]]:
-    """The likeliest pieces of a word and their score."""
-    ending = _edges(word, model)
-    best: list[tuple[float, int, str]] = [(0.0, 0, "")] + [(-math.inf, 0, "")] * len(word)
-    for j in range(1, len(word) + 1):
-        for i, piece, score in ending[j]:
-            if piece != without and best[i][0] + score > best[j][0]:
-                best[j] = (best[i][0] + score, i, piece)
-    parts: list[str] = []
-    j = len(word)
-    while j > 0 and best[j][2]:
-        parts.append(best[j][2])
-        j = best[j][1]
-    return best[-1][0], parts[::-1]
-
-
-def expectation(words: DataFrame, model: dict[str, float]) -> dict[str, float]:
+def shared_trie(spark: SparkSession, model: dict[str, float]) -> Broadcast:
+    """The pieces of ``model`` and their trie, for this model and those that are left of it."""
+    pieces = list(model)
+    return spark.sparkContext.broadcast((pieces, Trie(pieces)))
+
+
+def expectation(words: DataFrame, model: dict[str, float], trie: Broadcast) -> dict[str, float]:
     """Expected piece counts over all words; one row per piece comes back."""
     shared = words.sparkSession.sparkContext.broadcast(model)
 
-    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals: Counter[str] = Counter()
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattice(shared.value, *trie.value)
+        totals = np.zeros(len(lattice.scores))
         for batch in batches:
-            for word, n in zip(batch["word"], batch["n"]):
-                for piece, share in expected_pieces(word, shared.value).items():
-                    if piece in shared.value:
-                        totals[piece] += n * share
-        yield pd.DataFrame({"piece": list(totals.keys()), "n": list(totals.values())})
+            totals += lattice.expected(batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(float))
+        seen = np.flatnonzero(totals[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array([lattice.pieces[i] for i in seen.tolist()], pa.string()), pa.array(totals[seen])], names=["piece", "n"])
 
-    sums = words.select("word", "n").mapInPandas(count, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+    sums = words.select("word", F.col("n").cast("bigint")).mapInArrow(count, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
     return {r["piece"]: r["n"] for r in sums.collect()}
 
 
-def prune(counts: dict[str, float], letters: list[str], size: int) -> dict[str, float]:
-    """Drop the pieces whose absence costs least; letters always stay."""
-    model = _log_share(counts)
-    kept = set(letters)
-    losses = []
-    for piece, n in counts.items():
-        if piece not in kept and piece in model:
-            other, _ = best_split(piece, model, without=piece)
-            losses.append((n * (model[piece] - other), piece))
-    losses.sort(key=lambda x: (-x[0], x[1]))
-    room = max(size - len(kept), int(len(losses) * KEEP_SHARE))
-    stay = kept | {piece for _, piece in losses[: max(0, room)]}
+def prune(spark: SparkSession, counts: dict[str, float], letters: list[str], size: int, trie: Broadcast) -> dict[str, float]:
+    """Drop the pieces whose absence costs least; letters always stay.
+
+    What the absence of a piece costs, its best split into others, is worked out in
+    the tasks, over a table of the pieces.
+    """
+    model, kept = _log_share(counts), set(letters)
+    others = [p for p in model if p not in kept]
+    room = max(0, size - len(kept), int(len(others) * KEEP_SHARE))
+    if room >= len(others):
+        return counts
+    shared = spark.sparkContext.broadcast(model)
+
+    def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattice(shared.value, *trie.value)
+        for batch in batches:
+            pieces = batch.column(0).to_pylist()
+            other = np.zeros(len(pieces))
+            for rows, scores, _ in lattice.best(pieces, whole=False):
+                other[rows] = scores
+            own = np.array([shared.value[p] for p in pieces])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(batch.column(1).to_numpy() * (own - other))], names=["piece", "loss"])
+
+    table = pa.table({"piece": pa.array(others, pa.string()), "n": pa.array([float(counts[p]) for p in others])})
+    ranked = spread(spark.createDataFrame(table)).mapInArrow(losses, "piece string, loss double")
+    best = ranked.orderBy(F.desc("loss"), "piece").limit(room).select("piece").toArrow().column("piece").to_pylist()
+    stay = kept.union(best)
     return {p: n for p, n in counts.items() if p in stay}
 
 
 def learn_unigram(words: DataFrame, letters: list[str], size: int, rounds: int = 2, seed_factor: int = SEED_FACTOR) -> dict[str, float]:
     """Piece scores of a vocabulary of ``size`` pieces, the alphabet included.
 
-    The corpus-sized work, expected counts over the distinct words, runs in the
+    There are fewer pieces only if the words have fewer repeated substrings to start
+    from. Pieces that no likely split needs keep the least count, and are the first to
+    go. The corpus-sized work, expected counts over the distinct words, runs in the
     tasks; the driver holds the model, whose size the parameters bound.
     """
     words = cut_lineage(spread(words))
     model = seed_pieces(words, letters, seed_factor * size)
+    # letters that the words lack are pieces too
+    least = min(model.values(), default=0.0)
+    model = {**dict.fromkeys(letters, least), **model}
+    trie = shared_trie(words.sparkSession, model)
     while True:
         counts: dict[str, float] = {}
         for _ in range(rounds):
-            counts = expectation(words, model)
-            counts = {**counts, **{c: max(counts.get(c, 0.0), FLOOR) for c in letters}}
+            counts = expectation(words, model, trie)
+            counts = {p: max(counts.get(p, 0.0), FLOOR) for p in {**dict.fromkeys(letters), **model}}
             model = _log_share(counts)
         if len(model) <= max(size, len(letters)):
             return model
-        model = _log_share(prune(counts, letters, size))
+        model = _log_share(prune(words.sparkSession, counts, letters, size, trie))
 
 
 def model_table(spark, model: dict[str, float]) -> DataFrame:
@@ -176,11 +150,35 @@ def piece_ids(model: dict[str, float]) -> dict[str, int]:
 
 def encode(texts: DataFrame, model: dict[str, float], text: str = "text") -> DataFrame:
     """Adds ``ids`` by the likeliest split of each word, unknown characters in bytes."""
-    shared = texts.sparkSession.sparkContext.broadcast((model, piece_ids(model)))
+    shared = texts.sparkSession.sparkContext.broadcast((Lattice(model), piece_ids(model)))
+
+    def make() -> codec.Coder:
+        return coder(*shared.value)
+
+    return texts.withColumn("ids", codec.ids_column(make)(vb.marked_words(F.col(text))))
+
+
+def coder(lattice: Lattice, ids: dict[str, int]) -> codec.Coder:
+    """Ids of the likeliest splits of many words."""
+    numbers = np.array([*(ids[p] for p in lattice.pieces), -1])
+
+    def code(words: list[str]) -> list[list[int]]:
+        out: list[list[int]] = [[] for _ in words]
+        for rows, _, pieces in lattice.best(words):
+            first = (pieces < 0).sum(1).tolist()
+            plain = ~(pieces == len(lattice.pieces)).any(1)
+            for row, good, start, own, line in zip(rows.tolist(), plain.tolist(), first, pieces.tolist(), numbers[pieces].tolist()):
+                out[row] = line[start:] if good else _spelled(words[row], own[start:], lattice, ids)
+        return out
+
+    return code
 
-    def splitter() -> Callable[[str], tuple[int, ...]]:
-        scores, ids = shared.value
-        return lambda word: tuple(bpe.fall_back(best_split(word, scores)[1], ids))
 
-    to_ids = bpe.id_lists(splitter)
-    return texts.withColumn("ids", to_ids(vb.marked_words(F.col(text))))
+def _spelled(word: str, pieces: list[int], lattice: Lattice, ids: dict[str, int]) -> list[int]:
+    """Ids of a split with characters that are no pieces, which are written in bytes."""
+    parts, at = [], 0
+    for p in pieces:
+        part = lattice.pieces[p] if p < len(lattice.pieces) else word[at]
+        parts.append(part)
+        at += len(part)
+    return bpe.fall_back(parts, ids)
