@@ -12,6 +12,7 @@ from inkstrata.functions import vectors as vx
 from inkstrata.operators import answering, chunking, evaluation, ingest, sinks
 from inkstrata.operators.skew import lookup_join
 from inkstrata.session import fresh_dir
+from inkstrata.sources import files, listing
 
 
 def count_keywords(texts: list[str]) -> list[list[float]]:
@@ -25,7 +26,7 @@ def binary_files(spark, sf):
     suffix = F.when(key % 7 == 0, ".txt").when(key % 7 == 1, ".MD").when(key % 7 == 2, ".markdown").otherwise(".md")
     body = F.encode(F.replace("text", F.lit("\n"), F.lit("\r\n")), "UTF-8")
     docs = table(spark, sf, "documents").select(
-        F.concat(F.lit("docs/"), key.cast("string"), suffix).alias("path"),
+        F.concat(F.when(key % 13 == 5, "docs/_").otherwise("docs/"), key.cast("string"), suffix).alias("path"),
         F.when(key % 11 == 0, F.concat(F.unhex(F.lit("FF")), body)).otherwise(body).alias("content"),
     )
     pages = table(spark, sf, "pages").select(
@@ -35,9 +36,17 @@ def binary_files(spark, sf):
     return docs.unionByName(pages)
 
 
+def scanned_files(spark, sf):
+    """The files written to a folder and read from it: hidden names, other types and other bytes among them."""
+    root = fresh_dir(spark, "files").removeprefix("file:")
+    listing.write_files(binary_files(spark, sf), root)
+    found = files.read_documents(spark, root)
+    return found.withColumn("path", F.expr(f"substr(path, {len(root) + 2})"))
+
+
 SQL_FILES = """
 files AS (
-  SELECT 'docs/' || doc_id || CASE doc_id % 7 WHEN 0 THEN '.txt' WHEN 1 THEN '.MD' WHEN 2 THEN '.markdown' ELSE '.md' END
+  SELECT 'docs/' || CASE doc_id % 13 WHEN 5 THEN '_' ELSE '' END || doc_id || CASE doc_id % 7 WHEN 0 THEN '.txt' WHEN 1 THEN '.MD' WHEN 2 THEN '.markdown' ELSE '.md' END
     AS path, 'markdown' AS converter, text FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 11 <> 0
   UNION ALL SELECT 'pages/' || page_id || '.html', 'html', html FROM pages)"""
 
@@ -60,7 +69,7 @@ def sql_page_text(x: str) -> str:
 
 @query("a10_document_scan", f"WITH {SQL_FILES} SELECT path, converter, text FROM files")
 def _(spark, sf):
-    return ingest.decode_files(binary_files(spark, sf))
+    return scanned_files(spark, sf)
 
 
 @query(
@@ -319,9 +328,8 @@ index_rows AS (SELECT path, chunk_index, content, path AS file_path, 'local' AS
 
 
 def index_of(spark, sf):
-    files = ingest.decode_files(binary_files(spark, sf))
     request = F.create_map(F.lit("repo"), F.lit("local"), F.lit("commit"), F.lit("abc123"))
-    return ingest.ingest(files, CHUNKER, lambda c: vx.keyword_embedding(c, KEYWORDS), request)
+    return ingest.ingest(scanned_files(spark, sf), CHUNKER, lambda c: vx.keyword_embedding(c, KEYWORDS), request)
 
 
 @query(
@@ -354,7 +362,7 @@ def _(spark, sf):
       array_to_string(list_transform({sql_counts('content')}, lambda x: CAST(x AS BIGINT)), ' ') AS counts FROM chunks""",
 )
 def _(spark, sf):
-    vector = answering.encode_with(count_keywords, F.col("content"))
+    vector = answering.encode_with_built(lambda: count_keywords, F.col("content"))
     return document_chunks(spark, sf).withColumn("v", vector).select(
         "doc_id", "chunk_index",
         F.array_join(F.transform("v", lambda x: x.cast("bigint").cast("string")), " ").alias("counts"),
@@ -383,8 +391,8 @@ def tag_names(markup: str) -> list[str]:
       unnest(string_split(text, chr(10))) FROM files WHERE path LIKE '%.MD'""",
 )
 def _(spark, sf):
-    files = ingest.decode_files(binary_files(spark, sf))
-    return ingest.apply_converters(files, {".md": paragraphs, ".html": tag_names})
+    decoded = ingest.decode_files(binary_files(spark, sf))
+    return ingest.apply_converters(decoded, {".md": paragraphs, ".html": tag_names})
 
 
 @query(

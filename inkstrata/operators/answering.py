@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,14 +19,47 @@ def effective_top_k(top_k: int | None) -> int:
     return top_k or DEFAULT_TOP_K
 
 
-def encode_with(encoder: Callable[[list[str]], list[list[float]]], text: Column) -> Column:
+Encoder = Callable[[list[str]], list[list[float]]]
+
+# The encoder that this Python worker has built, by the call it was built for.
+_built: dict[str, Encoder] = {}
+
+
+def _vectors(encoder: Encoder, batch: pd.Series) -> pd.Series:
+    if batch.empty:
+        return pd.Series([], dtype=object)
+    return pd.Series([[float(x) for x in row] for row in encoder(batch.tolist())], index=batch.index)
+
+
+def _built_here(call: str, build: Callable[[], Encoder]) -> Encoder:
+    if call not in _built:
+        _built.clear()
+        _built[call] = build()
+    return _built[call]
+
+
+def encode_with(encoder: Encoder, text: Column) -> Column:
     """A caller's batch encoder as a column; it sees whole Arrow batches."""
 
     @F.pandas_udf("array<double>")
     def encode(batch: pd.Series) -> pd.Series:
-        if batch.empty:
-            return pd.Series([], dtype=object)
-        return pd.Series([[float(x) for x in row] for row in encoder(batch.tolist())], index=batch.index)
+        return _vectors(encoder, batch)
+
+    return encode(text)
+
+
+def encode_with_built(build: Callable[[], Encoder], text: Column) -> Column:
+    """As :func:`encode_with`, for encoders that are costly to build, such as loaded models.
+
+    ``build`` is called once in each Python worker, at its first batch, and not for
+    each batch or task; what another call has built there is let go.
+    """
+    call = uuid.uuid4().hex
+
+    @F.pandas_udf("array<double>")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield _vectors(_built_here(call, build), batch)
 
     return encode(text)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,3 +66,44 @@ def decrypt_index(sealed: DataFrame, key: bytes) -> DataFrame:
 def reencrypt_index(sealed: DataFrame, old: bytes, new: bytes) -> DataFrame:
     """The same index under a new key."""
     return encrypt_index(decrypt_index(sealed, old), new)
+
+
+KEY_ID = "key_id"
+
+
+def _ringed(sealed: DataFrame, ring: Mapping[str, bytes], change: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """``change`` applied with the key that each row names; a key the ring lacks is an error."""
+    if any(len(key) != 32 for key in ring.values()):
+        raise ValueError("AES-256 needs keys of 32 bytes")
+    # a ring is a handful of keys, and no plan names them
+    keys = sealed.sparkSession.createDataFrame([(name, bytearray(key)) for name, key in ring.items()], f"{KEY_ID} string, _key binary")
+    lost = F.raise_error(F.concat(F.lit("no key in the ring for key id "), F.coalesce(F.col(KEY_ID), F.lit("null"))))
+    joined = sealed.join(F.broadcast(keys), KEY_ID, "left").withColumn("_key", F.coalesce("_key", lost.cast("binary")))
+    return joined.withColumns({name: f(F.col("_key")) for name, f in change.items()}).drop("_key").select(*sealed.columns)
+
+
+def seal(index: DataFrame, ring: Mapping[str, bytes], key_id: str) -> DataFrame:
+    """Text and metadata under the key ``key_id`` of the ring; each row names its key in ``key_id``."""
+    named = index.withColumn("metadata", _json_metadata(index)).withColumn(KEY_ID, F.lit(key_id))
+    return _ringed(named, {key_id: ring[key_id]}, {name: _sealed(name) for name in ("content", "metadata")})
+
+
+def unseal(sealed: DataFrame, ring: Mapping[str, bytes]) -> DataFrame:
+    """Rows under any keys of the ring, in one read; ``key_id`` is dropped."""
+    plain = _ringed(sealed, ring, {name: _opened(name) for name in ("content", "metadata")})
+    return plain.withColumns({"content": F.col("content").cast("string"), "metadata": F.from_json(F.col("metadata").cast("string"), "map<string,string>")}).drop(KEY_ID)
+
+
+def rotate(sealed: DataFrame, ring: Mapping[str, bytes], key_id: str) -> DataFrame:
+    """All rows under ``key_id``; those that are so already, as after a rotation that broke off, stay as they are."""
+    done, left = sealed.where(F.col(KEY_ID).eqNullSafe(key_id)), sealed.where(~F.col(KEY_ID).eqNullSafe(key_id))
+    opened = _ringed(left, ring, {name: _opened(name) for name in ("content", "metadata")}).withColumn(KEY_ID, F.lit(key_id))
+    return done.unionByName(_ringed(opened, {key_id: ring[key_id]}, {name: _sealed(name) for name in ("content", "metadata")}))
+
+
+def _sealed(name: str) -> Callable[[Column], Column]:
+    return lambda key: F.aes_encrypt(F.col(name).cast("binary"), key, F.lit("GCM"))
+
+
+def _opened(name: str) -> Callable[[Column], Column]:
+    return lambda key: F.aes_decrypt(F.col(name), key, F.lit("GCM"))

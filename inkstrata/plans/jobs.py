@@ -94,8 +94,8 @@ def training_examples(
     # the texts are read once; numbering reads the narrow table
     encoded = materialize(vb.encode_words(rows, vocabulary, key, limit=seq_length - 1), "encoded")
     placed = examples.assign_batches(encoded.select(key), batch_size, [key])
-    made = examples.with_targets(examples.fixed_examples(encoded, seq_length, pad, bos), pad)
-    return made.join(placed, key)
+    # joined while the rows are narrow; the examples are made in place
+    return examples.with_targets(examples.fixed_examples(encoded.join(placed, key), seq_length, pad, bos), pad)
 
 
 def instruction_examples(

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkstrata.functions import text as tx
 from inkstrata.operators.ingest import HTML_SUFFIXES, MARKDOWN_SUFFIXES, decode_files, supported
+from inkstrata.sources import listing
 
 # What a corpus may consist of.
 CORPUS_SUFFIXES = (".txt", ".jsonl", ".parquet")
@@ -27,52 +28,28 @@ def _is_file(spark: SparkSession, path: str) -> bool:
     return system.getFileStatus(location).isFile()
 
 
-def _files(spark: SparkSession, path: str, suffixes: Sequence[str]) -> list[str]:
-    """Names of the files at or below ``path`` with one of the suffixes.
-
-    Spark passes over names that begin with a dot or an underscore, so such a file,
-    or one in such a folder, is an error rather than missing data.
-    """
+def _checked(spark: SparkSession, path: str) -> None:
+    """An error where only Spark's readers reach ``path`` and would pass over hidden names."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = location.getFileSystem(spark._jsc.hadoopConfiguration())
     root = system.makeQualified(location).toString()
-    found, listed = [], system.listFiles(location, True)
+    listed = system.listFiles(location, True)
     while listed.hasNext():
         name = listed.next().getPath().toString()
-        if _suffix(name) in suffixes:
-            found.append(name)
-    hidden = [name for name in found if any(part[:1] in ("_", ".") for part in name.removeprefix(root).split("/")) or name.rsplit("/", 1)[-1][0] in "_."]
-    # what a write that is under way has left is no data
-    hidden = [name for name in hidden if "/_temporary/" not in name and "/.spark-staging" not in name]
-    if hidden:
-        raise ValueError(f"files with hidden names are not read, rename them: {sorted(hidden)[:5]}")
-    return found
-
-
-_FOOTER_READERS = 16
+        unfinished = any(part.startswith(listing.UNFINISHED) for part in name.split("/"))
+        if _suffix(name) in CORPUS_SUFFIXES + MARKDOWN_SUFFIXES + HTML_SUFFIXES and listing.is_hidden(name, root) and not unfinished:
+            raise ValueError(f"files with hidden names cannot be read from this file system, rename them: {name}")
 
 
-def _check_texts(spark: SparkSession, names: Sequence[str]) -> None:
-    """An error for Parquet files without a ``text`` column, from their footers."""
-    conf, jvm = spark._jsc.hadoopConfiguration(), spark._jvm
-
-    def lacks(name: str) -> bool:
-        file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(name), conf)
-        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(file)
-        try:
-            return not reader.getFileMetaData().getSchema().containsField("text")
-        finally:
-            reader.close()
-
-    with ThreadPool(_FOOTER_READERS) as pool:
-        without = [name for name, bad in zip(names, pool.map(lacks, names)) if bad]
+def _check_texts(spark: SparkSession, paths: Sequence[str]) -> None:
+    """An error for Parquet files without a ``text`` column."""
+    names = [name for path in paths if listing.reachable(path) for name, _ in listing.list_files(path, (".parquet",))]
+    without = listing.without_column(spark, names, "text")
     if without:
-        raise ValueError(f"Parquet files without a text column: {without[:5]}")
+        raise ValueError(f"Parquet files without a text column: {without}")
 
 
-def _suffix(path: str) -> str:
-    name = path.rsplit("/", 1)[-1]
-    return "." + name.rsplit(".", 1)[-1].lower() if "." in name.lstrip(".") else ""
+_suffix = listing.suffix
 
 
 def _placed(df: DataFrame, *columns) -> DataFrame:
@@ -108,11 +85,44 @@ def _json_texts(spark: SparkSession, path: str, recursive: bool = False) -> Data
 
 def _parquet_texts(spark: SparkSession, path: str | Sequence[str], recursive: bool = False) -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
-    _check_texts(spark, [name for one in paths for name in _files(spark, one, (".parquet",))])
+    _check_texts(spark, paths)
     scan = _reader(spark, ".parquet", recursive).schema("text STRING").parquet(*paths)
     return _placed(scan.where(F.col("text") != ""), "text")
 
 
+def _texts_of_file(path: str, content: bytes) -> list[str]:
+    """Texts of one whole file, by the rules of the scans above."""
+    import json
+
+    if _suffix(path) == ".parquet":
+        import pyarrow.parquet as pq
+
+        if "text" not in (table := pq.read_table(pa.BufferReader(content))).column_names:
+            raise ValueError(f"Parquet files without a text column: ['{path}']")
+        return [str(text) for text in table.column("text").to_pylist() if text]
+    lines = content.decode("utf-8").replace("\r\n", "\n").replace("\r", "\n").split("\n")
+    if _suffix(path) == ".jsonl":
+        found = [json.loads(line).get("text") for line in lines if line.strip()]
+        return [str(text) for text in found if text]
+    return [line.strip() for line in lines if line.strip()]
+
+
+def _hidden_texts(spark: SparkSession, path: str, suffixes: Sequence[str]) -> DataFrame:
+    """Texts of the files that the scans pass over, each read whole by one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                texts = _texts_of_file(name, content)
+                columns = [pa.array(texts, pa.string()), pa.array([name] * len(texts), pa.string()), pa.array([0] * len(texts), pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(range(len(texts)), pa.int64())], names=["text", "file_path", "block_start", "row_order"])
+
+    files = listing.whole_files(spark, path, suffixes, hidden_only=True)
+    texts = files.mapInArrow(run, "text string, file_path string, block_start bigint, row_order bigint")
+    # named as the scans name their files
+    return texts.withColumn("file_path", F.when(F.col("file_path").startswith("/"), F.concat(F.lit("file://"), F.col("file_path"))).otherwise(F.col("file_path")))
+
+
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     """Stripped, non-blank lines of text files."""
     return _lines(spark, path)
@@ -142,7 +152,10 @@ def read_corpus(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
             scan = {".txt": _lines, ".jsonl": _json_texts, ".parquet": _parquet_texts}[suffix]
             scans.append(scan(spark, path))
         else:
-            _files(spark, path, CORPUS_SUFFIXES)
+            if not listing.reachable(path):
+                _checked(spark, path)
+            elif any(listing.is_hidden(name, path.removeprefix("file:")) for name, _ in listing.list_files(path, CORPUS_SUFFIXES)):
+                scans.append(_hidden_texts(spark, path, CORPUS_SUFFIXES))
             scans += [
                 _lines(spark, path, ".txt", recursive=True),
                 _json_texts(spark, path, recursive=True),
@@ -157,7 +170,12 @@ def read_corpus(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 def read_eval_corpus(spark: SparkSession, path: str) -> DataFrame:
     """Evaluation texts: Parquet files of a folder or one file; any other file by lines."""
     if not _is_file(spark, path):
-        return _parquet_texts(spark, path, recursive=True)
+        texts = _parquet_texts(spark, path, recursive=True)
+        if not listing.reachable(path):
+            _checked(spark, path)
+        elif any(listing.is_hidden(name, path.removeprefix("file:")) for name, _ in listing.list_files(path, (".parquet",))):
+            texts = texts.unionByName(_hidden_texts(spark, path, (".parquet",)))
+        return texts
     return _parquet_texts(spark, path) if _suffix(path) == ".parquet" else _lines(spark, path)
 
 
@@ -170,16 +188,23 @@ def read_qa(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Decoded document files: one file, or all supported files below a folder."""
+    """Decoded document files: one file, or all supported files below a folder.
+
+    Hidden names are read like others. On a file system that only Spark's readers
+    reach, they are an error.
+    """
     single = _is_file(spark, path)
     if single and not supported(path):
         raise ValueError(f"no converter for this extension: {path}")
-    wanted = "{" + ",".join(_any_case(suffix) for suffix in MARKDOWN_SUFFIXES + HTML_SUFFIXES) + "}"
-    if not single:
-        _files(spark, path, MARKDOWN_SUFFIXES + HTML_SUFFIXES)
+    suffixes = MARKDOWN_SUFFIXES + HTML_SUFFIXES
     # the contents of other files are never read
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", wanted).load(path)
-    files = files.select(_bare(F.col("path")).alias("path"), "content")
+    if listing.reachable(path):
+        files = listing.whole_files(spark, path, suffixes)
+    else:
+        _checked(spark, path)
+        wanted = "{" + ",".join(_any_case(suffix) for suffix in suffixes) + "}"
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", wanted).load(path)
+        files = files.select(_bare(F.col("path")).alias("path"), "content")
     if single:
         # one named file must decode; in a folder the bad ones are passed over
         files = files.withColumn(

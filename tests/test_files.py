@@ -6,7 +6,7 @@ from inkstrata.functions import vectors as vx
 from inkstrata.operators import sinks
 from inkstrata.operators.chunking import Chunker
 from inkstrata.operators.ingest import apply_converters, build_metadata, ingest
-from inkstrata.sources import files, specs
+from inkstrata.sources import files, listing, specs
 from pyspark.sql import functions as F
 
 
@@ -33,12 +33,39 @@ def test_corpus_of_all_kinds(spark, corpus):
         files.read_corpus(spark, [str(corpus / "note.md")])
 
 
-@pytest.mark.parametrize("name", ["_x.txt", ".y.jsonl", "_deep/z.txt"])
-def test_hidden_names_are_an_error(spark, corpus, name):
-    (corpus / "a" / name).parent.mkdir(exist_ok=True)
-    (corpus / "a" / name).write_text('{"text": "not lost"}')
-    with pytest.raises(ValueError, match="hidden names"):
-        files.read_corpus(spark, [str(corpus)])
+def test_hidden_names_are_read(spark, corpus):
+    (corpus / "a" / "_deep").mkdir()
+    (corpus / "a" / "_x.txt").write_text(" hidden \n\n")
+    (corpus / "a" / "_deep" / "z.TXT").write_text("deeper\r\nstill")
+    (corpus / ".y.jsonl").write_text('{"text": "not lost"}\n{"text": ""}\n')
+    (corpus / "_temporary").mkdir()
+    (corpus / "_temporary" / "left.txt").write_text("no data")
+    pq.write_table(pa.table({"text": ["q", "", None]}), str(corpus / "_q.parquet"))
+    want = ["deeper", "first", "hidden", "json", "not lost", "p", "q", "second", "still", "third"]
+    assert texts(files.read_corpus(spark, [str(corpus)])) == want
+    assert texts(files.read_eval_corpus(spark, str(corpus))) == ["p", "q"]
+    rows = files.read_corpus(spark, [str(corpus / "a")]).orderBy(*files.SCAN_ORDER).collect()
+    assert [r["text"] for r in rows] == ["deeper", "still", "hidden", "first", "second", "third"]
+
+
+def test_many_files_are_shared_out(spark, tmp_path, monkeypatch):
+    rows = spark.range(300).select(F.concat(F.lit("d/"), (F.col("id") % 7).cast("string"), F.lit("/"), F.col("id").cast("string"), F.lit(".md")).alias("path"), F.encode(F.col("id").cast("string"), "UTF-8").alias("content"))
+    listing.write_files(rows, str(tmp_path))
+    (tmp_path / "d" / "0" / "other.bin").write_bytes(b"x")
+    monkeypatch.setattr(listing, "TASK_FILES", 40)
+    reader = listing._Reader({"path": str(tmp_path), "suffixes": ".md"})
+    shares = reader.partitions()
+    assert [len(s.paths) for s in shares] == [40] * 7 + [20]
+    got = {r["path"]: r["text"] for r in files.read_documents(spark, str(tmp_path)).collect()}
+    assert got == {f"{tmp_path}/d/{i % 7}/{i}.md": str(i) for i in range(300)}
+    assert files.read_documents(spark, str(tmp_path / "d" / "1" / "1.md")).count() == 1
+
+
+def test_columns_are_checked_in_tasks(spark, tmp_path):
+    for i in range(30):
+        pq.write_table(pa.table({"text" if i % 10 else "body": ["x"]}), str(tmp_path / f"f{i:02}.parquet"))
+    names = [n for n, _ in listing.list_files(str(tmp_path), (".parquet",))]
+    assert [n[-11:] for n in listing.without_column(spark, names, "text")] == ["f00.parquet", "f10.parquet", "f20.parquet"]
 
 
 def test_parquet_without_text_is_an_error(spark, corpus):
@@ -82,11 +109,12 @@ def test_documents(spark, tmp_path):
     (tmp_path / "bad.md").write_bytes(b"\xff\xfe")
     (tmp_path / "c.txt").write_text("no converter")
     (tmp_path / "film.mp4").write_bytes(b"\0" * 100)
+    (tmp_path / "_own.markdown").write_text("hidden")
     got = {r["path"].rsplit("/", 1)[-1]: r for r in files.read_documents(spark, str(tmp_path)).collect()}
-    assert set(got) == {"a.MD", "p.htm"}
+    assert set(got) == {"a.MD", "p.htm", "_own.markdown"}
     assert got["a.MD"]["text"] == "x\ny\nz" and got["p.htm"]["converter"] == "html"
     rows = ingest(files.read_documents(spark, str(tmp_path)), Chunker(), vx.digest_embedding).collect()
-    assert {(r["content"], r["metadata"]["source"]) for r in rows} == {("x\ny\nz", "MD"), ("t", "htm")}
+    assert {(r["content"], r["metadata"]["source"]) for r in rows} == {("x\ny\nz", "MD"), ("t", "htm"), ("hidden", "markdown")}
     with pytest.raises(ValueError):
         files.read_documents(spark, str(tmp_path / "c.txt"))
     with pytest.raises(Exception, match="not UTF-8"):
