@@ -47,10 +47,10 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
     sharding.write_shards(docs, path)
     stored = spark.read.schema(f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, slot bigint, shard int").parquet(path)
     # sizes and checksums are those of the texts in the files
-    return sharding.with_keys(stored).select(
+    return stored.select(
         "doc_id",
-        F.col("_size").alias("size"),
-        F.col("_crc32").alias("text_crc32"),
+        sharding.size_of(F.col("text")).alias("size"),
+        sharding.checksum_of(F.col("text")).alias("text_crc32"),
         F.lit("bytes").alias("law"),
         "shard",
         "slot",

@@ -1,7 +1,8 @@
 """Equal-bytes sharding by histogram sort.
 
-Rows are ordered by a hash of their text, then by a hash of their id, so equal
-texts lie next to each other and a large group of them can still be cut. The
+Rows are ordered by a hash of their text, then by a hash of the row, so equal
+texts lie next to each other and a large group of them can still be cut, down to
+copies of one row. The
 boundaries between shards are found without sorting: each round counts the exact
 bytes and rows between probes in one pass over the narrow key table, keeps for
 every boundary the one interval that holds it, and puts new probes there, until
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkstrata.session import materialize
@@ -26,6 +27,8 @@ SHARDS = 40
 OVERHEAD = 16
 # Allowed error of a boundary, as a share of a shard's bytes.
 TOLERANCE = 0.001
+# Bytes of a cell, which one task numbers.
+CELL_BYTES = 64 << 20
 # New probes for each boundary and round.
 PROBES = 16
 
@@ -33,16 +36,28 @@ _LOW, _HIGH = -(2**63), 2**63 - 1
 Key = tuple[int, int]
 
 
+def size_of(text: Column) -> Column:
+    """UTF-8 bytes of a text and ``OVERHEAD``; a null text counts no bytes."""
+    return F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + OVERHEAD
+
+
+def checksum_of(text: Column) -> Column:
+    return F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))
+
+
 def with_keys(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_size``, ``_crc32``, ``_key`` and ``_tie``; a null text counts no bytes."""
-    data = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumns(
-        {
-            "_size": F.octet_length(data).cast("bigint") + OVERHEAD,
-            "_crc32": F.crc32(F.encode(data, "UTF-8")),
-            "_key": F.xxhash64("text"),
-            "_tie": F.xxhash64("doc_id"),
-        }
+    """``row`` (all columns of ``docs``), ``size``, ``key`` and ``tie``.
+
+    The tie is a hash of the row, so that only rows equal in all columns share it.
+    Columns that hold maps have no hash and are left out of it.
+    """
+    hashed = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    columns = [F.col(f"`{name}`") for name in docs.columns]
+    return docs.select(
+        F.struct(*columns).alias("row"),
+        size_of(F.col("text")).alias("size"),
+        F.xxhash64("text").alias("key"),
+        F.xxhash64(*[F.col(f"`{name}`") for name in hashed]).alias("tie"),
     )
 
 
@@ -122,18 +137,23 @@ class _Interval:
 
 @dataclass(frozen=True)
 class Boundary:
+    """A key with the bytes and rows below it; ``inside`` are the rows of that very key that are below."""
+
     key: Key
     bytes_below: int
     rows_below: int
+    inside: int = 0
 
 
 def splitters(keys: DataFrame, parts: int, tolerance: float) -> list[Boundary]:
-    """``parts - 1`` boundaries of ``keys`` (``_key, _tie, _size``) into parts of equal bytes.
+    """``parts - 1`` boundaries of ``keys`` (``key, tie, size``) into parts of equal bytes.
+
+    A boundary in a group of equal rows is put between two of them.
 
     The driver holds the probes and their counts only, ``PROBES`` for each open
     boundary. ``tolerance`` is in bytes.
     """
-    narrow = keys.select("_key", "_tie", "_size")
+    narrow = keys.select("key", "tie", "size")
 
     def counted(bounds: list[Key]) -> dict[int, tuple]:
         sums = narrow.mapInArrow(_count(bounds), _COUNTS).groupBy("cell").agg(
@@ -174,6 +194,14 @@ def splitters(keys: DataFrame, parts: int, tolerance: float) -> list[Boundary]:
                 target = targets[i]
                 part = next((p for p in parts_of if p.below + p.bytes >= target), parts_of[-1])
                 before, after = abs(target - part.below), abs(part.below + part.bytes - target)
+                if part.single and 0 < before and 0 < after:
+                    # equal rows have equal bytes
+                    each = part.bytes // part.rows
+                    inside = min(part.rows, (2 * before + each) // (2 * each))
+                    if 0 < inside < part.rows:
+                        done[i] = Boundary(part.start(), part.below + inside * each, part.rows_below + inside, inside)
+                        del open_[i]
+                        continue
                 if min(before, after) > tolerance and not part.single:
                     open_[i] = next((o for o in open_.values() if o.start() == part.start() and o.end() == part.end() and o.below == part.below), part)
                     continue
@@ -185,22 +213,31 @@ def splitters(keys: DataFrame, parts: int, tolerance: float) -> list[Boundary]:
     return [done[i] for i in sorted(done)]
 
 
-def shard(keyed: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, keys: DataFrame | None = None) -> DataFrame:
-    """``keyed`` (see :func:`with_keys`) with ``shard`` and a gapless ``slot`` from 0 in it.
+def shard(
+    docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, shard_column: str = "shard", slot_column: str = "slot"
+) -> DataFrame:
+    """``docs`` with the number of its shard and a gapless place from 0 in it.
+
+    Shards are equal in bytes up to ``tolerance`` of a shard, or to the one row that a
+    boundary falls in. Rows equal in all columns are cut between any two of them: such a
+    group is counted, and its copies are dealt to their places. A null text counts no
+    bytes. ``docs`` may have columns of any names but ``shard_column`` and
+    ``slot_column``, which is an error. An empty table gives no rows.
 
-    ``keys`` is a stored table with the key columns of the same rows, read once per
-    round; without it one is written. Shards are equal in bytes up to ``tolerance``
-    of a shard, or to the one row that a boundary falls in. Rows equal in text and id
-    stay together, in any order. A shard is made of several cells, so that no task
-    numbers a whole shard; an empty table gives no rows.
+    A shard is made of several cells of at most about ``CELL_BYTES``, so that no task
+    numbers a whole shard.
     """
-    if keys is None:
-        keys = materialize(keyed.select("_key", "_tie", "_size"), "shard-keys")
-    tasks = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    per_shard = max(1, -(-2 * tasks // shards))
-    total = keys.agg(F.sum("_size")).first()[0] or 0
+    for name in (shard_column, slot_column):
+        if name.lower() in (c.lower() for c in docs.columns):
+            raise ValueError(f"there is a column {name!r} already; give the new one another name")
+    keyed = with_keys(docs)
+    keys = materialize(keyed.select("key", "tie", "size"), "shard-keys")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = keys.agg(F.sum("size")).first()[0] or 0
+    per_shard = max(1, -(-2 * tasks // shards), -(-total // (shards * CELL_BYTES)))
     found = splitters(keys, shards * per_shard, tolerance * total / shards / 2)
     bounds = [b.key for b in found]
+    # rows before each cell in its shard
     rows_below = [0, *(b.rows_below for b in found)]
     ahead = [rows_below[i] - rows_below[i // per_shard * per_shard] for i in range(len(rows_below))]
 
@@ -208,20 +245,50 @@ def shard(keyed: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE,
     def cell_of(key: pd.Series, tie: pd.Series) -> pd.Series:
         return pd.Series(rank(bounds, key.to_numpy(), tie.to_numpy()).astype(np.int32))
 
-    placed = keyed.withColumn("_cell", cell_of("_key", "_tie"))
-    within = Window.partitionBy("_cell").orderBy("_key", "_tie")
-    offset = F.element_at(F.array(*[F.lit(x).cast("bigint") for x in ahead]), F.col("_cell") + 1)
-    # columns of these names are replaced
-    return placed.withColumns(
-        {
-            "shard": F.floor(F.col("_cell") / per_shard).cast("int"),
-            "slot": F.row_number().over(within).cast("bigint") - 1 + offset,
-        }
-    ).drop("_cell")
-
-
-def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Write ``docs`` to ``path/shard=N``, each in slot order within its files."""
-    kept = docs.columns
-    placed = shard(with_keys(docs), shards)
-    placed.select(*kept, "slot", "shard").write.partitionBy("shard").parquet(path)
+    def listed(values: list[int]) -> Column:
+        return F.element_at(F.array(*[F.lit(x).cast("bigint") for x in values]), F.col("cell") + 1)
+
+    def named(rows: DataFrame) -> DataFrame:
+        fields = [F.col("row").getField(name).alias(name) for name in docs.columns]
+        return rows.select(*fields, F.floor(F.col("cell") / per_shard).cast("int").alias(shard_column), F.col("slot").alias(slot_column))
+
+    # cells of each cut group: their rows of it, and how many come before them in the cell's shard
+    cut: dict[Key, list[tuple[int, int, int]]] = {}
+    lead = [0] * len(rows_below)
+    group_ends = {b.key: 0 for b in found if b.inside}
+    if group_ends:
+        sizes = keys.where(F.struct("key", "tie").isin([F.struct(F.lit(k).cast("bigint"), F.lit(t).cast("bigint")) for k, t in group_ends]))
+        group_ends = {(r["key"], r["tie"]): r["n"] for r in sizes.groupBy("key", "tie").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for key, rows in group_ends.items():
+        at = [(i, b.inside) for i, b in enumerate(found) if b.key == key and b.inside]
+        start = at[0][0]
+        first_row = found[start].rows_below - at[0][1]
+        edges = [0, *(inside for _, inside in at), rows]
+        cut[key] = []
+        for step, (low, high) in enumerate(zip(edges, edges[1:])):
+            cell = start + step
+            if high > low:
+                cut[key].append((cell, high - low, ahead[cell] + first_row + low - rows_below[cell]))
+                if step:
+                    lead[cell] = high - low
+    is_cut = F.lit(False)
+    for key, tie in cut:
+        is_cut = is_cut | ((F.col("key") == key) & (F.col("tie") == tie))
+
+    placed = keyed.where(~is_cut).withColumn("cell", cell_of("key", "tie"))
+    within = Window.partitionBy("cell").orderBy("key", "tie")
+    out = named(placed.withColumn("slot", F.row_number().over(within).cast("bigint") - 1 + listed(ahead) + listed(lead)))
+    if cut:
+        shares = [(key, tie, cell, n, slot) for (key, tie), own in cut.items() for cell, n, slot in own]
+        table = docs.sparkSession.createDataFrame(shares, "key bigint, tie bigint, cell int, copies bigint, first bigint")
+        # one row stands for all of its group, and is copied in the tasks of its cells
+        one = keyed.where(is_cut).groupBy("key", "tie").agg(F.first("row").alias("row"))
+        dealt = one.join(F.broadcast(table), ["key", "tie"]).repartition(tasks, "cell")
+        copies = dealt.withColumn("slot", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("copies") - 1)))
+        out = out.unionByName(named(copies))
+    return out
+
+
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, shard_column: str = "shard", slot_column: str = "slot") -> None:
+    """Write ``docs`` to ``path/shard=N``, with the places in the files."""
+    shard(docs, shards, shard_column=shard_column, slot_column=slot_column).write.partitionBy(shard_column).parquet(path)
