@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,8 @@ from inkstrata.llm.common import slices
 from inkstrata.session import materialize
 
 CHUNK_BYTES = 64 << 10
-RECORDS_PER_FILE = 100_000
+# A compressed file is read by one task.
+RECORDS_PER_FILE = 10_000
 SMALL_REVISITS = 1_000_000
 _FLUSH_BYTES = 4 << 20
 
@@ -56,8 +58,13 @@ def chunks(payload: memoryview, size: int) -> Iterator[memoryview]:
 
 
 def _line(text: str) -> str:
-    """A header value: control characters as percent escapes."""
-    return "".join(c if " " <= c != "\x7f" else f"%{ord(c):02X}" for c in text)
+    """A header value: control characters and the mark's slash as percent escapes."""
+    return "".join(c if " " <= c != "\x7f" else f"%{ord(c):02X}" for c in text).replace("WARC/1.1", "WARC%2F1.1")
+
+
+def _exact(text: str) -> str:
+    """A header value that :func:`unquote` gives back as it was."""
+    return _line(text.replace("%", "%25"))
 
 
 def records(number: int, page: str | None, url: str | None, payload: memoryview, digest: str, refers_to: str | None, date: str, size: int) -> Iterator[str]:
@@ -71,9 +78,9 @@ def records(number: int, page: str | None, url: str | None, payload: memoryview,
     about = [("WARC-Date", date), ("X-Record-Number", str(number))]
     named = [("WARC-Target-URI", _line(url))] if url is not None else []
     shared = [("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", str(len(payload)))]
-    shared += [("X-Page-Id", _line(page))] if page is not None else []
+    shared += [("X-Page-Id", _exact(page))] if page is not None else []
     if refers_to is not None:
-        other = [("WARC-Profile", _PROFILE), ("WARC-Refers-To", f"<urn:page:{_line(refers_to)}:{digest}>"), ("X-Refers-To-Page", _line(refers_to))]
+        other = [("WARC-Profile", _PROFILE), ("WARC-Refers-To", f"<urn:page:{_line(refers_to)}:{digest}>"), ("X-Refers-To-Page", _exact(refers_to))]
         yield record([("WARC-Type", "revisit"), ("WARC-Record-ID", own), *about, *named, *shared, *other], payload[:0])
         return
     first = [("WARC-Type", "response"), ("WARC-Record-ID", own), *about, *named, *shared, ("Content-Type", "text/html; charset=utf-8")]
@@ -170,7 +177,8 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if digest not in (None, found):
                     raise ValueError(f"digest of {whole} does not match its payload")
                 digest = found
-            rows.append((whole, fields.get("X-Page-Id"), length, digest, kind, fields.get("X-Refers-To-Page"), segment, body if segment else None))
+            page, other = (unquote(fields[name]) if name in fields else None for name in ("X-Page-Id", "X-Refers-To-Page"))
+            rows.append((whole, page, length, digest, kind, other, segment, body if segment else None))
         if rows:
             yield _batch(rows)
 

@@ -29,6 +29,8 @@ ROWS = [
     (7, "http://g/", "\r\n\r\nends with breaks\r\n\r\n\r\n"),
     (7, "http://g/", "\r\n\r\nends with breaks\r\n\r\n\r\n"),
     (8, "http://h/", "é€😀" * 50_000),
+    (10, "http://x/WARC/1.1", "the mark in a header"),
+    (11, "http://x/WARC/1.1\r\nWARC-Type: %41 WARC/1.1", "the mark in a header"),
 ]
 
 
@@ -54,6 +56,14 @@ def test_small_payloads_may_all_be_responses(spark, tmp_path):
     assert [r[0] for r in got if r[3] == "revisit"] == ["8"]
 
 
+def test_ids_of_any_characters_come_back(spark, tmp_path):
+    ids = ["a", "WARC/1.1", "x\r\nWARC/1.1", "%41%", "é\x7f", " b "]
+    rows = spark.createDataFrame([(i, None, f"payload {n % 5}") for n, i in enumerate(ids)], "page_id string, url string, html string")
+    warc.write_archives(rows, str(tmp_path / "out"))
+    got = {r.page_id: r.refers_to for r in warc.read_archives(spark, str(tmp_path / "out")).collect()}
+    assert set(got) == set(ids) and got[max(" b ", "a")] == min(" b ", "a")
+
+
 def test_rows_without_an_id_and_empty_table(spark, tmp_path):
     got = read(spark, str(tmp_path / "a"), [(None, "u", "x"), (1, "u", "x"), (None, "u", "x")])
     assert sorted(r[3] for r in got) == ["response"] * 3 and sorted(map(str, (r[0] for r in got))) == ["1", "None", "None"]
