@@ -25,6 +25,26 @@ def _(spark, sf):
     return spark.read.parquet(f"{base}/out")
 
 
+STREAM_SHARD = 70
+
+
+@query(
+    "k1_exact_shards",
+    f"""SELECT doc_id, text, 1 + (row_number() OVER (ORDER BY doc_id % 3, doc_id) - 1) // {STREAM_SHARD} AS shard
+    FROM ({SQL_PROCESSED})""",
+)
+def _(spark, sf):
+    base = fresh_dir(spark, "stream")
+    raw = licensed(spark, sf).select("doc_id", "text", "license")
+    # three deliveries, none of which ends with a full shard
+    for late in range(3):
+        raw.where(F.col("doc_id") % 3 == late).write.mode("append").parquet(f"{base}/in")
+        arriving = stream.file_stream(spark, f"{base}/in", raw.schema)
+        stream.clean_to_full_shards(arriving, f"{base}/out", f"{base}/progress", ["doc_id"], keep=["doc_id"], shard_size=STREAM_SHARD).awaitTermination()
+    stream.flush_shards(spark, f"{base}/out", f"{base}/progress")
+    return spark.read.parquet(f"{base}/out").select("doc_id", "text", F.col("shard").cast("bigint").alias("shard"))
+
+
 @query("k2_stream_restart", SQL_PROCESSED)
 def _(spark, sf):
     base = fresh_dir(spark, "stream")

@@ -51,6 +51,8 @@ class _Best:
         self.k = k
         self.scores = np.full((queries, k), -np.inf)
         self.positions = np.zeros((positions, queries, k), dtype=np.int64)
+        # pairs of a query and a block of vectors, and those that bounds have ruled out
+        self.offered = self.skipped = 0
 
     def add(self, first: int, queries: np.ndarray, vectors: np.ndarray, positions: np.ndarray, digits: int | None) -> None:
         """Offer vectors, sorted by position, to the queries from number ``first`` on.
@@ -59,13 +61,27 @@ class _Best:
         depend on where a row stands; those are scored again one row at a time,
         so that equal vectors get equal scores and the tie rule holds.
         """
-        rows, asked = len(vectors), len(queries)
-        kept = min(self.k, rows)
-        rough = vectors @ queries.T
-        threshold = np.partition(rough, rows - kept, axis=0)[rows - kept]
-        slack = SLACK * np.linalg.norm(vectors, axis=1).max() * np.linalg.norm(queries, axis=1)
+        kept, sizes = min(self.k, len(vectors)), np.linalg.norm(queries, axis=1)
+        slack = SLACK * np.linalg.norm(vectors, axis=1).max() * sizes
         if digits is not None:
             slack = slack + 10.0**-digits
+        # no score of the block is above its centre's by more than the radius allows
+        centre = vectors.mean(axis=0)
+        reach = queries @ centre + sizes * np.linalg.norm(vectors - centre, axis=1).max()
+        least = self.scores[first : first + len(queries), -1]
+        open_ = np.flatnonzero(reach + 2 * slack >= least)
+        self.offered += len(queries)
+        self.skipped += len(queries) - len(open_)
+        if not len(open_):
+            return
+        rough = vectors @ queries[open_].T
+        # queries that no vector of the block can improve
+        better = rough.max(axis=0) + slack[open_] >= least[open_]
+        own, rough = open_[better], rough[:, better]
+        if not len(own):
+            return
+        queries, slack, asked = queries[own], slack[own], len(own)
+        threshold = np.partition(rough, len(vectors) - kept, axis=0)[len(vectors) - kept]
         offered = np.empty((asked, kept))
         picked = np.empty((asked, kept), dtype=np.int64)
         for q in range(asked):
@@ -75,7 +91,7 @@ class _Best:
                 scores = np.round(scores, digits)
             order = np.lexsort((near, scores))[::-1][:kept]
             offered[q], picked[q] = scores[order], near[order]
-        part = slice(first, first + asked)
+        part = first + own
         all_scores = np.concatenate([self.scores[part], offered], axis=1)
         all_positions = np.concatenate([self.positions[:, part], positions[:, picked]], axis=2)
         # last key sorts first: score, then the positions in their order

@@ -164,3 +164,22 @@ def test_blocks_of_queries_shuffle_no_vectors(spark):
     parts = search.top_k(queries, rows, 3, 2, broadcast_numbers=20)
     assert parts.orderBy("query_id", "rank").collect() == whole
     assert "CoGroup" not in parts._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("digits", [None, 6])
+def test_bounds_skip_blocks_and_change_nothing(digits):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(40, 8))
+    queries = centres[:12] + 0.05 * rng.normal(size=(12, 8))
+    vectors = np.concatenate([c + 0.05 * rng.normal(size=(50, 8)) for c in centres])
+    vectors[60] = vectors[10]
+    vectors, queries = search._unit(vectors), search._unit(queries)
+    best = search._Best(len(queries), 1, 5)
+    for at in range(0, len(vectors), 50):
+        best.add(0, queries, vectors[at : at + 50], np.arange(at, at + 50)[None], digits)
+    assert best.skipped >= best.offered // 2
+    for q, query in enumerate(queries):
+        scores = (vectors * query).sum(axis=1)
+        scores = scores if digits is None else np.round(scores, digits)
+        want = sorted(range(len(vectors)), key=lambda i: (-scores[i], -i))[:5]
+        assert best.positions[0, q].tolist() == want and best.scores[q].tolist() == scores[want].tolist()
