@@ -11,9 +11,11 @@ offset in it.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkstrata.llm.common import hold, schema_with, slices, texts_of
+from inkstrata.llm.pieces import unsupported
 from inkstrata.session import fresh_dir
 
 WINDOW = 4096
@@ -54,6 +57,8 @@ class CachedTokenizer:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
+        # other kinds of files encode every text whole
+        self.cuts = unsupported(json.loads(Path(path).read_text(encoding="utf-8"))) is None
         self.ends = np.zeros(self.model.get_vocab_size() + 1, dtype=bool)
         for piece, number in self.model.get_vocab().items():
             self.ends[number] = piece.endswith("</w>")
@@ -77,7 +82,7 @@ class CachedTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = [_PIECE.findall(text.lower()) if _PLAIN.fullmatch(text) else None for text in texts]
+        cut = [_PIECE.findall(text.lower()) if self.cuts and _PLAIN.fullmatch(text) else None for text in texts]
         if len(self.known) > CACHE_PIECES:
             self.known.clear()
         new: set[str] = set()

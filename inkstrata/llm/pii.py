@@ -57,8 +57,9 @@ def luhn(digits: Column) -> Column:
 
 
 def mod97(value: Column) -> Column:
-    """Whether an account number has remainder 1 modulo 97, its first four characters put last."""
-    moved = F.concat(F.substring(value, F.lit(5), F.length(value)), F.substring(value, F.lit(1), F.lit(4)))
+    """Whether an account number has remainder 1 modulo 97, its first four characters put last; blanks do not count."""
+    bare = F.replace(value, F.lit(" "), F.lit(""))
+    moved = F.concat(F.substring(bare, F.lit(5), F.length(bare)), F.substring(bare, F.lit(1), F.lit(4)))
 
     def step(rest: Column, at: Column) -> Column:
         code = F.ascii(F.substring(moved, at, F.lit(1)))
@@ -101,7 +102,7 @@ _SQL_ALONE = (
     " AND NOT regexp_matches(substr(text, CAST(e AS BIGINT) + 1, 1), '[A-Za-z0-9]')"
 )
 _SQL_MOD97 = (
-    "list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(string_split(substr(value, 5) || substr(value, 1, 4), ''),"
+    "list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(string_split(substr(replace(value, ' ', ''), 5) || substr(replace(value, ' ', ''), 1, 4), ''),"
     " lambda c: CAST(CASE WHEN ascii(c) >= 65 THEN ascii(c) - 55 ELSE ascii(c) - 48 END AS BIGINT))),"
     " lambda a, x: (CASE WHEN x > 9 THEN a * 100 ELSE a * 10 END + x) % 97) = 1"
 )
@@ -150,8 +151,8 @@ RULES = (
     ),
     Rule(
         "iban",
-        r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}+",
-        r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}",
+        r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}+|(?:\x20[A-Z0-9]{4}){2,7}+(?:\x20[A-Z0-9]{1,3})?+)",
+        r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)",
         lambda text, s: _alone(text, s) & mod97(s["value"]),
         f"{_SQL_ALONE} AND {_SQL_MOD97}",
         "iban|account|bank|konto|cuenta|compte",

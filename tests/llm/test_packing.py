@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -25,6 +26,14 @@ def test_cached_ids_are_those_of_the_tokenizer(text):
     assert got[1] == ids_of("don't <|endoftext|> stop")[:-1].tobytes()
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json"])
+def test_other_kinds_of_files(name):
+    path = public_tokenizers.path(name)
+    texts = ["hello world, a test of it", "", "  Ärger\n\n12 "]
+    want = [np.asarray(Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert packing.CachedTokenizer(path).encode(texts) == want
+
+
 def test_many_pieces_stay_apart():
     words = [f"w{i}x" for i in range(3000)]
     assert packing.CachedTokenizer(TOKENIZER).encode([" ".join(words)])[0] == ids_of(" ".join(words))[:-1].tobytes()

@@ -69,6 +69,11 @@ def test_base_spans_are_those_of_the_patterns(spark):
         ("iban DE89370400440532013001.", False),
         ("xDE89370400440532013000", False),
         ("GB82WEST12345698765432", True),
+        ("iban DE89 3704 0044 0532 0130 00, please", True),
+        ("iban DE89 3704 0044 0532 0130 01", False),
+        ("GB82 WEST 1234 5698 7654 32", True),
+        ("NO93 8601 1117 947 is the account", True),
+        ("iban DE89 37040044 0532 0130 00", False),
     ],
 )
 def test_account_numbers_need_their_checksum(spark, text, found):
