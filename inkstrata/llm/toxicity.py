@@ -48,6 +48,9 @@ SECOND_PERSON = frozenset("you your yours yourself u ur ya du dich dir dein dein
 _LEET = str.maketrans("013457@$!|", "oieastasii")
 
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "…“”‘’«»¡¿"
+# Signs around a word that stand for no letter; some may begin a word, fewer end one.
+_BEFORE = "".join(c for c in _EDGE if c not in "@$!|*")
+_BEHIND = "".join(c for c in _EDGE if c not in "@$|*")
 _CAPITALS = bytes(range(65, 91))
 _LETTERS = bytes(range(65, 91)) + bytes(range(97, 123))
 _SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -87,6 +90,28 @@ class Learned:
         return word in self.words or any(word[:size] in self.prefixes for size in self.sizes)
 
 
+_BY_SIZE: dict[int, list[str]] = {}
+for _word in sorted(LEXICON):
+    _BY_SIZE.setdefault(len(_word), []).append(_word)
+
+
+def unmasked(raw: str, learned: Learned) -> tuple[bool, bool]:
+    """Whether signs or digits stand for letters of a word, and whether these make a known word.
+
+    Signs that may be letters count at both ends of the word; a star is any letter of a
+    listed insult. Stars at both ends are emphasis.
+    """
+    word = raw.lstrip(_BEFORE).rstrip(_BEHIND).lower()
+    if word[:1] == "*" == word[-1:]:
+        word = word.strip("*")
+    if word.isalpha() or not any(map(str.isalpha, word)):
+        return False, False
+    plain = word.translate(_LEET)
+    if "*" in plain:
+        return True, any(all(a in (b, "*") for a, b in zip(plain, known)) for known in _BY_SIZE.get(len(plain), ()))
+    return plain != word, plain != word and (plain in LEXICON or plain in learned)
+
+
 def features_of(text: str, learned: Learned) -> list[float]:
     """``FEATURES`` of a text; a text without words has zeros."""
     raw = text.split()
@@ -104,17 +129,16 @@ def features_of(text: str, learned: Learned) -> list[float]:
         places = set(people)
         near = sum(any(p in places for p in range(at - NEAR, at + NEAR + 1)) for at in hits)
     masked = mended = 0
-    for word in words:
-        if not word.isalpha() and word and not word.isdigit():
-            plain = word.translate(_LEET)
-            if plain != word or "*" in word:
-                masked += 1
-                mended += plain in LEXICON or plain in learned
+    for word in raw:
+        if not word.isalpha():
+            signs_for_letters, known_word = unmasked(word, learned)
+            masked += signs_for_letters
+            mended += known_word
     data = text.encode("utf-8", "surrogatepass")
     letters = len(data) - len(data.translate(None, _LETTERS))
     capitals = len(data) - len(data.translate(None, _CAPITALS))
     signs = len(data) - len(data.translate(None, _SIGNS))
-    shouted = sum(map(str.isupper, raw)) if capitals > count else 0
+    shouted = sum(map(str.isupper, raw))
     return [
         100.0 * known / count,
         math.log1p(known),
@@ -231,35 +255,46 @@ def fit(rows: DataFrame) -> Models | None:
     return trees, isotonic
 
 
-def scored(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """``docs`` with the column ``_toxicity_score``, a probability.
-
-    ``labels`` (``doc_id, toxic``) are used of the rows outside the held-out fold only.
-    A null or empty text is scored by its zero features. Too few labels for a model
-    give every row the share of toxic labels, 0 without any.
-    """
+def _scores(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
+    """``docs`` with its columns renamed to ``c0, c1, ...``, and ``score``."""
     training = materialize(training_labels(labels, max_rows), "labels")
-    # bounded by max_rows
-    rows = materialize(docs.select("doc_id", "text").join(F.broadcast(training), "doc_id"), "training-texts")
+    # bounded by max_rows: of rows that repeat an id, the least text
+    rows = docs.select("doc_id", "text").join(F.broadcast(training), "doc_id")
+    rows = materialize(rows.groupBy("doc_id", "label", "part").agg(F.min("text").alias("text")), "training-texts")
     learned = learn_words(rows.where("part > 0"))
     models = fit(materialize(features(rows, learned).drop("text"), "training"))
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    text = plain[docs.columns.index("text")]
+    docs = docs.toDF(*plain)
     if models is None:
         share = training.agg(F.avg("label")).first()[0] or 0.0
-        return docs.withColumn("_toxicity_score", F.lit(float(share)))
+        return docs.withColumn("score", F.lit(float(share)))
     trees, isotonic = models
-    found = isotonic.transform(_margin(trees, features(docs, learned)))
-    value = F.least(F.greatest(F.col("_toxicity_score"), F.lit(0.0)), F.lit(1.0))
-    return found.select(*[f"`{c}`" for c in docs.columns], value.alias("_toxicity_score"))
+    found = isotonic.transform(_margin(trees, features(docs, learned, text)))
+    return found.select(*plain, F.least(F.greatest(F.col("_toxicity_score"), F.lit(0.0)), F.lit(1.0)).alias("score"))
+
+
+def scored(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, score: str = "toxicity_score") -> DataFrame:
+    """``docs`` with the column ``score``, a probability.
+
+    ``labels`` (``doc_id, toxic``) are used of the rows outside the held-out fold only.
+    A null or empty text is scored by its zero features. Too few labels for a model
+    give every row the share of toxic labels, 0 without any. Other columns may have any
+    names; one named as the new one is an error.
+    """
+    if score.lower() in map(str.lower, docs.columns):
+        raise ValueError(f"the table has a column {score}; give the score another name")
+    return _scores(docs, labels, max_rows).toDF(*docs.columns, score)
 
 
 def report(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of each row; a null id is never held out."""
-    value = F.col("_toxicity_score")
+    value = F.col("score")
     held_out = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False))
-    found = scored(docs.select("doc_id", "text"), labels, max_rows)
+    found = scored(docs.select("doc_id", "text"), labels, max_rows, "score")
     return found.select("doc_id", held_out.alias("held_out"), value.alias("score"), (value >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """The rows of ``docs`` with a score below ``THRESHOLD``, with the columns of ``docs``."""
-    return scored(docs, labels, max_rows).where(F.col("_toxicity_score") < THRESHOLD).drop("_toxicity_score")
+    return _scores(docs, labels, max_rows).where(F.col("score") < THRESHOLD).drop("score").toDF(*docs.columns)
