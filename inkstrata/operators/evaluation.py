@@ -90,6 +90,10 @@ def bigrams(words):
     return F.arrays_zip(words.alias("w1"), F.slice(words, 2, F.greatest(F.size(words), F.lit(1))).alias("w2"))
 
 
+# Pairs of the corpus that every task may hold, and how long one of them may be.
+FREQUENT_PAIRS, PAIR_BYTES = 400_000, 64
+
+
 @dataclass(frozen=True)
 class BigramModel:
     """Add-one smoothed bigrams: a pair has probability ``(n + 1) / (h + vocabulary)``.
@@ -134,6 +138,32 @@ def _known_pairs(model: BigramModel, asked: DataFrame) -> DataFrame:
     return asked.join(n, ["w1", "w2"], "left").join(h, "w1", "left").select("w1", "w2", model.log_prob(F.col("n"), F.col("h")).alias("lp"))
 
 
+def _split_by_frequency(model: BigramModel, limit: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """``w1, w2, lp`` of the most frequent pairs, at most ``limit``, and the other pairs.
+
+    The number of occurrences is cut at a step of a coarse histogram, so the first table
+    is bounded without sorting the pairs; pairs of long words are among the others. None
+    stands for an empty table. The first is empty, too, where it has less than half of
+    all occurrences: the others are shuffled twice, so that it would not pay.
+    """
+    step = F.floor(4 * F.log2("n"))
+    short = F.octet_length("w1") + F.octet_length("w2") <= PAIR_BYTES
+    counts = model.pairs.groupBy(step.alias("step"), short.alias("short")).agg(F.count(F.lit(1)).alias("pairs"), F.sum("n").alias("times")).collect()
+    steps = sorted(((r["step"], r["pairs"], r["times"]) for r in counts if r["short"]), reverse=True)
+    room, lowest, covered = limit, None, 0
+    for at, number, times in steps:
+        if number > room:
+            break
+        room, lowest, covered = room - number, at, covered + times
+    if lowest is None or 2 * covered < sum(r["times"] for r in counts):
+        return None, model.pairs if counts else None
+    chosen = short & (step >= lowest)
+    all_chosen = len(steps) == len(counts) and lowest == steps[-1][0]
+    own = model.history.select("w1", "h").join(F.broadcast(model.pairs.where(chosen)), "w1")
+    held = materialize(own.select("w1", "w2", model.log_prob(F.col("n"), F.col("h")).alias("lp")), "frequent-pairs")
+    return held, None if all_chosen else model.pairs.where(~chosen)
+
+
 def bigram_loss(
     texts: DataFrame,
     model: BigramModel,
@@ -141,13 +171,16 @@ def bigram_loss(
     text: str = "text",
     max_length: int | None = None,
     small: bool = False,
+    frequent: int = FREQUENT_PAIRS,
 ) -> DataFrame:
     """``key, loss, n``: mean negative log-probability and number of words per text.
 
     Pairs and words that the model has not seen count with their smoothed
     probabilities. Texts of fewer than two words have no loss. ``small`` says that
     the texts have few enough pairs to broadcast (a bounded number of texts of bounded
-    length): their pairs are looked up in the model, not the model in them.
+    length): their pairs are looked up in the model, not the model in them. Otherwise
+    the ``frequent`` most frequent pairs of the model are looked up in place, and only
+    the others are shuffled.
     """
     words = tx.words(F.col(text))
     if max_length is not None:
@@ -164,15 +197,26 @@ def bigram_loss(
         scored = pairs.join(F.broadcast(_known_pairs(model, asked)), ["w1", "w2"])
         losses = scored.groupBy(key).agg((-F.avg("lp")).alias("loss"))
         return lengths.join(losses, key, "left").select(key, "loss", "n")
-    busiest = largest_keys(model.history, ["w1"], "followers")
-    known = lookup_join(model.pairs, model.history.select("w1", "h"), ["w1"], ["w2"], hot=busiest)
-    known = known.select("w1", "w2", model.log_prob(F.col("n"), F.col("h")).alias("lp"))
-    # pairs that are frequent in the corpus are found in most texts
-    frequent = largest_keys(model.pairs, ["w1", "w2"], "n")
-    found = lookup_join(pairs, known, ["w1", "w2"], [key], how="left", hot=frequent)
+    held, others = _split_by_frequency(model, frequent)
+    if held is None:
+        sums = pairs.withColumns({"lp": F.lit(None).cast("double"), "pairs": F.lit(1).cast("bigint")})
+    else:
+        # what is found in place becomes one row per text before the shuffle, as do repeated pairs
+        rest = F.col("lp").isNull()
+        found = pairs.join(F.broadcast(held), ["w1", "w2"], "left")
+        sums = found.groupBy(key, F.when(rest, F.col("w1")).alias("w1"), F.when(rest, F.col("w2")).alias("w2")).agg(
+            F.sum("lp").alias("lp"), F.count(F.lit(1)).alias("pairs")
+        )
+    if others is not None:
+        busiest = largest_keys(model.history, ["w1"], "followers")
+        known = lookup_join(others, model.history.select("w1", "h"), ["w1"], ["w2"], hot=busiest)
+        known = known.select("w1", "w2", model.log_prob(F.col("n"), F.col("h")).alias("one"))
+        # pairs that are frequent in the corpus are found in most texts
+        sums = lookup_join(sums, known, ["w1", "w2"], [key], how="left", hot=largest_keys(others, ["w1", "w2"], "n"))
+        sums = sums.withColumn("lp", F.coalesce("lp", F.col("one") * F.col("pairs")))
     # one row per text, and one for each first word of pairs that were not found
     missed = F.when(F.col("lp").isNull(), F.col("w1"))
-    sums = found.groupBy(key, missed.alias("w1")).agg(F.sum("lp").alias("lp"), F.count(F.lit(1)).alias("pairs"))
+    sums = sums.groupBy(key, missed.alias("w1")).agg(F.sum("lp").alias("lp"), F.sum("pairs").alias("pairs"))
     often = largest_keys(model.history, ["w1"], "h")
     sums = lookup_join(sums, model.history.select("w1", "h"), ["w1"], [key], how="left", hot=often)
     unseen = model.log_prob(F.lit(0), F.col("h")) * F.col("pairs")

@@ -54,23 +54,46 @@ def test_perplexity_is_weighted(spark):
     assert evaluation.perplexity(df.limit(0)).first()[0] == 1.0
 
 
-def test_bigram_losses_against_a_dictionary(spark):
-    texts = {1: "a b a b c", 2: "a", 3: "", 4: "b c 12"}
+@pytest.mark.parametrize("frequent", [0, 1, 2, 100])
+def test_bigram_losses_against_a_dictionary(spark, frequent):
+    texts = {1: "a b a b c", 2: "a", 3: "", 4: "b c 12", 5: f"a b {'y' * 70} b a b a b c", 6: None}
     rows = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
-    words = {i: t.replace("12", "1 2").split() for i, t in texts.items()}
+    words = {i: t.replace("12", "1 2").split() for i, t in texts.items() if t is not None}
     vocabulary = {w for ws in words.values() for w in ws}
     pairs, history = {}, {}
     for ws in words.values():
         for a, b in zip(ws, ws[1:]):
             pairs[a, b] = pairs.get((a, b), 0) + 1
             history[a] = history.get(a, 0) + 1
-    got = {r["doc_id"]: r for r in evaluation.bigram_loss(rows, evaluation.learn_bigrams(rows), "doc_id").collect()}
+    losses = evaluation.bigram_loss(rows, evaluation.learn_bigrams(rows), "doc_id", frequent=frequent)
+    got = {r["doc_id"]: r for r in losses.collect()}
+    assert len(got) == len(texts) and got[6]["loss"] is None
     for i, ws in words.items():
         terms = [-math.log((pairs[p] + 1) / (history[p[0]] + len(vocabulary))) for p in zip(ws, ws[1:])]
         assert got[i]["n"] == len(ws)
         assert got[i]["loss"] == (pytest.approx(sum(terms) / len(terms)) if terms else None)
 
 
+@pytest.mark.parametrize("limit", [0, 1, 2, 3, 4, 6, 7, 100])
+def test_frequent_pairs_are_bounded_and_whole(spark, limit):
+    far = "z" * 40
+    texts = ["a b " * 9, "c d " * 5, "e f", f"{far} {far} {far}"]
+    model = evaluation.learn_bigrams(spark.createDataFrame([(t,) for t in texts], "text string"))
+    counted = {(r.w1, r.w2): r.n for r in model.pairs.collect()}
+    held, others = evaluation._split_by_frequency(model, limit)
+    inside = {} if held is None else {(r.w1, r.w2): r.lp for r in held.collect()}
+    outside = set() if others is None else {(r.w1, r.w2) for r in others.collect()}
+    assert len(inside) <= limit and not inside.keys() & outside and inside.keys() | outside == counted.keys()
+    assert (far, far) in outside and (limit < 5 or len(inside) == 5)
+    least = min((counted[p] for p in inside), default=0)
+    assert all(p == (far, far) or counted[p] <= least for p in outside) or not inside
+    begins = {}
+    for (first, _), n in counted.items():
+        begins[first] = begins.get(first, 0) + n
+    for pair, lp in inside.items():
+        assert lp == pytest.approx(math.log((counted[pair] + 1) / (begins[pair[0]] + model.vocabulary)))
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_unseen_pairs_are_scored(spark, small):
     model = evaluation.learn_bigrams(spark.createDataFrame([("a b a b a b c",)], "text string"))
