@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Largest share of an Arrow batch that is held in Python form at once.
@@ -14,16 +17,30 @@ SLICE_ROWS = 512
 
 
 _held: dict[str, Callable[[], object]] = {}
+_owner: list[str] = []
+_libc = ctypes.CDLL(None)
+
+
+def give_back() -> None:
+    """Return freed memory of this worker to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
 
 
 def hold(owner: str, release: Callable[[], object] | None = None) -> None:
     """Says that this Python worker now works for ``owner``.
 
     Workers outlive tasks and stages; what they remember for other operators is
-    released, so that the memories of several stages do not add up.
+    released, so that the memories of several stages do not add up, and what an
+    operator has freed goes back to the system when another one begins.
     """
     for other in [name for name in _held if name != owner]:
         _held.pop(other)()
+    if _owner != [owner]:
+        give_back()
+        _owner[:] = [owner]
     if release is not None:
         _held[owner] = release
 
@@ -51,3 +68,16 @@ def texts_of(column: pa.Array) -> list[str]:
 def schema_with(df: DataFrame, keep: list[str], more: str) -> T.StructType:
     """The kept fields of ``df`` and those of the DDL string ``more``."""
     return T.StructType([df.schema[name] for name in keep] + list(T.StructType.fromDDL(more)))
+
+
+def join_totals(facts: DataFrame, totals: DataFrame, key: str, count: str, rows: int) -> DataFrame:
+    """``facts`` joined to ``totals``, one row a ``key`` with the number ``count`` of its facts.
+
+    Keys that hold more than a quarter of a task's share of all ``rows`` facts are less
+    than four for each task, by counting; they are broadcast, so that none of their facts
+    is shuffled. All other keys are shuffled. ``facts`` are read twice.
+    """
+    tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = totals.where(F.col(count) > max(1, rows // (4 * tasks)))
+    rest = facts.join(F.broadcast(hot.select(key)), key, "left_anti").join(totals, key)
+    return facts.join(F.broadcast(hot), key).unionByName(rest)

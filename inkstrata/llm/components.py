@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkstrata.llm.common import join_totals
 from inkstrata.session import materialize
 
 
@@ -17,15 +18,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each round points the larger neighbours of a node, then the smaller ones, at the
     least of them, until only stars are left; a round is written to the shared
-    folder. Self links and repeated links are allowed; no links give no rows.
+    folder. The centre of a large star is no hot key. Self links and repeated links are allowed; no links give no rows.
     """
     links = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     links = materialize(links, "links")
     before = _fingerprint(links)
     while before[0]:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = join_totals(both.where("v > u"), least, "u", "n", 2 * before[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_least, "u")
         small = small.select("u", F.col("m").alias("v")).unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))

@@ -25,13 +25,15 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inkstrata.llm.common import hold, schema_with, slices, texts_of
+from inkstrata.llm.common import hold, join_totals, schema_with, slices, texts_of
 from inkstrata.llm.components import connected_components
-from inkstrata.session import materialize
+from inkstrata.operators.skew import hot_keys, largest_keys, lookup_join
+from inkstrata.session import cut_lineage, materialize
 
 SHINGLE = 2
 CHUNKS, CHUNK = 12, 6
@@ -43,7 +45,7 @@ MAX_DISTANCE = 32
 BLOCK_BYTES = 1 << 20
 # A table of at most so many ids is given to every task instead of shuffling texts.
 SMALL_IDS = 2_000_000
-_WORDS_KEPT = 300_000
+_WORDS_KEPT = 65_536
 
 _ODD = np.random.default_rng(6).integers(0, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -97,7 +99,8 @@ def _sign(size: int, with_row: bool) -> Callable[[Iterator[pa.RecordBatch]], Ite
             for text in texts_of(batch.column(1)):
                 values = shingles(text, size)
                 counts.append(len(values))
-                digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
+                # texts without words are no node: a null is no hot key
+                digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None)
                 signatures.append(signature(values).tobytes() if len(values) else None)
             kept = [batch.column(0)] + ([batch.column(2)] if with_row else [])
             yield pa.RecordBatch.from_arrays(
@@ -142,17 +145,16 @@ def _compare(threshold: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
         for batch in batches:
             found = []
             for row in range(batch.num_rows):
-                asking, members = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
-                sets = [np.frombuffer(m["values"], np.uint64) for m in members]
-                sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
-                starts, joined = np.cumsum(sizes) - sizes, np.concatenate(sets)
-                for one in asking:
-                    own = np.frombuffer(one["values"], np.uint64)
+                (asking, asking_sets), (members, sets) = (batch.column(i)[row].values.flatten() for i in (0, 1))
+                sizes = pc.binary_length(sets).to_numpy(zero_copy_only=False).astype(np.int64) // 8
+                starts, joined = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(sets.to_pylist()), np.uint64)
+                for node, values in zip(asking.to_pylist(), asking_sets):
+                    own = np.frombuffer(values.as_buffer(), np.uint64)
                     at = np.minimum(np.searchsorted(own, joined), len(own) - 1)
                     common = np.add.reduceat((own[at] == joined).astype(np.int64), starts)
                     near = np.flatnonzero(100 * common >= threshold * (len(own) + sizes - common))
                     if len(near):
-                        found.append((one["node"], members[near[0]]["node"]))
+                        found.append((node, members[int(near[0])].as_py()))
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     return run
@@ -191,15 +193,17 @@ def _near(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
 
 
 def _relabel(labels: DataFrame | None, links: DataFrame) -> DataFrame:
-    """Labels of the nodes after new links between them (``a, b``)."""
+    """Labels of the nodes after new links between them (stored, ``a, b``)."""
     if labels is None:
         return materialize(connected_components(links), "labels")
-    known = labels.select(F.col("node"), F.col("component").alias("label"))
+    rows = links.count()
     for end in ("a", "b"):
-        links = links.join(known.withColumnRenamed("node", end), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
-    merged = connected_components(links.select("a", "b"))
+        named = links.groupBy(end).agg(F.count(F.lit(1)).alias("n")).join(labels.withColumnRenamed("node", end), end, "left")
+        links = join_totals(links, named, end, "n", rows).withColumn(end, F.coalesce("component", end)).select("a", "b")
+    merged = connected_components(links)
     moved = merged.select(F.col("node").alias("component"), F.col("component").alias("_new"))
-    old = labels.join(moved, "component", "left").select("node", F.coalesce("_new", "component").alias("component"))
+    sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("n")).join(moved, "component", "left")
+    old = join_totals(labels, sizes, "component", "n", labels.count()).select("node", F.coalesce("_new", "component").alias("component"))
     fresh = merged.join(labels, "node", "left_anti")
     return materialize(old.unionByName(fresh), "labels")
 
@@ -226,12 +230,15 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, size: int = SHINGLE, r
         signed = signed.withColumn("row", F.monotonically_increasing_id())
     signed = materialize(signed, "signatures")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
-    nodes = signed.where("n > 0").groupBy("digest", "n").agg(F.min(F.struct(order.alias("o"), "sig")).alias("x"))
-    nodes = materialize(nodes.select(F.col("x.o.row").alias("node"), F.col("x.o.doc_id").alias("doc_id"), "digest", "n", F.col("x.sig").alias("sig")), "nodes")
+    nodes = signed.where("n > 0").groupBy("digest", "n").agg(F.min(F.struct(order.alias("o"), "sig")).alias("x"), F.count(F.lit(1)).alias("copies"))
+    nodes = nodes.select(F.col("x.o.row").alias("node"), F.col("x.o.doc_id").alias("doc_id"), "digest", "n", "copies", F.col("x.sig").alias("sig"))
+    nodes = materialize(nodes, "nodes")
 
     files = nodes.select("node", "sig").mapInArrow(_file, "key bigint, node bigint")
     shared = files.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = materialize(files.join(shared, "key"), "files")
+    shared = materialize(shared, "shared")
+    large_files = cut_lineage(largest_keys(shared, ["key"], "members"))
+    members = materialize(lookup_join(files, shared, ["key"], ["node"], hot=large_files), "files")
 
     filed = materialize(nodes.join(members.select("node").distinct(), "node", "left_semi"), "filed")
     sets = _near(docs.select("doc_id", "text"), filed, "doc_id").select("text").mapInArrow(_sets(size), "digest binary, values binary")
@@ -241,27 +248,38 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, size: int = SHINGLE, r
     summary = filed.select("node", "n", "sig")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        """The links among distinct candidate pairs ``a, b``."""
-        for end in ("a", "b"):
-            pairs = pairs.join(summary.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("sig").alias(f"sig_{end}")), end)
+        """The links among distinct candidate pairs ``a, b``; many may have one ``b``."""
+        pairs = materialize(pairs, "pairs")
+        hubs = cut_lineage(hot_keys(pairs, ["b"]))
+
+        def both_ends(rows: DataFrame, table: DataFrame, names: list[str]) -> DataFrame:
+            ends = [table.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in names]) for end in ("a", "b")]
+            return lookup_join(rows.join(ends[0], "a"), ends[1], ["b"], ["a"], hot=hubs)
+
         sizes = 100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")
-        close = pairs.where(sizes).where(_distance("sig_a", "sig_b") <= MAX_DISTANCE).select("a", "b", "n_a", "n_b")
-        for end in ("a", "b"):
-            close = close.join(sets.select(F.col("node").alias(end), F.col("values").alias(f"values_{end}")), end)
-        both = close.select("a", "b", "n_a", "n_b", _common("values_a", "values_b").alias("c"))
+        close = both_ends(pairs, summary, ["n", "sig"]).where(sizes).where(_distance("sig_a", "sig_b") <= MAX_DISTANCE)
+        both = both_ends(close.select("a", "b", "n_a", "n_b"), sets.select("node", "values"), ["values"])
+        both = both.select("a", "b", "n_a", "n_b", _common("values_a", "values_b").alias("c"))
         return materialize(both.where(100 * F.col("c") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("c"))).select("a", "b"), "links")
 
     def opened(labels: DataFrame, larger: int) -> DataFrame:
         """Rows of the files with more than ``larger`` members that hold several components."""
         marked = members.where(F.col("members") > larger).join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         keys = marked.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-        return materialize(marked.join(keys, "key", "left_semi"), "open")
+        return materialize(lookup_join(marked, keys, ["key"], ["node"], hot=large_files), "open")
 
-    def in_blocks(rows: DataFrame, by: str, out: str) -> DataFrame:
-        """``by, out``: the sets of ``rows`` with the same ``by`` in blocks of about ``BLOCK_BYTES``."""
-        sized = rows.groupBy(by).agg(F.ceil(F.sum(F.octet_length("values")) / BLOCK_BYTES).alias("_blocks"))
-        placed = rows.join(sized, by).withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")))
-        return placed.groupBy(by, "_block").agg(F.collect_list(F.struct("node", "values")).alias(out)).drop("_block")
+    def in_blocks(rows: DataFrame, blocks: DataFrame, out: str) -> DataFrame:
+        """``component, block, out``: the sets of ``rows`` (``node, component``) in blocks of about ``BLOCK_BYTES``.
+
+        ``blocks`` has their number for each component, and further columns that are kept.
+        """
+        placed = join_totals(rows, blocks, "component", "rows", rows.count()).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        more = [c for c in blocks.columns if c not in ("component", "rows", "blocks")]
+        return placed.join(sets.select("node", "values"), "node").groupBy("component", "block", *more).agg(F.collect_list(F.struct("node", "values")).alias(out))
+
+    def block_numbers(rows: DataFrame) -> DataFrame:
+        """``component, rows, blocks``, from ``rows`` with the size ``n`` of their sets."""
+        return rows.groupBy("component").agg(F.count(F.lit(1)).alias("rows"), F.ceil(F.sum("n") * 8 / BLOCK_BYTES).alias("blocks"))
 
     def asking_nodes(nodes: DataFrame) -> DataFrame:
         """``node, other``: nodes that may be linked to a larger component than their own.
@@ -281,7 +299,7 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, size: int = SHINGLE, r
             F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
         )
         sizes = nodes.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-        first = first.join(sizes, "component")
+        first = first.join(join_totals(nodes, sizes, "component", "size", nodes.count()).select("node", "size"), "node")
         others = first.groupBy("shingle", "component", "size", "n").agg(F.min("place").alias("place"))
         others = others.select("shingle", *[F.col(c).alias(f"_{c}") for c in ("component", "size", "n", "place")])
         most = 1 + F.least(F.col("n") - F.col("place"), F.col("_n") - F.col("_place"))
@@ -291,12 +309,22 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, size: int = SHINGLE, r
         return met.select("node", F.col("_component").alias("other")).distinct()
 
     def compared(rows: DataFrame, labels: DataFrame) -> DataFrame:
-        """Links between the nodes of files with several components."""
-        asks = materialize(asking_nodes(rows.select("node", "component").distinct()), "asks")
-        asking = asks.join(sets.select("node", "values"), "node").withColumnRenamed("other", "component")
-        grouped = sets.join(labels, "node", "left").select(F.coalesce("component", "node").alias("component"), "node", "values")
-        asked = grouped.join(asks.select(F.col("other").alias("component")).distinct(), "component", "left_semi")
-        pairs = in_blocks(asking, "component", "asking").join(in_blocks(asked, "component", "asked"), "component")
+        """Links between the nodes of files with several components.
+
+        A block of asking nodes goes to each block of the component it asks; the two
+        meet by component and block, so a large component is spread over all tasks.
+        """
+        own = materialize(rows.select("node", "component").distinct(), "open-nodes")
+        asks = materialize(asking_nodes(own), "asks").withColumnRenamed("other", "component").join(summary.select("node", "n"), "node")
+        asks = materialize(asks, "asks")
+        everyone = summary.select("node", "n").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        everyone = materialize(everyone, "everyone")
+        to = block_numbers(everyone).join(asks.select("component").distinct(), "component")
+        asked = in_blocks(everyone.select("node", "component"), to, "asked")
+        of = block_numbers(asks).join(to.select("component", F.col("blocks").alias("targets")), "component")
+        asking = in_blocks(asks.select("node", "component"), of, "asking").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("targets") - 1)))
+        asking = asking.select("component", F.col("block").cast("bigint").alias("block"), "asking")
+        pairs = asking.join(asked, ["component", "block"])
         return materialize(pairs.select("asking", "asked").mapInArrow(_compare(threshold), "a bigint, b bigint"), "links")
 
     # one pair for each member: the least hub it has
@@ -305,7 +333,7 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, size: int = SHINGLE, r
     # every member with the hub of each file
     marked = opened(labels, 1)
     hubs = marked.where("node = hub").select("key", F.col("component").alias("other"))
-    pairs = marked.join(hubs, "key").where("component <> other").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    pairs = lookup_join(marked, hubs, ["key"], ["node"], hot=large_files).where("component <> other").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     labels = _relabel(labels, confirmed(pairs))
     # what is left with all other components of its files
     marked = opened(labels, 2)
@@ -313,10 +341,12 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, size: int = SHINGLE, r
         labels = _relabel(labels, compared(marked, labels))
 
     whole = nodes.join(labels, "node", "left").select("digest", "node", "doc_id", F.coalesce("component", "node").alias("component"))
+    whole = materialize(whole, "whole")
     lead = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col("node").alias("row")))
-    heads = whole.groupBy("component").agg(lead.alias("head"))
-    named = whole.join(heads, "component").select("digest", F.col("head.doc_id").alias("component_id"), F.col("head.row").alias("_first"))
-    out = signed.select("row", "doc_id", "n", "digest").join(named, "digest", "left")
+    heads = whole.groupBy("component").agg(lead.alias("head"), F.count(F.lit(1)).alias("nodes"))
+    named = join_totals(whole, heads, "component", "nodes", whole.count()).select("digest", F.col("head.doc_id").alias("component_id"), F.col("head.row").alias("_first"))
+    copied = largest_keys(nodes, ["digest"], "copies")
+    out = lookup_join(signed.select("row", "doc_id", "n", "digest"), named, ["digest"], ["row"], "left", hot=copied)
     alone = F.col("n") == 0
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
