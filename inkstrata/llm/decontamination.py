@@ -6,8 +6,9 @@ of the length of the shortest string: the block of bytes at its end tells how fa
 can be moved without missing a string; where that is nothing, the block selects the
 strings that hold it there, and direct comparison confirms them.
 
-The strings are searched in groups of bounded size, one pass for each group, so the
-benchmark may be of any size; every text is searched whole.
+The strings are searched in groups of bounded size, so the benchmark may be of any
+size; every text is searched whole. With several groups the corpus is written once,
+and each pass adds the marks of the texts that it has hit.
 """
 
 from __future__ import annotations
@@ -15,10 +16,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inkstrata.llm.common import hold, schema_with, slices, texts_of
 from inkstrata.session import materialize
@@ -128,52 +132,85 @@ def _searcher(token: str, rows: Broadcast) -> Searcher:
     return _current[0][1]
 
 
-def _search(token: str, rows: Broadcast, text: int, first: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _search(token: str, rows: Broadcast, text: int, keep: int, hits_only: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The first ``keep`` columns and what is found in column ``text``, of all rows or of those with a hit."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("decontamination", _current.clear)
         searcher = _searcher(token, rows)
         for batch in slices(batches):
-            kept = batch.columns if first else batch.columns[:-3]
-            names = batch.schema.names[: len(kept)]
-            seen = [(None, [])] * batch.num_rows if first else list(zip(batch.columns[-2].to_pylist(), batch.columns[-1].to_pylist()))
             counts, hits, owners = [], [], []
-            for data, (old, held) in zip(texts_of(batch.column(text)), seen):
+            for data in texts_of(batch.column(text)):
                 words = words_of(data)
-                marks, items = bytearray(old or len(words)), set(held)
+                marks, items = bytearray(len(words)), set()
                 searcher.mark(words, marks, items)
                 counts.append(len(words))
                 hits.append(bytes(marks) if items else None)
                 owners.append(sorted(items))
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(counts, pa.int64()), pa.array(hits, pa.binary()), pa.array(owners, pa.list_(pa.string()))],
-                names=[*names, "_decontam_words", "_decontam_marks", "_decontam_items"],
+            found = pa.RecordBatch.from_arrays(
+                [*batch.columns[:keep], pa.array(counts, pa.int64()), pa.array(hits, pa.binary()), pa.array(owners, pa.list_(pa.string()))],
+                names=[*batch.schema.names[:keep], *FOUND],
             )
+            yield found.filter(found.column(keep + 1).is_valid()) if hits_only else found
 
     return run
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with ``_decontam_words``, ``_decontam_marks`` and ``_decontam_items``.
+FOUND = ("_decontam_words", "_decontam_marks", "_decontam_items")
+_FOUND_DDL = "_decontam_words bigint, _decontam_marks binary, _decontam_items array<string>"
 
-    ``_decontam_marks`` has a byte for each word of the text, 1 inside an occurrence of a test
-    string, and is null where there is none; ``_decontam_items`` are the ids, as sorted strings,
-    of the items found. A null text has no words. Without items nothing is found.
-    """
+
+@F.pandas_udf(T.BinaryType())
+def _either(marks: pd.Series) -> pd.Series:
+    """Marks of a text from several passes, as one; null where no pass has any."""
+    return pd.Series([np.bitwise_or.reduce([np.frombuffer(m, np.uint8) for m in of]).tobytes() if len(of) else None for of in marks], dtype=object)
+
+
+def _find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` with its columns renamed to ``c0, c1, ...``, and the columns ``FOUND``."""
     spark = docs.sparkSession
     strings = materialize(test_strings(benchmark, window), "test-strings")
     size = strings.agg(F.sum(F.octet_length("string") + F.octet_length("item"))).first()[0] or 0
     groups = max(1, -(-size // GROUP_BYTES))
     # items repeat in part; a group is a share of the strings by hash
     strings = strings.withColumn("_group", F.pmod(F.xxhash64("string", "item"), F.lit(groups)))
-    out = docs
+
+    def held(group: int) -> Broadcast:
+        rows = strings.where(F.col("_group") == group).select("string", "width", "item")
+        return spark.sparkContext.broadcast([(bytes(r[0]), r[1], r[2]) for r in rows.collect()])
+
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    text = docs.columns.index("text")
+    docs = docs.toDF(*plain)
+    if groups == 1:
+        return docs.mapInArrow(_search(uuid.uuid4().hex, held(0), text, len(plain), False), schema_with(docs, plain, _FOUND_DDL))
+    numbered = materialize(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    passes = []
     for group in range(groups):
-        held = strings.where(F.col("_group") == group).select("string", "width", "item")
-        rows = spark.sparkContext.broadcast([(bytes(r[0]), r[1], r[2]) for r in held.collect()])
-        schema = schema_with(docs, docs.columns, "_decontam_words bigint, _decontam_marks binary, _decontam_items array<string>")
-        if group:
-            out = materialize(out, "searched")
-        out = out.mapInArrow(_search(uuid.uuid4().hex, rows, docs.columns.index("text"), not group), schema)
-    return out
+        rows = held(group)
+        search = _search(uuid.uuid4().hex, rows, 1, 1, group > 0)
+        passes.append(materialize(numbered.select("row", plain[text]).mapInArrow(search, f"row bigint, {_FOUND_DDL}"), "searched"))
+        rows.unpersist()
+    every = passes[0]
+    for more in passes[1:]:
+        every = every.unionByName(more)
+    merged = every.groupBy("row").agg(F.max(FOUND[0]).alias(FOUND[0]), F.collect_list(FOUND[1]).alias("marks"), F.collect_list(FOUND[2]).alias("items"))
+    merged = merged.select("row", FOUND[0], _either("marks").alias(FOUND[1]), F.array_sort(F.array_distinct(F.flatten("items"))).alias(FOUND[2]))
+    return numbered.join(merged, "row").drop("row")
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` with ``_decontam_words``, ``_decontam_marks`` and ``_decontam_items``.
+
+    ``_decontam_marks`` has a byte for each word of the text, 1 inside an occurrence of a test
+    string, and is null where there is none; ``_decontam_items`` are the ids, as sorted strings,
+    of the items found. A null text has no words. Without items nothing is found. Other columns
+    may have any names; one named as a new one is an error.
+    """
+    clash = sorted(set(map(str.lower, docs.columns)) & set(FOUND))
+    if clash:
+        raise ValueError(f"the table has columns of the names given here: {', '.join(clash)}")
+    return _find(docs, benchmark, window).toDF(*docs.columns, *FOUND)
 
 
 def _contaminated(hits: str, words: str) -> Column:
@@ -201,9 +238,9 @@ def _hits(marks: str) -> Column:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with the columns of ``docs``."""
-    found = find_contamination(docs, benchmark).withColumns({"_decontam_hit": _hits("_decontam_marks")})
-    return found.where(~_contaminated("_decontam_hit", "_decontam_words")).select(*[f"`{c}`" for c in docs.columns])
+    """The rows of ``docs`` that are not contaminated, with the columns of ``docs``, whatever their names."""
+    found = _find(docs, benchmark).withColumn("hit", _hits(FOUND[1]))
+    return found.where(~_contaminated("hit", FOUND[0])).drop("hit", *FOUND).toDF(*docs.columns)
 
 
 def sql(window: int = WINDOW) -> str:

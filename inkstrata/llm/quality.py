@@ -1,7 +1,7 @@
 """Document quality: counts of words, lines and repeats, and a hashed n-gram classifier.
 
-The classifier is a logistic regression on hashed word and character n-grams, each
-kind as shares of its own total, fitted on a bounded sample of labelled rows and
+The classifier is Spark's logistic regression on hashed word and character n-grams,
+each kind as shares of its own total, fitted on a bounded sample of labelled rows and
 calibrated on a part of it that it has not seen. Documents are scored in Arrow
 batches: the score is the mean weight of the n-grams of each kind.
 """
@@ -14,10 +14,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkstrata.llm.common import schema_with, slices, texts_of
+from inkstrata.llm.common import hold, schema_with, slices, texts_of
+from inkstrata.operators import skew
 from inkstrata.session import materialize
 
 WORD_BITS = CHAR_BITS = 16
@@ -26,6 +30,8 @@ CHAR_N = 4
 MAX_ROWS = 2000
 # Rules: fewest words, largest share of words in repeated runs, least probability of quality.
 MIN_WORDS, MAX_REPEATED, MIN_PROBABILITY = 50, 0.5, 0.5
+# Steps of the regression and its quadratic penalty.
+MAX_ITER, PENALTY = 100, 1e-6
 _RUN = 3
 
 _WORDS, _CHARS = 1 << WORD_BITS, 1 << CHAR_BITS
@@ -98,6 +104,7 @@ def counts(text: str, words: list[bytes]) -> tuple[int, int, int, int]:
 
 
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``label, part`` and the shares of the n-grams of each text, by ascending number."""
     for batch in slices(batches):
         numbers, shares = [], []
         for text in texts_of(batch.column(1)):
@@ -108,31 +115,19 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 which, times = np.unique(part, return_counts=True)
                 own.append(which + base)
                 values.append(times / max(len(part), 1))
-            numbers.append(np.concatenate(own).astype("<i4").tobytes())
-            shares.append(np.concatenate(values).astype("<f4").tobytes())
-        yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in (0, 2)], pa.array(numbers, pa.binary()), pa.array(shares, pa.binary())], names=["label", "part", "numbers", "shares"])
+            numbers.append(np.concatenate(own).astype(np.int32))
+            shares.append(np.concatenate(values).astype(np.float64))
+        lists = [pa.array(numbers, pa.list_(pa.int32())), pa.array(shares, pa.list_(pa.float64()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *lists], names=["label", "part", "numbers", "shares"])
 
 
-def _logistic(z: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+@F.udf(VectorUDT())
+def _vector(numbers: list[int], shares: list[float]) -> SparseVector:
+    return SparseVector(_WORDS + _CHARS, numbers, shares)
 
 
-def _fit_weights(rows: np.ndarray, numbers: np.ndarray, shares: np.ndarray, labels: np.ndarray, steps: int = 150) -> np.ndarray:
-    """Logistic regression with a small quadratic penalty, by Adam on all rows at once."""
-    size = _WORDS + _CHARS
-    weights, first, second = np.zeros(size), np.zeros(size), np.zeros(size)
-    bias, count = 0.0, len(labels)
-    for step in range(1, steps + 1):
-        z = np.bincount(rows, shares * weights[numbers], minlength=count) + bias
-        error = (_logistic(z) - labels) / count
-        gradient = np.bincount(numbers, shares * error[rows], minlength=size) + 1e-7 * weights
-        first = 0.9 * first + 0.1 * gradient
-        second = 0.99 * second + 0.01 * gradient**2
-        weights -= 1.0 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
-        bias -= 2.0 * error.sum()
-    # the bias goes into the word weights: their shares add up to one
-    weights[:_WORDS] += bias
-    return weights
+def _logistic(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 def _calibrated(z: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -160,19 +155,20 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model |
     share = min(1.0, max_rows / max(own.count(), 1))
     drawn = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(round(share * 1_000_000)))
     drawn = drawn.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(4)).cast("int"))
-    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("label", "text", "part")
-    made = rows.mapInArrow(_sample, "label double, part int, numbers binary, shares binary").collect()
-    y, part = np.array([r["label"] for r in made]), np.array([r["part"] for r in made])
-    if any(len(set(y[chosen])) < 2 for chosen in (part == 0, part > 0)):
+    # bounded by max_rows: of rows that repeat an id, the least text
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "label", "part").agg(F.min("text").alias("text"))
+    made = rows.select("label", "text", "part").mapInArrow(_sample, "label double, part int, numbers array<int>, shares array<double>")
+    made = materialize(made, "training").select("label", "part", _vector("numbers", "shares").alias("ngrams"))
+    if made.select(F.col("part") > 0, "label").distinct().count() < 4:
         return None
-    numbers = [np.frombuffer(r["numbers"], "<i4") for r in made]
-    shares = [np.frombuffer(r["shares"], "<f4") for r in made]
-    train = np.flatnonzero(part > 0)
-    row = np.repeat(np.arange(len(train)), [len(numbers[i]) for i in train])
-    weights = _fit_weights(row, np.concatenate([numbers[i] for i in train]), np.concatenate([shares[i] for i in train]).astype(float), y[train])
-    rest = np.flatnonzero(part == 0)
-    z = np.array([(weights[numbers[i]] * shares[i]).sum() for i in rest])
-    slope, offset = _calibrated(z, y[rest])
+    regression = LogisticRegression(featuresCol="ngrams", labelCol="label", maxIter=MAX_ITER, regParam=PENALTY, standardization=False)
+    found = regression.fit(made.where("part > 0").repartition(skew.partitions(made)))
+    margins = found.transform(made.where("part = 0")).select(vector_to_array("rawPrediction")[1].alias("z"), "label").collect()
+    z, y = (np.array([r[i] for r in margins]) for i in (0, 1))
+    slope, offset = _calibrated(z, y)
+    weights = found.coefficients.toArray()
+    # the bias goes into the word weights: their shares add up to one
+    weights[:_WORDS] += found.intercept
     return Model(weights[:_WORDS].astype(np.float32), weights[_WORDS:].astype(np.float32), slope, offset)
 
 
@@ -182,12 +178,17 @@ def judge(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, keep: tu
     A document fails the base rules with fewer than 50 words or with more than half of
     its words in repeated runs of three; otherwise it is kept if its probability of
     quality is at least ``MIN_PROBABILITY``. A null text has no words. Without labels of
-    both kinds the base rules decide alone, and ``quality`` is null.
+    both kinds the base rules decide alone, and ``quality`` is null. A kept column
+    named as one of the new ones is an error; columns that are not kept may have any name.
     """
+    clash = sorted(set(map(str.lower, keep)) & set(_COLUMNS))
+    if clash:
+        raise ValueError(f"kept columns have the names given here: {', '.join(clash)}")
     model = fit(docs, labels, max_rows)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("quality")
         model = shared.value
         for batch in slices(batches):
             rows = []

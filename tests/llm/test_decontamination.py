@@ -73,3 +73,17 @@ def test_empty_tables(spark):
     rows = dc.report(documents(spark, odd()), none).collect()
     assert len(rows) == len(odd()) and not any(r.contaminated for r in rows)
     assert dc.report(documents(spark, []), spark.createDataFrame([(1, "a b")], "item_id bigint, text string")).count() == 0
+
+
+@pytest.mark.parametrize("size", [8 << 20, 3000])
+def test_columns_of_any_names(spark, monkeypatch, size):
+    monkeypatch.setattr(dc, "GROUP_BYTES", size)
+    texts, items = cases()
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = documents(spark, texts).selectExpr("doc_id AS row", "text", "shard AS _decontam_words", "lang AS hit", "source AS c0")
+    kept = dc.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns
+    want = sorted((doc, text, "own", "en", "s") for doc, text in texts if not expected(text, items)[-1])
+    assert sorted(tuple(r) for r in kept.collect()) == want
+    with pytest.raises(ValueError):
+        dc.find_contamination(docs, bench)

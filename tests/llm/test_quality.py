@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -57,3 +59,31 @@ def test_odd_rows_without_labels(spark):
     assert by_id[1].n_words == 0 and by_id[1].base_failed and not by_id[1].kept and by_id[1].quality is None
     assert by_id[3].n_words == 60_000 and by_id[3].n_repeat_words == 60_000 and by_id[3].base_failed
     assert quality.judge(documents(spark, []), labelled(spark, [(1, 1)])).count() == 0
+
+
+def test_the_score_is_that_of_the_plain_formula(spark):
+    texts, labels = corpus()
+    docs, marks = documents(spark, texts + [(1, None), (2, "few words")]), labelled(spark, labels)
+    model = quality.fit(docs, marks)
+    for r in quality.judge(docs, marks, keep=("doc_id", "text")).collect():
+        words = quality.words_of(r.text or "")
+        w, c = quality.hashed((r.text or "").encode(), words)
+        z = model.slope * (np.sum(model.words[w]) / len(w) + np.sum(model.chars[c]) / len(c)) + model.offset if words else -np.inf
+        want = 1 / (1 + np.exp(-z))
+        assert r.quality == pytest.approx(want, abs=2e-3)
+        failed = len(words) < 50 or 2 * brute(r.text or "")[3] > len(words)
+        assert r.base_failed == failed and (abs(want - 0.5) < 5e-3 or r.kept == (not failed and want >= 0.5))
+
+
+def test_one_row_for_each_labelled_id(spark):
+    texts, labels = corpus()
+    once = quality.fit(documents(spark, texts), labelled(spark, labels))
+    often = quality.fit(documents(spark, texts * 3), labelled(spark, labels))
+    assert np.abs(once.words - often.words).max() < 1e-2 * np.abs(once.words).max()
+
+
+def test_kept_columns_never_clash(spark):
+    docs = documents(spark, odd()).withColumnRenamed("shard", "quality")
+    assert quality.judge(docs, labelled(spark, [])).count() == len(odd())
+    with pytest.raises(ValueError):
+        quality.judge(docs, labelled(spark, []), keep=("doc_id", "quality"))
