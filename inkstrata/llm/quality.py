@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkstrata.llm.common import hold, schema_with, slices, texts_of
-from inkstrata.operators import skew
 from inkstrata.session import materialize
 
 WORD_BITS = CHAR_BITS = 16
@@ -32,6 +31,8 @@ MAX_ROWS = 2000
 MIN_WORDS, MAX_REPEATED, MIN_PROBABILITY = 50, 0.5, 0.5
 # Steps of the regression and its quadratic penalty.
 MAX_ITER, PENALTY = 100, 1e-6
+# Rows of the sample in a partition: gradients of few partitions are added up without a shuffle.
+PART_ROWS = 500
 _RUN = 3
 
 _WORDS, _CHARS = 1 << WORD_BITS, 1 << CHAR_BITS
@@ -162,11 +163,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model |
     if made.select(F.col("part") > 0, "label").distinct().count() < 4:
         return None
     regression = LogisticRegression(featuresCol="ngrams", labelCol="label", maxIter=MAX_ITER, regParam=PENALTY, standardization=False)
-    found = regression.fit(made.where("part > 0").repartition(skew.partitions(made)))
+    found = regression.fit(made.where("part > 0").repartition(max(1, max_rows // PART_ROWS)))
     margins = found.transform(made.where("part = 0")).select(vector_to_array("rawPrediction")[1].alias("z"), "label").collect()
     z, y = (np.array([r[i] for r in margins]) for i in (0, 1))
     slope, offset = _calibrated(z, y)
-    weights = found.coefficients.toArray()
+    weights = found.coefficients.toArray().copy()
     # the bias goes into the word weights: their shares add up to one
     weights[:_WORDS] += found.intercept
     return Model(weights[:_WORDS].astype(np.float32), weights[_WORDS:].astype(np.float32), slope, offset)
