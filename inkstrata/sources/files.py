@@ -228,21 +228,35 @@ def _qualified(spark: SparkSession, path: str) -> str:
     return system.makeQualified(location).toUri().toString()
 
 
+def _file_locations(spark: SparkSession, path: str) -> list[str]:
+    """Where a listed file lies, or the files of a Parquet table that is stored as a folder."""
+    if _is_file(spark, path):
+        return [_qualified(spark, path)]
+    return spark.read.schema("text STRING").parquet(path).inputFiles()
+
+
 def worker_files(spark: SparkSession, files: Sequence[str], num_workers: int) -> DataFrame:
-    """Which worker reads which file: list position modulo the number of workers."""
+    """Which worker reads which file: list position modulo the number of workers.
+
+    A Parquet table that is stored as a folder has a row for each of its files.
+    """
     workers = max(1, num_workers)
-    listed = [(path, _qualified(spark, path), i, i % workers) for i, path in enumerate(files)]
+    listed = [(path, place, i, i % workers) for i, path in enumerate(files) for place in _file_locations(spark, path)]
     return spark.createDataFrame(listed, "file string, location string, position int, worker int")
 
 
 def read_for_workers(spark: SparkSession, files: Sequence[str], num_workers: int) -> DataFrame:
-    """Training texts of the listed files with the worker that owns each of them."""
-    folders = [path for path in files if not _is_file(spark, path)]
+    """Training texts of the listed files with the worker that owns each of them.
+
+    What a writer stores as a folder named ``*.parquet`` is one file of the list;
+    other folders are an error.
+    """
+    folders = [path for path in files if not _is_file(spark, path) and _suffix(path.rstrip("/")) != ".parquet"]
     if folders:
         raise ValueError(f"workers are given files, not folders: {folders}")
     assigned = worker_files(spark, files, num_workers).withColumn("location", _bare(F.col("location")))
     texts = read_parquet_text(spark, files).withColumn("location", _bare(F.col("file_path")))
-    # the list is held by the caller, so it is small
+    # names of files, which the scan has on the driver as well
     return texts.join(F.broadcast(assigned), "location").select(
         "file", "position", "worker", "text", "block_start", "row_order"
     )

@@ -148,6 +148,14 @@ def test_workers_follow_the_list(spark, tmp_path):
         files.read_for_workers(spark, [str(tmp_path)], 2)
 
 
+def test_workers_read_tables_stored_as_folders(spark, tmp_path):
+    single, folder = str(tmp_path / "one file.parquet"), str(tmp_path / "a table.parquet")
+    pq.write_table(pa.table({"text": ["single", None]}), single)
+    spark.createDataFrame([(f"part {i}",) for i in range(6)] + [("",)], "text string").repartition(3).write.parquet(folder)
+    got = sorted((r["text"], r["file"], r["position"], r["worker"]) for r in files.read_for_workers(spark, [single, folder], 2).collect())
+    assert got == [(f"part {i}", folder, 1, 1) for i in range(6)] + [("single", single, 0, 0)]
+
+
 def test_specs():
     assert specs.DatasetSpec.parse("a/b:train:text") == specs.DatasetSpec("a/b", "train", "text")
     four = specs.DatasetSpec.parse("a/b:cfg:train:text")
