@@ -57,17 +57,23 @@ def lookup_join(
     tasks = partitions(facts)
     # a bounded number of rows, settled once, as both sides must agree on them
     known = cut_lineage(hot_keys(facts, keys) if hot is None else hot)
-    bounds = known.agg(F.sum("_size").alias("all"), F.min("_size").alias("least"), F.count("_size").alias("n")).first()
+    bounds = known.agg(F.sum("_size").alias("all"), F.min("_size").alias("least"), F.max("_size").alias("most"), F.count("_size").alias("n")).first()
     share = max(1.0, (bounds["all"] or 0) / tasks)
     if bounds["n"] >= hot_limit(facts):
         # some keys are left out, each of at most the least size
         share = max(share, float(bounds["least"]))
-    marked = F.broadcast(known.select(*keys, F.greatest(F.ceil(F.col("_size") / F.lit(share)).cast("int"), F.lit(1)).alias("_salts")))
-
     row = F.xxhash64(*[F.col(c) for c in row_id])
     keyless = F.lit(False)
     for key in keys:
         keyless = keyless | F.col(key).isNull()
+    if (bounds["most"] or 0) <= share:
+        # no key is too large for a task, so nothing is broadcast
+        if how == "inner":
+            return facts.join(dim, keys)
+        spread = facts.withColumn("_salt", F.when(keyless, F.pmod(row, F.lit(tasks))).otherwise(0).cast("int"))
+        return spread.join(dim.withColumn("_salt", F.lit(0)), [*keys, "_salt"], how).drop("_salt")
+    marked = F.broadcast(known.select(*keys, F.greatest(F.ceil(F.col("_size") / F.lit(share)).cast("int"), F.lit(1)).alias("_salts")))
+
     # facts without a key match nothing and may be just as many
     salts = F.when(keyless, F.lit(tasks)).otherwise(F.coalesce("_salts", F.lit(1)))
     left = facts.join(marked, keys, "left").withColumn("_salt", F.pmod(row, salts).cast("int")).drop("_salts")

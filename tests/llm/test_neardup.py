@@ -5,7 +5,9 @@ import numpy as np
 import pytest
 
 from inkstrata.llm import neardup
+from inkstrata.llm import components
 from inkstrata.llm.components import connected_components
+from inkstrata.operators.skew import lookup_join
 from tests.llm.helpers import documents, odd
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -124,3 +126,35 @@ def test_connected_components(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {n: c for n, c in label.items() if any(n in pair and pair[0] != pair[1] for pair in links)}
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_rounds_without_hot_keys_broadcast_nothing(spark, monkeypatch):
+    calls = []
+
+    def counted(*args, whole=components.join_totals):
+        calls.append(args)
+        return whole(*args)
+
+    monkeypatch.setattr(components, "join_totals", counted)
+    paths = spark.range(400).where("id % 4 < 3").selectExpr("id AS a", "id + 1 AS b")
+    assert {(r.component, r["count"]) for r in connected_components(paths).groupBy("component").count().collect()} == {(i, 4) for i in range(0, 400, 4)}
+    assert not calls
+    star = spark.range(1, 200).selectExpr("id AS a", "0L AS b").unionByName(spark.createDataFrame([(199, 200)], "a bigint, b bigint"))
+    assert {(r.component, r["count"]) for r in connected_components(star).groupBy("component").count().collect()} == {(0, 201)}
+    assert calls
+
+
+def test_lookups_without_hot_keys_broadcast_nothing(spark):
+    facts = spark.createDataFrame([(i % 300, i) for i in range(600)] + [(None, 600)], "k int, row int")
+    few = spark.createDataFrame([(k, -k) for k in range(299)], "k int, v int")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ("inner", "left"):
+            out = lookup_join(facts, few, ["k"], ["row"], how)
+            assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+            expected = [(i % 300, i, -(i % 300) if i % 300 < 299 else None) for i in range(600)] + [(None, 600, None)]
+            got = sorted(out.collect(), key=lambda r: r.row)
+            assert [tuple(r) for r in got] == [r for r in expected if how == "left" or r[2] is not None]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
