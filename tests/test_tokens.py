@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,3 +159,13 @@ def test_catalogue_queries_run_at_the_reference_sizes(spark, sf):
     assert unknown.count() == 0
     # special and byte pieces come on top; pieces that no split needs are gone
     assert 65_000 < QUERIES["j6_unigram_vocabulary"](spark, sf).count() <= 65_536 - 4 - 256
+
+
+def test_lookups_take_bounded_parts():
+    lists = [["word"] * (i % 7) for i in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(lists)], names=["key", "words"])
+    parts = list(vb.bounded_parts(batch, 4096))
+    assert max(part.nbytes for part in parts) < 2 * 4096 < batch.nbytes
+    assert pa.Table.from_batches(parts).to_pylist() == batch.to_pylist()
+    assert [part.num_rows for part in vb.bounded_parts(batch.slice(0, 3), 1)] == [1, 1, 1]
+    assert not list(vb.bounded_parts(batch.slice(0, 0)))
