@@ -346,7 +346,8 @@ def _(spark, sf):
     from pyspark.sql import Window
 
     root = fresh_dir(spark, "ordered")
-    table(spark, sf, "documents").select("lang", "text").repartition("lang").write.partitionBy("lang").parquet(root)
+    # a task writes a file of its own for each folder, so that no folder is one task's
+    table(spark, sf, "documents").select("lang", "text").write.partitionBy("lang").parquet(root)
     folders = (
         files.read_eval_corpus(spark, root)
         .groupBy(F.regexp_extract("file_path", "lang=([^/]+)/", 1).alias("folder"))
