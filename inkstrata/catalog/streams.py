@@ -12,6 +12,7 @@ from inkstrata.catalog.retrieval import SQL_CONTEXT, SQL_SCORED, encode
 from inkstrata.operators import answering, chunking
 from inkstrata.plans import jobs
 from inkstrata.session import fresh_dir
+from inkstrata.sources.tables import deliveries
 from inkstrata.streaming import jobs as stream
 
 
@@ -19,8 +20,9 @@ from inkstrata.streaming import jobs as stream
 def _(spark, sf):
     base = fresh_dir(spark, "stream")
     raw = licensed(spark, sf).select("doc_id", "text", "license")
-    raw.repartition(4).write.parquet(f"{base}/in")
-    arriving = stream.file_stream(spark, f"{base}/in", raw.schema, files_per_batch=2)
+    arrived = deliveries(spark, f"{sf}/documents.parquet", 4)
+    raw.repartition(arrived).write.parquet(f"{base}/in")
+    arriving = stream.file_stream(spark, f"{base}/in", raw.schema, files_per_batch=arrived // 2)
     stream.clean_and_shard(arriving, f"{base}/out", f"{base}/progress", keep=["doc_id"]).awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
@@ -73,8 +75,9 @@ def _(spark, sf):
     files = with_paths(table(spark, sf, "documents")).select(
         F.col("file_path").alias("path"), F.lit("markdown").alias("converter"), "text"
     )
-    files.repartition(3).write.parquet(f"{base}/in")
-    arriving = stream.file_stream(spark, f"{base}/in", files.schema, files_per_batch=1)
+    arrived = deliveries(spark, f"{sf}/documents.parquet", 3)
+    files.repartition(arrived).write.parquet(f"{base}/in")
+    arriving = stream.file_stream(spark, f"{base}/in", files.schema, files_per_batch=arrived // 3)
     stream.append_index(arriving, CHUNKER, f"{base}/out", f"{base}/progress", embed=encode).awaitTermination()
     return spark.read.parquet(f"{base}/out").select(
         F.col("metadata")["file_path"].alias("file_path"), "chunk_index", "content",

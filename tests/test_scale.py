@@ -26,3 +26,43 @@ def test_a_folder_of_texts_is_written_by_several_tasks(spark, tmp_path, monkeypa
     found = {tuple(r) for r in QUERIES["h3_file_order"](spark, str(tmp_path)).collect()}
     assert found == {("a", 1, 2000), ("b", 2, 2000)}
     assert min(len(files_in(f"{tmp_path}/ordered/lang={lang}")) for lang in "ab") > 1
+
+
+def test_deliveries_grow_with_the_table(spark, sf, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "DELIVERY_BYTES", 20_000)
+    for name, batches in (("k1_stream_clean_and_shard", 2), ("k3_stream_index_append", 3)):
+        in_folder(monkeypatch, streams, f"{tmp_path}/{name}")
+        assert QUERIES[name](spark, sf).count() > 0
+        stored = f"{tmp_path}/{name}/stream"
+        # as many micro-batches as before, of more files
+        assert len([b for b in os.listdir(f"{stored}/progress/commits") if b.isdigit()]) == batches
+        assert len(files_in(f"{stored}/in")) == tables.deliveries(spark, f"{sf}/documents.parquet", 4 if batches == 2 else 3) > 10
+
+
+def test_converters_keep_large_keys_and_places(spark):
+    rows = spark.createDataFrame([("a.x", 2**53 + 1, "p,,q"), ("b.x", None, "r"), ("c.x", 3, ",")], "path string, id bigint, text string")
+    split = {".x": lambda text: (part or None for part in text.split(","))}
+    got = sorted(tuple(r) for r in apply_converters(rows.coalesce(1), split, keep=("path", "id")).collect())
+    assert got == [("a.x", 2**53 + 1, 0, "p"), ("a.x", 2**53 + 1, 2, "q"), ("b.x", None, 0, "r")]
+
+
+def test_converters_take_long_texts_in_parts(spark):
+    # in pandas all pieces of an Arrow batch would be made at once
+    rows = spark.range(3).select(F.concat(F.col("id"), F.lit(".x")).alias("path"), F.lit("t").alias("text"))
+    plan = apply_converters(rows, {".x": list})._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "MapInPandas" not in plan
+
+
+def test_only_rows_of_repeated_keys_are_compared_by_a_join(spark, tmp_path):
+    def index(rows):
+        plain = spark.createDataFrame(rows, "doc_id long, chunk_index int, content string")
+        return plain.withColumn("metadata", F.create_map(F.lit("file_path"), F.col("content")))
+
+    key = b"k" * 32
+    for at, rows in enumerate(([(1, 0, "a"), (1, 1, "b"), (2, 0, "c")], [(1, 0, "a"), (1, 0, "b"), (2, 0, "c"), (None, 0, "d")])):
+        governance.encrypt_index(index(rows), key).write.parquet(f"{tmp_path}/{at}")
+        out = sealing.opened(None, spark.read.parquet(f"{tmp_path}/{at}"), key)
+        # a null key met nothing in the join either
+        want = [(*a, a[2], 1) for a in rows for b in rows if a[0] is not None and a[:2] == b[:2]]
+        assert sorted(map(tuple, out.collect())) == sorted(want)
+        assert at or "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
