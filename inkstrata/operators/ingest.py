@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator, Mapping
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from inkstrata.functions import text as tx
 from inkstrata.functions import vectors as vx
 from inkstrata.operators import chunking
+from inkstrata.operators.vocabulary import bounded_parts
 
 # Extensions by converter, and the metadata keys every chunk has.
 MARKDOWN_SUFFIXES = (".md", ".markdown")
@@ -94,7 +96,7 @@ def apply_converters(
     """Callers' converters: a text becomes any number of chunks.
 
     ``converters`` maps a lower-case suffix with its dot to a function; files
-    with another suffix are left out.
+    with another suffix are left out. Texts are taken in parts of some megabytes.
     """
     kept = list(keep)
     types = {f.name: f.dataType.simpleString() for f in files.schema.fields}
@@ -104,16 +106,22 @@ def apply_converters(
         F.col("_suffix").isin(*table)
     )
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            pieces = [list(table[s](t)) for s, t in zip(batch["_suffix"], batch["text"])]
-            out = batch[kept].assign(
-                chunk_index=[list(range(len(p))) for p in pieces], content=pieces
-            ).explode(["chunk_index", "content"])
-            out = out[out["content"].notna()]
-            yield out.astype({"chunk_index": "int32"})
-
-    return chosen.select(*kept, "_suffix", "text").mapInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in bounded_parts(whole)):
+            rows, places, contents = [], [], []
+            for row, (suffix, text) in enumerate(zip(batch.column("_suffix").to_pylist(), batch.column("text").to_pylist())):
+                for place, piece in enumerate(table[suffix](text)):
+                    # missing pieces are left out, and keep their place
+                    if piece is not None and piece == piece:
+                        rows.append(row)
+                        places.append(place)
+                        contents.append(piece)
+            own = [batch.column(c).take(pa.array(rows, pa.int64())) for c in kept]
+            yield pa.RecordBatch.from_arrays(
+                [*own, pa.array(places, pa.int32()), pa.array(contents, pa.string())], names=[*kept, "chunk_index", "content"]
+            )
+
+    return chosen.select(*kept, "_suffix", "text").mapInArrow(run, schema)
 
 
 def ingest(
