@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from inkstrata.catalog.base import SQL_PATHS, document_chunks, query, sql_chunks, table, with_paths
 from inkstrata.operators import governance
-from inkstrata.session import fresh_dir
+from inkstrata.session import fresh_dir, materialize
 
 
 @query(
@@ -45,12 +45,24 @@ def index(spark, sf):
 
 
 def opened(plain, sealed, key, decrypt=governance.decrypt_index):
-    """The decrypted rows, and whether the sealed ones hide their text."""
-    hidden = sealed.select("doc_id", "chunk_index", F.col("content").alias("sealed"))
-    return decrypt(sealed, key).join(hidden, ["doc_id", "chunk_index"]).select(
-        "doc_id", "chunk_index", "content", F.col("metadata")["file_path"].alias("file_path"),
-        (F.col("sealed") != F.encode("content", "UTF-8")).cast("int").alias("unreadable"),
-    )
+    """The decrypted rows, and whether the sealed ones hide their text.
+
+    A row is compared with itself in place. Only rows whose key is there more than once,
+    which are compared with each row of that key, are shuffled with their texts.
+    """
+    keys = ["doc_id", "chunk_index"]
+    named = sealed.dropna(subset=keys)
+    unreadable = (F.col("sealed") != F.encode("content", "UTF-8")).cast("int").alias("unreadable")
+    shown = [*keys, "content", F.col("metadata")["file_path"].alias("file_path"), unreadable]
+    repeated = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys)
+    repeated = materialize(repeated, "repeated")
+    own = decrypt(named.withColumn("sealed", F.col("content")), key)
+    once = own.join(repeated, keys, "left_anti").select(*shown)
+    if repeated.isEmpty():
+        return once
+    again = named.join(repeated, keys, "left_semi")
+    hidden = again.select(*keys, F.col("content").alias("sealed"))
+    return once.unionByName(decrypt(again, key).join(hidden, keys).select(*shown))
 
 
 def stored(spark, sealed):
