@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inkstrata.llm.common import hold, join_totals, schema_with, slices, texts_of
+from inkstrata.llm.common import hold, join_totals, releasing, schema_with, slices, texts_of
 from inkstrata.llm.components import connected_components
-from inkstrata.operators.skew import hot_keys, largest_keys, lookup_join
+from inkstrata.operators.skew import hot_keys, largest_keys, lookup_join, partitions
 from inkstrata.session import cut_lineage, materialize
 
 SHINGLE = 2
@@ -43,6 +43,8 @@ BITS = 11
 MAX_DISTANCE = 32
 # Bytes of shingle sets in a block, about.
 BLOCK_BYTES = 1 << 20
+# Nodes of a task that files them; each has a row for every symbol.
+FILED_NODES = 8_192
 # A table of at most so many ids is given to every task instead of shuffling texts.
 SMALL_IDS = 2_000_000
 _WORDS_KEPT = 65_536
@@ -225,7 +227,7 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, size: int = SHINGLE, r
         raise ValueError("the signature is laid out for thresholds of 80 and more")
     texts = docs.select("doc_id", "text", *([F.col(row).alias("row")] if row else []))
     kept = schema_with(docs, ["doc_id"], ("row bigint, " if row else "") + "n bigint, digest binary, sig binary")
-    signed = texts.mapInArrow(_sign(size, bool(row)), kept)
+    signed = texts.mapInArrow(releasing(_sign(size, bool(row))), kept)
     if not row:
         signed = signed.withColumn("row", F.monotonically_increasing_id())
     signed = materialize(signed, "signatures")
@@ -234,14 +236,16 @@ def near_duplicates(docs: DataFrame, threshold: int = 80, size: int = SHINGLE, r
     nodes = nodes.select(F.col("x.o.row").alias("node"), F.col("x.o.doc_id").alias("doc_id"), "digest", "n", "copies", F.col("x.sig").alias("sig"))
     nodes = materialize(nodes, "nodes")
 
-    files = nodes.select("node", "sig").mapInArrow(_file, "key bigint, node bigint")
+    # the rows of a task are grouped in memory before they are shuffled
+    dealt = nodes.select("node", "sig").repartition(max(partitions(nodes), -(-nodes.count() // FILED_NODES)))
+    files = dealt.mapInArrow(_file, "key bigint, node bigint")
     shared = files.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1")
     shared = materialize(shared, "shared")
     large_files = cut_lineage(largest_keys(shared, ["key"], "members"))
     members = materialize(lookup_join(files, shared, ["key"], ["node"], hot=large_files), "files")
 
     filed = materialize(nodes.join(members.select("node").distinct(), "node", "left_semi"), "filed")
-    sets = _near(docs.select("doc_id", "text"), filed, "doc_id").select("text").mapInArrow(_sets(size), "digest binary, values binary")
+    sets = _near(docs.select("doc_id", "text"), filed, "doc_id").select("text").mapInArrow(releasing(_sets(size)), "digest binary, values binary")
     # several documents may have one set; one copy of it is enough
     sets = sets.join(filed.select("digest", "node", "n"), "digest").groupBy("node", "n").agg(F.first("values").alias("values"))
     sets = materialize(sets, "sets")
