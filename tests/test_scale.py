@@ -2,10 +2,13 @@
 
 import os
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from inkstrata.catalog import QUERIES, governance as sealing, metrics, streams
-from inkstrata.operators import governance
+from inkstrata.llm import neardup
+from inkstrata.operators import bpe, governance, pairs
+from inkstrata.operators import vocabulary as vb
 from inkstrata.operators.ingest import apply_converters
 from inkstrata.sources import tables
 
@@ -66,3 +69,62 @@ def test_only_rows_of_repeated_keys_are_compared_by_a_join(spark, tmp_path):
         want = [(*a, a[2], 1) for a in rows for b in rows if a[0] is not None and a[:2] == b[:2]]
         assert sorted(map(tuple, out.collect())) == sorted(want)
         assert at or "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_are_counted_once_and_tasks_keep_nothing(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    words = {"abab": 5, "babb": 4, "cdcd": 5, "aaaaa": 2, "x": 9, "": 1, "é😀é😀": 3}
+    rows = spark.createDataFrame(list(words.items()), "word string, n bigint").coalesce(1)
+    learnt = bpe.learn_merges(rows.mapInArrow(counting, rows.schema), 6)
+    assert learnt[:2] == [("a", "b", 14), ("c", "d", 10)] and len(learnt) == 6
+    # the words were computed again for every use
+    assert seen.value == len(words)
+
+
+def test_a_merge_changes_the_pairs_around_it():
+    batch = pa.RecordBatch.from_arrays([pa.array(["zz", "aaaab", "baa"]), pa.array([1, 5, 2])], names=["word", "n"]).slice(1)
+    marked = [pairs.OPEN + (pairs.CLOSE + pairs.OPEN).join(w) + pairs.CLOSE for w in batch.column(0).to_pylist()]
+    (numbered,) = pairs._numbered([pa.RecordBatch.from_arrays([pa.array(marked), batch.column(1)], names=["symbols", "n"])])
+    words, names, sums = pairs.Words(numbered), pairs.Symbols(), pairs._Sums()
+    (group,) = pairs.grouped([names.merge("a", "a")], list(names.made))
+    sums.add(*words.merge(group))
+    got = {(r["left"], r["right"]): r["n"] for b in sums.rows(list(names.made)) for r in b.to_pylist()}
+    # aaaab: aa aa b; baa: b aa
+    assert got == {("a", "a"): -17, ("a", "b"): -5, ("b", "a"): -2, ("aa", "aa"): 5, ("aa", "b"): 5, ("b", "aa"): 2}
+
+
+def test_merges_that_meet_are_not_applied_at_once():
+    names = pairs.Symbols()
+    merges = [names.merge(*p) for p in (("a", "b"), ("a", "c"), ("c", "d"), ("x", "x"), ("e", "f"), ("ef", "g"))]
+    assert [len(g) for g in pairs.in_groups(merges)] == [2, 1, 1, 1, 1]
+
+
+def test_marked_words_of_distinct_texts(spark):
+    texts = ["a1 a1 b22", "  \n", "", None, "x▁y 9", " a1 "]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    plain = rows.select(F.explode(vb.marked_words(F.col("text"))).alias("word")).groupBy("word").count()
+    counted = vb.count_marked_words(rows)
+    assert {tuple(r) for r in counted.collect()} == {tuple(r) for r in plain.collect()}
+    # the text itself is only cut at white space
+    assert vb.MARKED_BREAK in counted.select("word")._jdf.queryExecution().toString().split("Aggregate")[1]
+
+
+def test_nodes_are_filed_in_small_tasks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "FILED_NODES", 10)
+    file = neardup._file
+
+    def bounded(batches):
+        batches = list(batches)
+        assert sum(b.num_rows for b in batches) <= 20
+        yield from file(iter(batches))
+
+    monkeypatch.setattr(neardup, "_file", bounded)
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(20))) for i in range(99)] + [(200, " ".join(f"w5x{j}" for j in range(20)))]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {(r["doc_id"], r["component_id"]) for r in found.collect() if not r["kept"]} == {(200, 5)}
