@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,8 +11,9 @@ from pyspark.sql import functions as F
 from inkstrata.functions import scores as sc
 from inkstrata.functions import text as tx
 from inkstrata.functions import vectors as vx
+from inkstrata.operators.bigrams import BigramModel, bigram_loss, learn_bigrams  # noqa: F401
 from inkstrata.operators.numbering import number_rows
-from inkstrata.operators.skew import largest_keys, lookup_join
+from inkstrata.operators.skew import lookup_join
 from inkstrata.session import materialize
 
 
@@ -85,57 +85,8 @@ def take_first(texts: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
     return texts.orderBy(*order_by).limit(n)
 
 
-def bigrams(words):
-    """Each word with the one behind it; the last word has none."""
-    return F.arrays_zip(words.alias("w1"), F.slice(words, 2, F.greatest(F.size(words), F.lit(1))).alias("w2"))
-
-
-# Pairs of the corpus that every task may hold, and how long one of them may be.
-FREQUENT_PAIRS, PAIR_BYTES = 400_000, 64
-
-
-@dataclass(frozen=True)
-class BigramModel:
-    """Add-one smoothed bigrams: a pair has probability ``(n + 1) / (h + vocabulary)``.
-
-    ``pairs`` are ``w1, w2, n``; ``history`` has ``w1, h``, the pairs that ``w1`` begins,
-    and ``followers``, its distinct ones. ``n`` is 0 for an unseen pair, ``h`` for an
-    unseen word.
-    """
-
-    pairs: DataFrame
-    history: DataFrame
-    vocabulary: int
-
-    def log_prob(self, n: Column, h: Column) -> Column:
-        return F.log((F.coalesce(n, F.lit(0)) + 1) / (F.coalesce(h, F.lit(0)) + max(1, self.vocabulary)))
-
-
-def learn_bigrams(texts: DataFrame, text: str = "text") -> BigramModel:
-    """Bigrams of the whole corpus.
-
-    The corpus is read once, for the pair counts; these are written to the
-    shared folder, and all else is worked out from them.
-    """
-    counted = (
-        texts.select(F.explode(bigrams(tx.words(F.col(text)))).alias("pair"))
-        .groupBy(F.col("pair.w1").alias("w1"), F.col("pair.w2").alias("w2"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    pairs = materialize(counted, "bigrams")
-    history = pairs.groupBy("w1").agg(
-        F.coalesce(F.sum(F.when(F.col("w2").isNotNull(), F.col("n"))), F.lit(0)).alias("h"), F.count("w2").alias("followers")
-    )
-    history = materialize(history, "bigram-history")
-    return BigramModel(pairs.where(F.col("w2").isNotNull()), history, history.count())
-
-
-def _known_pairs(model: BigramModel, asked: DataFrame) -> DataFrame:
-    """``w1, w2, lp`` of the distinct pairs of a small table; the model is read in place."""
-    wanted = F.broadcast(asked)
-    n = model.pairs.join(wanted, ["w1", "w2"])
-    h = model.history.join(F.broadcast(asked.select("w1").distinct()), "w1").select("w1", "h")
-    return asked.join(n, ["w1", "w2"], "left").join(h, "w1", "left").select("w1", "w2", model.log_prob(F.col("n"), F.col("h")).alias("lp"))
+# Pairs of the corpus that a broadcast table may hold, and how long one of them may be.
+PAIR_BYTES = 64
 
 
 def _split_by_frequency(model: BigramModel, limit: int) -> tuple[DataFrame | None, DataFrame | None]:
@@ -164,66 +115,6 @@ def _split_by_frequency(model: BigramModel, limit: int) -> tuple[DataFrame | Non
     return held, None if all_chosen else model.pairs.where(~chosen)
 
 
-def bigram_loss(
-    texts: DataFrame,
-    model: BigramModel,
-    key: str,
-    text: str = "text",
-    max_length: int | None = None,
-    small: bool = False,
-    frequent: int = FREQUENT_PAIRS,
-) -> DataFrame:
-    """``key, loss, n``: mean negative log-probability and number of words per text.
-
-    Pairs and words that the model has not seen count with their smoothed
-    probabilities. Texts of fewer than two words have no loss. ``small`` says that
-    the texts have few enough pairs to broadcast (a bounded number of texts of bounded
-    length): their pairs are looked up in the model, not the model in them. Otherwise
-    the ``frequent`` most frequent pairs of the model are looked up in place, and only
-    the others are shuffled.
-    """
-    words = tx.words(F.col(text))
-    if max_length is not None:
-        words = F.slice(words, 1, max_length)
-    split = texts.select(key, words.alias("words"))
-    if small:
-        split = materialize(split, "sample-words")
-    lengths = split.select(key, F.size("words").alias("n"))
-    pairs = split.select(key, F.explode(bigrams(F.col("words"))).alias("pair")).select(
-        key, F.col("pair.w1").alias("w1"), F.col("pair.w2").alias("w2")
-    ).where(F.col("w2").isNotNull())
-    if small:
-        asked = materialize(pairs.select("w1", "w2").distinct(), "asked-pairs")
-        scored = pairs.join(F.broadcast(_known_pairs(model, asked)), ["w1", "w2"])
-        losses = scored.groupBy(key).agg((-F.avg("lp")).alias("loss"))
-        return lengths.join(losses, key, "left").select(key, "loss", "n")
-    held, others = _split_by_frequency(model, frequent)
-    if held is None:
-        sums = pairs.withColumns({"lp": F.lit(None).cast("double"), "pairs": F.lit(1).cast("bigint")})
-    else:
-        # what is found in place becomes one row per text before the shuffle, as do repeated pairs
-        rest = F.col("lp").isNull()
-        found = pairs.join(F.broadcast(held), ["w1", "w2"], "left")
-        sums = found.groupBy(key, F.when(rest, F.col("w1")).alias("w1"), F.when(rest, F.col("w2")).alias("w2")).agg(
-            F.sum("lp").alias("lp"), F.count(F.lit(1)).alias("pairs")
-        )
-    if others is not None:
-        busiest = largest_keys(model.history, ["w1"], "followers")
-        known = lookup_join(others, model.history.select("w1", "h"), ["w1"], ["w2"], hot=busiest)
-        known = known.select("w1", "w2", model.log_prob(F.col("n"), F.col("h")).alias("one"))
-        # pairs that are frequent in the corpus are found in most texts
-        sums = lookup_join(sums, known, ["w1", "w2"], [key], how="left", hot=largest_keys(others, ["w1", "w2"], "n"))
-        sums = sums.withColumn("lp", F.coalesce("lp", F.col("one") * F.col("pairs")))
-    # one row per text, and one for each first word of pairs that were not found
-    missed = F.when(F.col("lp").isNull(), F.col("w1"))
-    sums = sums.groupBy(key, missed.alias("w1")).agg(F.sum("lp").alias("lp"), F.sum("pairs").alias("pairs"))
-    often = largest_keys(model.history, ["w1"], "h")
-    sums = lookup_join(sums, model.history.select("w1", "h"), ["w1"], [key], how="left", hot=often)
-    unseen = model.log_prob(F.lit(0), F.col("h")) * F.col("pairs")
-    losses = sums.groupBy(key).agg((-F.sum(F.coalesce("lp", unseen)) / F.sum("pairs")).alias("loss"))
-    return lengths.join(losses, key, "left").select(key, "loss", "n")
-
-
 def perplexity(losses: DataFrame) -> DataFrame:
     return losses.agg(sc.perplexity(F.col("loss"), F.col("n")).alias("perplexity"))
 

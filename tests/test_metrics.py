@@ -1,4 +1,6 @@
 import math
+import re
+from collections import Counter
 from itertools import combinations
 
 import pytest
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F
 
 from inkstrata.functions import scores as sc
 from inkstrata.functions import vectors as vx
-from inkstrata.operators import evaluation, governance
+from inkstrata.operators import bigrams, evaluation, governance
 from inkstrata.plans import jobs
 
 
@@ -104,6 +106,34 @@ def test_unseen_pairs_are_scored(spark, small):
         assert got[doc] == pytest.approx(-sum(math.log(seen[p]) for p in pairs) / len(pairs))
 
 
+def test_bigrams_meet_by_bucket(spark):
+    rows = spark.createDataFrame([(i, f"a b c{i} 7d \tx\x0by\r" + "é ü " * i) for i in range(40)], "doc_id bigint, text string")
+    model = evaluation.learn_bigrams(rows)
+    # a pair is no row of its own in any shuffle
+    losses = evaluation.bigram_loss(rows, model, "doc_id", frequent=2)
+    assert "hashpartitioning(w1" not in losses._jdf.queryExecution().toString()
+    assert model.counts.count() == model.buckets == 1
+    words = [re.findall(r"[0-9]|[^0-9\t-\r ]+", r["text"]) for r in rows.collect()]
+    want = Counter(p for ws in words for p in zip(ws, ws[1:]))
+    assert {(r.w1, r.w2): r.n for r in model.pairs.collect()} == want
+
+
+def test_bigrams_of_unnumbered_words(spark, monkeypatch):
+    texts = ["a b zz a b", "zz a 1zz b", "b a", None, "  "]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+
+    def losses():
+        model = evaluation.learn_bigrams(rows)
+        got = evaluation.bigram_loss(rows, model, "doc_id", frequent=1).collect()
+        return {r.doc_id: (r.n, r.loss and round(r.loss, 9)) for r in got}, {(r.w1, r.w2): r.n for r in model.pairs.collect()}
+
+    all_numbered = losses()
+    # three words of four are strings; buckets are many
+    monkeypatch.setattr(bigrams, "FREQUENT_WORDS", 1)
+    monkeypatch.setattr(bigrams, "BUCKET_WORDS", 2)
+    assert losses() == all_numbered
+
+
 def test_log_softmax(spark):
     row = spark.range(1).select(vx.log_softmax(F.array(*[F.lit(float(x)) for x in (1000, 1001)])).alias("p")).first()
     assert sum(math.exp(p) for p in row["p"]) == pytest.approx(1.0)
