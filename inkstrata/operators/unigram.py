@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,41 +15,88 @@ from pyspark.sql import functions as F
 from inkstrata.operators import bpe, codec
 from inkstrata.operators import vocabulary as vb
 from inkstrata.operators.lattice import MAX_PIECE, Lattice, Trie, best_split, expected_pieces  # noqa: F401
-from inkstrata.session import cut_lineage, spread
+from inkstrata.session import cut_lineage, materialize, spread
 
 # Seeds per vocabulary entry, share kept per pruning.
 SEED_FACTOR = 4
 KEEP_SHARE = 0.75
+# Characters of the substrings that are counted first.
+BEGINNING = 6
 # Count of a piece that the best splits never need.
 FLOOR = 1e-6
 
 
+def _substrings(words: DataFrame, first: int, last: int, begins: Broadcast | None = None) -> DataFrame:
+    """``piece, n`` of the substrings of ``first`` to ``last`` characters.
+
+    Some hundred thousand words are counted at a time, all places side by side. ``begins``
+    are the only strings of ``first - 1`` characters that a substring may begin with.
+    """
+
+    def count(words: list[str], n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        text = "".join(words)
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        left, weight = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes)), np.repeat(n.astype(float), sizes)
+        at, names = np.arange(len(codes)), np.zeros(len(codes), np.int64)
+        for size in range(1, last + 1):
+            inside = left[at] >= size
+            at, names = at[inside], names[inside]
+            if not len(at):
+                return
+            _, where, names = np.unique(names << 21 | codes[at + size - 1], return_index=True, return_inverse=True)
+            if size < first and not (begins is not None and size == first - 1):
+                continue
+            pieces = pa.array([text[i : i + size] for i in at[where].tolist()], pa.string())
+            if size >= first:
+                sums = np.bincount(names, weight[at]).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pieces, pa.array(sums)], names=["piece", "n"])
+            else:
+                kept = pc.is_in(pieces, value_set=begins.value).to_numpy(zero_copy_only=False)[names]
+                at, names = at[kept], names[kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            for part in vb.bounded_parts(batch):
+                held.append(part)
+                size += part.nbytes
+                if size >= vb.LOOKUP_BYTES:
+                    yield from counted(held)
+                    held, size = [], 0
+        if held:
+            yield from counted(held)
+
+    def counted(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        return count(table.column(0).to_pylist(), table.column(1).to_numpy())
+
+    rows = words.where(F.length("word") > 0).select("word", F.col("n").cast("bigint"))
+    return rows.mapInArrow(run, "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
+
+
 def seed_pieces(words: DataFrame, letters: list[str], size: int) -> dict[str, float]:
     """Starting scores: the letters and the best repeated substrings of the words.
 
-    At most ``size`` rows and the alphabet come to the driver.
+    Short substrings are counted first. A longer one is at most as frequent as its
+    beginning, so only those are counted whose beginning is frequent enough for a place
+    among the best ``size``. At most ``size`` rows and the alphabet come to the driver.
     """
-    # a window of the longest piece slides along, so long words stay cheap
-    windows = F.regexp_extract_all("word", F.lit(f"(?s)(?=(.{{1,{MAX_PIECE}}}))."), F.lit(1))
-    prefixes = F.transform(
-        windows,
-        lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda m: F.substring(w, F.lit(1), m)),
-    )
-    counted = (
-        words.where(F.length("word") > 0)
-        .select(F.explode(F.flatten(prefixes)).alias("piece"), "n")
-        .groupBy("piece")
-        .agg(F.sum("n").alias("n"))
-    )
+    spark = words.sparkSession
+    value = F.col("n") * F.length("piece")
+    several = (F.length("piece") > 1) & (F.col("n") > 1)
+    short = materialize(_substrings(words, 1, BEGINNING), "short-pieces")
+    ranked = short.where(several).orderBy(F.desc(value), "piece").limit(size)
+    found = ranked.agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("least")).first()
+    least = found["least"] if found["n"] >= size and size > 0 else 0
+    frequent = short.where(several & (F.length("piece") == BEGINNING) & (F.col("n") * MAX_PIECE >= least))
+    begins = pa.concat_arrays([pa.array([], pa.string()), *(c.cast(pa.string()) for c in frequent.select("piece").toArrow().column(0).chunks)])
+    longer = _substrings(words, BEGINNING + 1, MAX_PIECE, spark.sparkContext.broadcast(begins))
     known = set(letters)
-    best = (
-        counted.where((F.length("piece") > 1) & (F.col("n") > 1))
-        .orderBy(F.desc(F.col("n") * F.length("piece")), "piece")
-        .limit(size)
-        .collect()
-    )
-    singles = counted.where(F.length("piece") == 1).join(
-        F.broadcast(words.sparkSession.createDataFrame([(c,) for c in letters], "piece string")), "piece"
+    best = short.unionByName(longer).where(several & (value >= least)).orderBy(F.desc(value), "piece").limit(size).collect()
+    singles = short.where(F.length("piece") == 1).join(
+        F.broadcast(spark.createDataFrame([(c,) for c in letters], "piece string")), "piece"
     )
     counts = {r["piece"]: float(r["n"]) for r in singles.collect()}
     counts.update({r["piece"]: float(r["n"]) for r in best if set(r["piece"]) <= known})

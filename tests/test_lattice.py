@@ -3,13 +3,14 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from inkstrata.operators import bpe, codec, pairs, unigram
 from inkstrata.operators import vocabulary as vb
-from inkstrata.operators.lattice import Lattice, Trie
+from inkstrata.operators.lattice import MAX_PIECE, Lattice, Trie, expected_pieces
 from tests.test_tokens import merges_one_by_one, splits
 
 PIECES = st.sets(st.text(alphabet="abcé", min_size=1, max_size=4), min_size=1, max_size=25)
@@ -114,3 +115,43 @@ def test_queue_knows_what_it_does_not_know():
     assert queue.first(5) == [("a", "b", 9)]
     queue.change(("a", "b"), -9)
     assert queue.first(5) == []
+
+
+def test_seeds_are_the_best_substrings(spark):
+    counts = {"▁transformation": 9, "▁transformer": 7, "▁a\x00😀bc": 3, "▁x": 1, "": 4, "▁" + "lo" * 30: 2, "formation": 5}
+    words = spark.createDataFrame(list(counts.items()), "word string, n bigint").repartition(3)
+    every = Counter()
+    for word, n in counts.items():
+        for i in range(len(word)):
+            for j in range(i + 1, min(len(word), i + MAX_PIECE) + 1):
+                every[word[i:j]] += n
+    letters = sorted({c for w in counts for c in w} - {"x"})
+    for size in (0, 1, 40, 10_000):
+        best = sorted((p for p, n in every.items() if len(p) > 1 and n > 1), key=lambda p: (-every[p] * len(p), p.encode()))[:size]
+        want = {p: every[p] for p in [*letters, *best] if set(p) <= set(letters)}
+        total = math.log(sum(want.values()))
+        got = unigram.seed_pieces(words, letters, size)
+        assert got.keys() == want.keys()
+        assert all(got[p] == pytest.approx(math.log(n) - total) for p, n in want.items())
+
+
+def test_only_substrings_with_frequent_beginnings_are_counted(spark):
+    words = spark.createDataFrame([("▁transformation", 9), ("▁translation", 7)], "word string, n bigint")
+    begins = spark.sparkContext.broadcast(pa.array(["nsform"]))
+    got = {r.piece: r.n for r in unigram._substrings(words, 7, 9, begins).collect()}
+    assert got == {"nsforma": 9, "nsformat": 9, "nsformati": 9}
+
+
+def test_expected_counts_of_very_unlikely_words():
+    # products of these are too small for a double
+    model = {"a": -34.0, "b": -30.0, "ab": -5.0, "ababababababab": -2.0}
+    words = ["a" * 60, "b" * 64, "ab" * 20, "a" * 40 + "ab" * 12, "q" * 50]
+    counts = np.array([3.0, 1.0, 2.0, 5.0, 4.0])
+    lattice = Lattice(model)
+    want = Counter()
+    for word, n in zip(words, counts):
+        for piece, share in expected_pieces(word, model).items():
+            want[piece] += share * n
+    got = lattice.expected(words, counts)
+    for i, piece in enumerate(lattice.pieces):
+        assert got[i] == pytest.approx(want[piece])
