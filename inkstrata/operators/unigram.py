@@ -26,6 +26,20 @@ BEGINNING = 6
 FLOOR = 1e-6
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of some batches at a time, so that many words stand side by side."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for part in (p for batch in batches for p in vb.bounded_parts(batch)):
+        held.append(part)
+        size += part.nbytes
+        if size >= vb.LOOKUP_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _substrings(words: DataFrame, first: int, last: int, begins: Broadcast | None = None) -> DataFrame:
     """``piece, n`` of the substrings of ``first`` to ``last`` characters.
 
@@ -56,21 +70,8 @@ def _substrings(words: DataFrame, first: int, last: int, begins: Broadcast | Non
                 at, names = at[kept], names[kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in batches:
-            for part in vb.bounded_parts(batch):
-                held.append(part)
-                size += part.nbytes
-                if size >= vb.LOOKUP_BYTES:
-                    yield from counted(held)
-                    held, size = [], 0
-        if held:
-            yield from counted(held)
-
-    def counted(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held)
-        return count(table.column(0).to_pylist(), table.column(1).to_numpy())
+        for table in _gathered(batches):
+            yield from count(table.column(0).to_pylist(), table.column(1).to_numpy())
 
     rows = words.where(F.length("word") > 0).select("word", F.col("n").cast("bigint"))
     return rows.mapInArrow(run, "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
@@ -121,8 +122,8 @@ def expectation(words: DataFrame, model: dict[str, float], trie: Broadcast) -> d
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(shared.value, *trie.value)
         totals = np.zeros(len(lattice.scores))
-        for batch in batches:
-            totals += lattice.expected(batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(float))
+        for table in _gathered(batches):
+            totals += lattice.expected(table.column(0).to_pylist(), table.column(1).to_numpy().astype(float))
         seen = np.flatnonzero(totals[:-1])
         yield pa.RecordBatch.from_arrays([pa.array([lattice.pieces[i] for i in seen.tolist()], pa.string()), pa.array(totals[seen])], names=["piece", "n"])
 
