@@ -23,14 +23,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkstrata.llm.common import hold, schema_with, slices, texts_of
+from inkstrata.llm.common import give_back, hold, releasing, schema_with, slices, texts_of
 from inkstrata.llm.pieces import unsupported
 from inkstrata.session import fresh_dir
 
 WINDOW = 4096
 END_ID = 2
-# Distinct pieces remembered by one Python worker.
-CACHE_PIECES = 1_000_000
+# Memory for the pieces that one Python worker remembers, and what a piece takes besides its characters and ids.
+CACHE_BYTES = 56 << 20
+_ENTRY_BYTES = 200
+# Rows whose pieces are held at once.
+_ROWS = 128
 
 # Texts of these characters only, without the opening of a special token, can be
 # cut into pieces here: lower-casing and normal forms are plain for them.
@@ -63,6 +66,7 @@ class CachedTokenizer:
         for piece, number in self.model.get_vocab().items():
             self.ends[number] = piece.endswith("</w>")
         self.known: dict[str, bytes] = {}
+        self.known_bytes = 0
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.model.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -70,12 +74,15 @@ class CachedTokenizer:
     def _learn(self, pieces: list[str]) -> None:
         for at in range(0, len(pieces), _JOINED):
             block = pieces[at : at + _JOINED]
+            self.known_bytes += len(block) * _ENTRY_BYTES + sum(map(len, block))
             ids = np.asarray(self.model.encode(" ".join(block), add_special_tokens=False).ids, dtype="<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(block):
                 self.known.update((piece, self._whole(piece)) for piece in block)
+                self.known_bytes += sum(len(self.known[piece]) for piece in block)
                 continue
             data, start = ids.tobytes(), 0
+            self.known_bytes += len(data)
             for piece, end in zip(block, (cuts * 4).tolist()):
                 self.known[piece] = data[start:end]
                 start = end
@@ -83,8 +90,9 @@ class CachedTokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         cut = [_PIECE.findall(text.lower()) if self.cuts and _PLAIN.fullmatch(text) else None for text in texts]
-        if len(self.known) > CACHE_PIECES:
+        if self.known_bytes > CACHE_BYTES:
             self.known.clear()
+            self.known_bytes = 0
         new: set[str] = set()
         for pieces in cut:
             new.update(pieces or ())
@@ -100,6 +108,8 @@ _loaded: dict[str, CachedTokenizer] = {}
 def _tokenizer(path: str) -> CachedTokenizer:
     if path not in _loaded:
         _loaded[path] = CachedTokenizer(path)
+        # a file takes several times its model's memory to read
+        give_back()
     return _loaded[path]
 
 
@@ -110,7 +120,7 @@ def _encode(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
         hold("packing", _loaded.clear)
         tokenizer = _tokenizer(path)
         part, before = TaskContext.get().partitionId(), 0
-        for batch in slices(batches):
+        for batch in slices(batches, _ROWS):
             encoded = [ids + end for ids in tokenizer.encode(texts_of(batch.column(1)))]
             sizes = np.fromiter((len(ids) // 4 for ids in encoded), dtype=np.int64, count=len(encoded))
             starts = before + np.cumsum(sizes) - sizes
@@ -139,7 +149,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame
     spark = docs.sparkSession
     schema = schema_with(docs, ["doc_id"], "part int, before bigint, n_tokens bigint, ids binary")
     path = fresh_dir(spark, "tokens")
-    encoded = docs.select("doc_id", "text").mapInArrow(_encode(tokenizer, end_id), schema)
+    encoded = docs.select("doc_id", "text").mapInArrow(releasing(_encode(tokenizer, end_id)), schema)
     encoded.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
@@ -158,6 +168,8 @@ def _cut(window: int, with_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], It
     kinds = [pa.int64()] * 6 + [pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the first pass is over: its tokenizer and pieces go
+        hold("packing_cut")
         for batch in slices(batches):
             firsts, totals = batch.column(1).to_pylist(), batch.column(2)
             made = [piece for row, first in enumerate(firsts) for piece in pieces_of(row, first, memoryview(batch.column(3)[row].as_buffer()))]

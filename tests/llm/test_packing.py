@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from inkstrata.llm import packing
+from inkstrata.llm.common import hold
 from inkstrata.llm.queries import TOKENIZER
 from tests.llm.helpers import documents, odd
 
@@ -39,6 +40,24 @@ def test_many_pieces_stay_apart():
     assert packing.CachedTokenizer(TOKENIZER).encode([" ".join(words)])[0] == ids_of(" ".join(words))[:-1].tobytes()
 
 
+def test_remembered_pieces_take_bounded_memory(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_BYTES", 1 << 20, raising=False)
+    tokenizer, sizes = packing.CachedTokenizer(TOKENIZER), []
+    for n in range(30):
+        # few pieces, long ones
+        text = " ".join(chr(ord("a") + (n + i) % 26) * (2000 + 26 * n + i) for i in range(50))
+        assert tokenizer.encode([text]) == [ids_of(text)[:-1].tobytes()]
+        sizes.append(sum(len(piece) + len(ids) for piece, ids in tokenizer.known.items()))
+    # what one call learns may come on top
+    assert max(sizes) <= (1 << 20) + 2 * sizes[0]
+
+
+def test_second_pass_lets_go_of_what_the_first_remembered():
+    packing._tokenizer(TOKENIZER).encode(["hello world"])
+    hold("packing", packing._loaded.clear)
+    assert list(packing._cut(16, True)(iter([]))) == [] and not packing._loaded
+
+
 @pytest.mark.parametrize("window", [16, 4096])
 def test_pieces_cover_every_id_once(spark, window):
     docs = documents(spark, odd((7, "hello, world"), (8, "x " * 3000)))
