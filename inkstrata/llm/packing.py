@@ -30,7 +30,7 @@ from inkstrata.session import fresh_dir
 WINDOW = 4096
 END_ID = 2
 # Memory for the pieces that one Python worker remembers, and what a piece takes besides its characters and ids.
-CACHE_BYTES = 56 << 20
+CACHE_BYTES = 112 << 20
 _ENTRY_BYTES = 200
 # Rows whose pieces are held at once.
 _ROWS = 128
